@@ -112,3 +112,216 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         _whole("p_retailprice").alias("gold_total"),
         F.col("p_type").alias("tags"),
     )
+
+
+# --- landed documents ---------------------------------------------------------
+
+# Total order of the raw records made from line items.
+RAW_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw match record per line item, with its supplier and its part as participants.
+
+    An order with several lines is a match landed in several copies; suppliers
+    met twice in an order are the duplicates. Lines taxed at 8 % are unreadable.
+    """
+    lines = read(spark, sf_dir, "lineitem")
+    parts = read(spark, sf_dir, "part")
+    rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left")
+    won = F.col("l_linestatus") == "F"
+    quantity = _whole("l_quantity / 5")
+    challenges = F.struct(
+        F.col("l_quantity").alias("kda"), F.struct(F.col("l_linenumber").alias("first")).alias("streak")
+    )
+
+    def participant(player: Column, team: int, win: Column, kills: Column, item0: Column) -> Column:
+        return F.struct(
+            player.alias("puuid"),
+            F.concat(F.lit("name "), player).alias("riotIdGameName"),
+            F.lit(team).alias("teamId"),
+            api_position().alias("teamPosition"),
+            F.lit("CARRY").alias("role"),
+            win.alias("win"),
+            kills.alias("kills"),
+            (F.col("l_linenumber") - 1).alias("deaths"),
+            F.col("p_size").alias("assists"),
+            _whole("l_extendedprice").alias("goldEarned"),
+            _whole("l_extendedprice / 2").alias("totalDamageDealtToChampions"),
+            _whole("l_discount * 900").alias("visionScore"),
+            item0.alias("item0"),
+            F.lit(0).alias("item1"),
+            F.col("p_brand").alias("championName"),
+            F.col("p_size").cast("string").alias("championId"),
+            challenges.alias("challenges"),
+        )
+
+    info = F.struct(
+        F.col("l_linenumber").alias("gameDuration"),
+        F.lit("14.1.1").alias("gameVersion"),
+        F.expr("datediff(l_shipdate, DATE '1970-01-01') * 86400000L").alias("gameEndTimestamp"),
+        F.lit("CLASSIC").alias("gameMode"),
+        F.array(
+            participant(F.expr("'S' || nullif(l_suppkey, 0)"), 100, won, quantity, F.col("l_partkey")),
+            participant(F.expr("'P' || l_partkey"), 200, ~won, quantity + 1, F.lit(None).cast("bigint")),
+        ).alias("participants"),
+    )
+    readable = F.to_json(F.struct(info.alias("info")))
+    document = F.when(F.col("l_tax") == 0.08, F.lit("NOT_JSON{{{{")).otherwise(readable)
+    return rows.select(
+        F.expr("'M' || l_orderkey").alias("match_id"),
+        document.alias("_raw_json"),
+        F.lit("euw1").alias("_region"),
+        *RAW_ORDER,
+    )
+
+
+def fetched_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched match records, one per line item, so most ids come several times."""
+    return read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"), *RAW_ORDER
+    )
+
+
+def matches_with_status(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders")
+    return orders.filter(F.col("o_orderstatus") == status).select(F.col("o_orderkey").alias("match_id"))
+
+
+def league_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One league document per supplier nation and player: wins and losses of the player's lines.
+
+    Half of the documents name no tier; players without wins carry no puuid.
+    """
+    record = (
+        read(spark, sf_dir, "lineitem")
+        .groupBy("l_suppkey")
+        .agg(
+            F.count(F.when(F.col("l_linestatus") == "F", 1)).alias("wins"),
+            F.count(F.when(F.col("l_linestatus") != "F", 1)).alias("losses"),
+        )
+    )
+    suppliers = read(spark, sf_dir, "supplier")
+    rows = suppliers.join(record, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    entry = F.struct(
+        F.expr("CASE WHEN s_acctbal >= 5000 THEN 'U' || s_suppkey END").alias("puuid"),
+        F.expr("'I' || s_suppkey").alias("summonerId"),
+        F.col("s_name").alias("summonerName"),
+        _whole("s_acctbal").alias("leaguePoints"),
+        F.coalesce("wins", F.lit(0)).alias("wins"),
+        F.coalesce("losses", F.lit(0)).alias("losses"),
+        (F.col("s_acctbal") > 0).alias("veteran"),
+    )
+    tier = F.expr("CASE WHEN s_nationkey < 12 THEN 'MASTER' END")
+    document = F.to_json(F.struct(tier.alias("tier"), F.array(entry).alias("entries")))
+    return rows.select(document.alias("document"))
+
+
+def summoners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed summoner records, without those of nation 3."""
+    return (
+        read(spark, sf_dir, "supplier")
+        .filter(F.col("s_nationkey") != 3)
+        .select(F.expr("'I' || s_suppkey").alias("id"), F.expr("'U' || s_suppkey").alias("puuid"))
+    )
+
+
+def champion_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Champion dictionary documents with one part as the entry of each."""
+    entry = F.struct(
+        F.col("p_size").cast("string").alias("key"),
+        F.col("p_name").alias("name"),
+        F.col("p_brand").alias("title"),
+        F.expr("CASE WHEN p_size > 25 THEN p_type END").alias("blurb"),
+        F.array("p_type", "p_brand").alias("tags"),
+        F.struct(F.col("p_retailprice").alias("hp"), F.col("p_size").alias("armor")).alias("stats"),
+    )
+    return read(spark, sf_dir, "part").select(
+        F.to_json(
+            F.struct(
+                F.lit("14.2.0").alias("_version"),
+                F.create_map(F.expr("'C' || p_partkey"), entry).alias("data"),
+            )
+        ).alias("document")
+    )
+
+
+def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item dictionary documents with one part as the entry of each."""
+    gold = F.struct(
+        _whole("p_retailprice").alias("total"),
+        _whole("p_retailprice * 0.5").alias("sell"),
+        (F.col("p_size") > 10).alias("purchasable"),
+    )
+    entry = F.struct(
+        F.col("p_name").alias("name"),
+        F.array("p_type").alias("tags"),
+        gold.alias("gold"),
+        F.expr("CASE WHEN p_size > 25 THEN array(p_brand, p_type) END").alias("into"),
+        F.col("p_size").alias("depth"),
+    )
+    return read(spark, sf_dir, "part").select(
+        F.to_json(
+            F.struct(
+                F.lit("14.2.0").alias("_version"),
+                F.create_map(F.col("p_partkey").cast("string"), entry).alias("data"),
+            )
+        ).alias("document")
+    )
+
+
+def flawed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with missing values, negatives, out-of-range values and one column left out."""
+    return read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"),
+        F.col("l_suppkey").alias("puuid"),
+        F.expr("CASE WHEN l_tax = 0.08 THEN NULL ELSE l_linestatus = 'F' END").alias("win"),
+        F.expr("CAST(floor(l_quantity) AS BIGINT) - 2").alias("kills"),
+        F.expr("CAST(l_linenumber AS BIGINT)").alias("deaths"),
+        F.expr("CAST(floor(l_quantity * 3) AS BIGINT)").alias("assists"),
+        F.expr("CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(floor(l_extendedprice) AS BIGINT) END").alias("gold_earned"),
+        F.lit("x").alias("champion_name"),
+        F.expr("nullif(l_returnflag, 'N')").alias("team_position"),
+        F.expr("CAST(floor(l_discount * 9000) AS BIGINT) - 100").alias("vision_score"),
+    )
+
+
+def lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a line-up: its parts as champions at their positions."""
+    lines = read(spark, sf_dir, "lineitem")
+    parts = read(spark, sf_dir, "part")
+    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
+        F.col("l_orderkey").alias("lineup_id"),
+        normalize_position(api_position()).alias("position"),
+        F.col("p_brand").alias("champion_name"),
+    )
+
+
+def part_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as the players of the orders they are in, for the player graph."""
+    return read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"),
+        F.expr("'P' || l_partkey").alias("puuid"),
+        F.col("l_shipdate").alias("game_date"),
+    )
+
+
+def seed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small promotional parts of one brand as the league the search starts from."""
+    parts = read(spark, sf_dir, "part")
+    return parts.filter((F.col("p_brand") == "Brand#3") & (F.col("p_type") == "PROMO")).select(
+        F.expr("'P' || p_partkey").alias("puuid"),
+        F.col("p_name").alias("summonerName"),
+        F.col("p_size").cast("bigint").alias("leaguePoints"),
+        F.lit("CHALLENGER").alias("_tier"),
+    )
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account records of the parts; those of size 13 have none."""
+    parts = read(spark, sf_dir, "part")
+    return parts.filter(F.col("p_size") != 13).select(
+        F.expr("'P' || p_partkey").alias("puuid"),
+        F.col("p_name").alias("gameName"),
+        F.col("p_brand").alias("tagLine"),
+    )

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchforge.functions.numeric import round_to
-from matchforge.plans import marts, views
+from matchforge.functions.numeric import round_to, text_to_bigint
+from matchforge.operators import flatten, graph, incremental, quality
+from matchforge.operators.recent import recent_matches
+from matchforge.plans import champions, lineups, marts, players, reports, timeline, views
 from matchforge.session import stage
+from matchforge.sources import dictionaries, tables
+from matchforge.sources import players as players_source
 from registry import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +95,312 @@ def vw_timeline_trends(spark, sf_dir):
     return rounded(
         views.timeline_trends(mart_match_timeline(spark, sf_dir)), "damage_ma7", "duration_ma7"
     )
+
+
+# --- flattening and landing -----------------------------------------------------
+
+# A field map with nested paths next to the match-level ones.
+NESTED_FIELDS = {
+    "match_id": "__match_id__",
+    "game_mode": "__game_mode__",
+    "puuid": "puuid",
+    "kda": "challenges.kda",
+    "first_streak": "challenges.streak.first",
+    "absent": "challenges.nothing.here",
+    "team_position": "teamPosition",
+}
+
+
+@register
+def flatten_matches(spark, sf_dir):
+    return flatten.flatten_matches(b.raw_matches(spark, sf_dir), deduplicate=False)
+
+
+@register
+def flatten_dedup(spark, sf_dir):
+    return flatten.flatten_matches(b.raw_matches(spark, sf_dir), first_by=b.RAW_ORDER)
+
+
+@register
+def flatten_nested_fields(spark, sf_dir):
+    return flatten.flatten_matches(b.raw_matches(spark, sf_dir), NESTED_FIELDS, first_by=b.RAW_ORDER)
+
+
+@register
+def corrupt_matches(spark, sf_dir):
+    bad = flatten.corrupt_matches(b.raw_matches(spark, sf_dir))
+    return bad.groupBy("match_id").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register
+def json_path_projection(spark, sf_dir):
+    text = F.get_json_object("props", "$.k")
+    return b.read(spark, sf_dir, "events").select(
+        "event_id", text_to_bigint(text).alias("k"), F.get_json_object("props", "$.a.b").alias("missing")
+    )
+
+
+@register
+def incremental_new_matches(spark, sf_dir):
+    return incremental.new_matches(
+        b.fetched_matches(spark, sf_dir), b.matches_with_status(spark, sf_dir, "F"), first_by=b.RAW_ORDER
+    )
+
+
+@register
+def landed_match_lookup(spark, sf_dir):
+    return incremental.landed_matches(
+        b.fetched_matches(spark, sf_dir), b.matches_with_status(spark, sf_dir, "P"), first_by=b.RAW_ORDER
+    )
+
+
+@register
+def landed_match_ids(spark, sf_dir):
+    return incremental.landed_keys(b.fetched_matches(spark, sf_dir))
+
+
+@register
+def recent_matches_per_player(spark, sf_dir):
+    return recent_matches(b.participants(spark, sf_dir, "match_id", "puuid", "game_date"), 5)
+
+
+def _league(spark, sf_dir):
+    return players_source.league_entries(
+        b.league_documents(spark, sf_dir), league="challenger", queue="RANKED_SOLO_5x5", region="euw1"
+    )
+
+
+@register
+def league_entries(spark, sf_dir):
+    raw = F.get_json_object("_raw_json", "$.summonerId").alias("raw_summoner")
+    return _league(spark, sf_dir).select(
+        "puuid", "summonerId", "summonerName", "leaguePoints", "wins", "losses", "veteran",
+        "_tier", "_queue", "_region", raw,
+    )
+
+
+@register
+def fill_missing_puuid(spark, sf_dir):
+    filled = players_source.fill_missing_puuid(_league(spark, sf_dir), b.summoners(spark, sf_dir))
+    return filled.select("summonerId", "puuid")
+
+
+@register
+def player_winrate(spark, sf_dir):
+    return players_source.player_dimension(_league(spark, sf_dir)).select(
+        "summonerId", "summonerName", "wins", "losses", "winrate", "_tier"
+    )
+
+
+@register
+def player_relational_form(spark, sf_dir):
+    dimension = players_source.player_dimension(_league(spark, sf_dir))
+    return players_source.relational_form(dimension, "players").drop("winrate")
+
+
+@register
+def flatten_champion_dictionary(spark, sf_dir):
+    return dictionaries.champions(b.champion_documents(spark, sf_dir))
+
+
+@register
+def flatten_item_dictionary(spark, sf_dir):
+    return dictionaries.items(b.item_documents(spark, sf_dir))
+
+
+@register
+def dq_report(spark, sf_dir):
+    return quality.quality_checks(b.flawed_fact(spark, sf_dir), "matches")
+
+
+@register
+def expand_players(spark, sf_dir):
+    return graph.expand_players(
+        b.seed_players(spark, sf_dir), b.part_players(spark, sf_dir), b.profiles(spark, sf_dir),
+        depth=3, matches_per_player=2, queue="RANKED_SOLO_5x5", region="euw1",
+    )
+
+
+# --- reports ----------------------------------------------------------------------
+
+def _champions(spark, sf_dir):
+    return stored(mart_champion_stats, spark, sf_dir)
+
+
+def _players(spark, sf_dir):
+    return stored(mart_player_stats, spark, sf_dir)
+
+
+def _positions(spark, sf_dir):
+    return stored(mart_position_stats, spark, sf_dir)
+
+
+def _timeline(spark, sf_dir):
+    return stored(mart_match_timeline, spark, sf_dir)
+
+
+def _player_champions(spark, sf_dir):
+    return stored(mart_player_champion_stats, spark, sf_dir)
+
+
+@register
+def meta_tiers(spark, sf_dir):
+    return champions.meta_tiers(_champions(spark, sf_dir)).select(
+        "champion_name", "team_position", "picks", "winrate_pct", "tier"
+    )
+
+
+@register
+def tier_counts(spark, sf_dir):
+    return champions.tier_counts(champions.tier_list(champions.meta_tiers(_champions(spark, sf_dir))))
+
+
+@register
+def strongest_champions(spark, sf_dir):
+    return champions.strongest(champions.meta_tiers(_champions(spark, sf_dir)))
+
+
+@register
+def wr_anomalies(spark, sf_dir):
+    found = champions.winrate_anomalies(_champions(spark, sf_dir))
+    return rounded(found, "z_score").select(
+        "champion_name", "team_position", "picks", "winrate_pct", "z_score", "direction"
+    )
+
+
+@register
+def pick_quadrants(spark, sf_dir):
+    return champions.pick_quadrants(champions.meta_tiers(_champions(spark, sf_dir)))
+
+
+@register
+def champion_bars(spark, sf_dir):
+    return champions.champion_bars(_champions(spark, sf_dir))
+
+
+@register
+def lineup_candidates(spark, sf_dir):
+    return champions.lineup_candidates(mart_champion_stats(spark, sf_dir))
+
+
+@register
+def champion_table(spark, sf_dir):
+    return champions.champion_table(mart_champion_stats(spark, sf_dir))
+
+
+@register
+def player_outliers(spark, sf_dir):
+    return rounded(players.player_outliers(_players(spark, sf_dir)), "kda_z", "wr_z", "gap")
+
+
+@register
+def outlier_cards(spark, sf_dir):
+    cards = players.outlier_cards(players.player_outliers(_players(spark, sf_dir)))
+    return rounded(cards, "kda_z", "wr_z", "gap")
+
+
+@register
+def avg_rank_gap(spark, sf_dir):
+    return players.rank_gap(_players(spark, sf_dir)).select(
+        "puuid", "summoner_name", "avg_kda", "winrate_pct", "kda_rank", "wr_rank", "gap"
+    )
+
+
+@register
+def player_flags(spark, sf_dir):
+    return players.player_flags(mart_player_stats(spark, sf_dir))
+
+
+@register
+def marker_sizes(spark, sf_dir):
+    return players.marker_sizes(_players(spark, sf_dir))
+
+
+@register
+def player_table(spark, sf_dir):
+    return players.player_table(mart_player_stats(spark, sf_dir))
+
+
+@register
+def top_champions_per_player(spark, sf_dir):
+    top = players.top_champions(mart_player_champion_stats(spark, sf_dir))
+    return rounded(top, "share_pct").select(
+        "puuid", "champion_name", "team_position", "games_played", "winrate_pct", "avg_kda",
+        "place", "share_pct",
+    )
+
+
+@register
+def player_style(spark, sf_dir):
+    return players.player_styles(players.top_champions(mart_player_champion_stats(spark, sf_dir)))
+
+
+@register
+def recommend_champions(spark, sf_dir):
+    found = players.recommend_champions(mart_player_stats(spark, sf_dir), _champions(spark, sf_dir))
+    return rounded(found, "fit_score")
+
+
+def _picks(spark, sf_dir):
+    return lineups.lineup_picks(
+        b.lineups(spark, sf_dir), _champions(spark, sf_dir), _positions(spark, sf_dir)
+    )
+
+
+@register
+def lineup_breakdown(spark, sf_dir):
+    return lineups.lineup_breakdown(_picks(spark, sf_dir))
+
+
+@register
+def predict_lineup_winrate(spark, sf_dir):
+    return lineups.predict_lineups(_picks(spark, sf_dir))
+
+
+@register
+def timeline_anomalies(spark, sf_dir):
+    return rounded(timeline.timeline_anomalies(_timeline(spark, sf_dir), "avg_damage"), "ma7")
+
+
+@register
+def timeline_anomalies_duration(spark, sf_dir):
+    return rounded(timeline.timeline_anomalies(_timeline(spark, sf_dir), "avg_duration_min"), "ma7")
+
+
+@register
+def period_delta(spark, sf_dir):
+    days = _timeline(spark, sf_dir)
+    every = [timeline.period_delta(days, metric) for metric in timeline.METRICS]
+    return rounded(reduce(DataFrame.unionByName, every), "early", "late", "delta_pct")
+
+
+@register
+def position_radar(spark, sf_dir):
+    scaled = reports.position_radar(_positions(spark, sf_dir))
+    return rounded(scaled, *reports.RADAR_METRICS)
+
+
+@register
+def item_report(spark, sf_dir):
+    bought = tables.item_report(mart_item_popularity(spark, sf_dir))
+    return bought.withColumn("favour", champions.favour(F.col("winrate_pct")))
+
+
+@register
+def action_plan(spark, sf_dir):
+    plan = reports.action_plan(_champions(spark, sf_dir), _players(spark, sf_dir), _positions(spark, sf_dir))
+    return rounded(plan, "gap")
+
+
+@register
+def insights(spark, sf_dir):
+    found = reports.insights(
+        _champions(spark, sf_dir), _players(spark, sf_dir), _positions(spark, sf_dir), _timeline(spark, sf_dir)
+    )
+    return rounded(found, "value")
+
+
+@register
+def balance_health(spark, sf_dir):
+    health = reports.balance_health(_champions(spark, sf_dir), _players(spark, sf_dir), _positions(spark, sf_dir))
+    return rounded(health, "mean_winrate_pct")
