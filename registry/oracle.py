@@ -271,7 +271,7 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY {RAW_ORDER}) = 1""",
     "landed_match_ids": "SELECT DISTINCT l_orderkey AS match_id FROM lineitem WHERE l_orderkey IS NOT NULL",
     "recent_matches_per_player": over(select="""
 SELECT puuid, match_id, game_date,
-       row_number() OVER (PARTITION BY puuid ORDER BY game_date DESC NULLS LAST, match_id) AS recency
+       CAST(row_number() OVER (PARTITION BY puuid ORDER BY game_date DESC NULLS LAST, match_id) AS INTEGER) AS recency
 FROM (SELECT puuid, match_id, max(game_date) AS game_date FROM fact
       WHERE puuid IS NOT NULL GROUP BY puuid, match_id)
 QUALIFY recency <= 5"""),
@@ -439,7 +439,7 @@ outliers AS (
   FROM scored QUALIFY place <= 3
 )"""
 
-OUTLIER_COLUMNS = f"""outlier_group, place, puuid, summoner_name, winrate_pct, avg_kda,
+OUTLIER_COLUMNS = f"""outlier_group, CAST(place AS INTEGER) AS place, puuid, summoner_name, winrate_pct, avg_kda,
        {rnd('kda_z', 6)} AS kda_z, {rnd('wr_z', 6)} AS wr_z, {rnd('gap', 6)} AS gap"""
 
 RANKED = """
@@ -582,7 +582,7 @@ SELECT summoner_name, main_position, most_played_champion, games_played, winrate
        avg_damage, avg_cs
 FROM players"""),
     "top_champions_per_player": over(PLAYER_CHAMPIONS, TOPS, select=f"""
-SELECT puuid, champion_name, team_position, games_played, winrate_pct, avg_kda, place,
+SELECT puuid, champion_name, team_position, games_played, winrate_pct, avg_kda, CAST(place AS INTEGER) AS place,
        {rnd('CAST(games_played AS DOUBLE) / sum(games_played) OVER (PARTITION BY puuid) * 100', 6)} AS share_pct
 FROM tops"""),
     "player_style": over(PLAYER_CHAMPIONS, TOPS, select=f"""
@@ -625,7 +625,8 @@ fitted AS (
 SELECT puuid, summoner_name, main_position,
        CASE WHEN aggressive THEN 'aggressive' WHEN supportive THEN 'supportive'
             WHEN safe THEN 'safe' ELSE 'balanced' END AS style_label,
-       row_number() OVER (PARTITION BY puuid, summoner_name ORDER BY fit DESC NULLS LAST, champion_name) AS place,
+       CAST(row_number() OVER (PARTITION BY puuid, summoner_name ORDER BY fit DESC NULLS LAST, champion_name)
+            AS INTEGER) AS place,
        champion_name, winrate_pct, picks, avg_kda, {rnd('fit', 6)} AS fit_score
 FROM fitted QUALIFY place <= 5"""),
     "lineup_breakdown": over(CHAMPIONS, POSITIONS, PICKS, select=f"""
