@@ -55,8 +55,8 @@ def text_to_bigint(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), whole)
 
 
-def epoch_ms_to_timestamp(text: Column) -> Column:
-    """Zone-free timestamp from epoch milliseconds; unusable input is null."""
-    seconds = (text_to_bigint(text).cast("decimal(20,0)") / F.lit(1000)).try_cast("decimal(18,6)")
+def epoch_ms_to_timestamp(millis: Column) -> Column:
+    """Zone-free timestamp from epoch milliseconds, whatever the session's zone."""
+    seconds = (millis.cast("decimal(20,0)") / F.lit(1000)).try_cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)

@@ -6,51 +6,123 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchforge import schema
 from matchforge.functions.numeric import epoch_ms_to_timestamp, text_to_bigint
 
 
-def document_schema(field_map: Mapping[str, str]) -> T.StructType:
-    """Schema holding only the paths the field map asks for, leaves as text.
+def _paths(field_map: Mapping[str, str]) -> tuple[dict, dict]:
+    """Columns read at match level and, as a tree, the participant fields they need.
 
-    Text leaves never fail to parse, so one odd value cannot void its match.
+    A tree leaf is the SQL type of the columns read from it.
     """
-    leaves: dict = {"puuid": None}
-    for path in field_map.values():
-        if path == schema.MATCH_ID_PATH or path in schema.MATCH_LEVEL_PATHS:
+    match_level = {name: "string" for name in schema.MATCH_LEVEL_PATHS.values()}
+    tree: dict = {"puuid": "string"}
+    for column, path in field_map.items():
+        if path == schema.MATCH_ID_PATH:
             continue
-        node = leaves
+        if path in schema.MATCH_LEVEL_PATHS:
+            match_level[schema.MATCH_LEVEL_PATHS[path]] = column_type(column)
+            continue
+        node = tree
         *parents, leaf = path.split(".")
         for name in parents:
-            if name in node and node[name] is None:
-                raise ValueError(f"field path {path!r} runs through another selected field")
             node = node.setdefault(name, {})
-        if node.get(leaf):
+            if not isinstance(node, dict):
+                raise ValueError(f"field path {path!r} runs through another selected field")
+        known = node.setdefault(leaf, column_type(column))
+        if isinstance(known, dict):
             raise ValueError(f"field path {path!r} is also a parent of another field")
-        node[leaf] = None
+        if known != column_type(column):
+            node[leaf] = "string"
+    return match_level, tree
+
 
-    def as_struct(node: dict) -> T.StructType:
-        return T.StructType(
-            [T.StructField(n, as_struct(c) if c else T.StringType()) for n, c in node.items()]
+def column_type(column: str) -> str:
+    """Type a fact column is parsed as; epoch milliseconds become timestamps later."""
+    if column in schema.INTEGER_COLUMNS or column in schema.EPOCH_MS_COLUMNS:
+        return "bigint"
+    return "boolean" if column in schema.BOOLEAN_COLUMNS else "string"
+
+
+def _struct_type(tree: Mapping, *, as_text: bool) -> str:
+    fields = [
+        f"`{name}`: " + (
+            _struct_type(node, as_text=as_text) if isinstance(node, dict) else "string" if as_text else node
         )
+        for name, node in tree.items()
+    ]
+    return f"STRUCT<{', '.join(fields)}>"
+
+
+def _typed_struct(value: Column, tree: Mapping) -> Column:
+    """Cast the text leaves of ``value`` to the types in ``tree``; unusable ones become null."""
+    fields = []
+    for name, node in tree.items():
+        if isinstance(node, dict):
+            field = F.when(value[name].isNotNull(), _typed_struct(value[name], node))
+        elif node == "bigint":
+            field = text_to_bigint(value[name])
+        else:
+            field = value[name].try_cast(node)
+        fields.append(field.alias(name))
+    return F.struct(*fields)
+
+
+def parse_documents(raw: DataFrame, field_map: Mapping[str, str], *carry: str) -> DataFrame:
+    """Match-level fields as struct ``info`` and participants as typed array, per document.
+
+    Only the selected paths are parsed, with the types the columns need. A
+    document in which some value has another JSON type (a number given as text,
+    say) is parsed again with all leaves as text and cast value by value, so
+    one odd value does not cost the others.
+    """
+    match_level, tree = _paths(field_map)
 
-    info = [T.StructField(name, T.StringType()) for name in schema.MATCH_LEVEL_PATHS.values()]
-    info.append(T.StructField("participants", T.ArrayType(as_struct(leaves))))
-    return T.StructType([T.StructField("info", T.StructType(info))])
+    def ddl(*, as_text: bool) -> str:
+        info = _struct_type(match_level, as_text=as_text)[len("STRUCT<"):-1]
+        return f"info STRUCT<{info}, participants: ARRAY<{_struct_type(tree, as_text=as_text)}>>"
 
+    parsed = F.from_json(
+        "_raw_json", ddl(as_text=False) + ", _odd STRING", {"columnNameOfCorruptRecord": "_odd"}
+    )
+    as_text = F.from_json("_raw_json", ddl(as_text=True))
+    odd = F.col("doc._odd").isNotNull()
+
+    def retyped(participant: Column) -> Column:
+        return F.when(participant.isNotNull(), _typed_struct(participant, tree))
 
-def resolve(path: str) -> Column:
-    """Value of one field path, as text; anything missing on the way is null."""
+    # Each document is a column of its own before it is used, so it is parsed once.
+    return (
+        raw.select("match_id", *carry, "_raw_json", parsed.alias("doc"))
+        .select("match_id", *carry, "doc", F.when(odd, as_text["info"]).alias("text"))
+        .select(
+            "match_id",
+            *carry,
+            F.when(odd, _typed_struct(F.col("text"), match_level)).otherwise(
+                F.struct(*[F.col(f"doc.info.{name}") for name in match_level])
+            ).alias("info"),
+            F.when(odd, F.transform("text.participants", retyped))
+            .otherwise(F.col("doc.info.participants")).alias("participants"),
+        )
+    )
+
+
+def resolve(column: str, path: str) -> Column:
+    """Value of one field path; anything missing on the way is null."""
     if path == schema.MATCH_ID_PATH:
-        return F.col("match_id")
-    if path in schema.MATCH_LEVEL_PATHS:
-        return F.col("info")[schema.MATCH_LEVEL_PATHS[path]]
-    value = F.col("participant")
-    for name in path.split("."):
-        value = value[name]
-    return value
+        value = F.col("match_id")
+    elif path in schema.MATCH_LEVEL_PATHS:
+        value = F.col("info")[schema.MATCH_LEVEL_PATHS[path]]
+    else:
+        value = F.col("participant")
+        for name in path.split("."):
+            value = value[name]
+    if column in schema.EPOCH_MS_COLUMNS:
+        return epoch_ms_to_timestamp(value)
+    if column == "team_position":
+        return normalize_position(value)
+    return value.try_cast(column_type(column))
 
 
 def normalize_position(position: Column) -> Column:
@@ -64,20 +136,7 @@ def normalize_position(position: Column) -> Column:
 def normalize_position_columns(df: DataFrame) -> DataFrame:
     """Re-apply the position names to whichever position columns ``df`` has."""
     present = [c for c in ("team_position", "main_position") if c in df.columns]
-    return df.withColumns({c: normalize_position(F.col(c)) for c in present})
-
-
-def typed(column: str, value: Column) -> Column:
-    """Give a text value the type its fact column has."""
-    if column in schema.INTEGER_COLUMNS:
-        return text_to_bigint(value)
-    if column in schema.BOOLEAN_COLUMNS:
-        return value.try_cast("boolean")
-    if column in schema.EPOCH_MS_COLUMNS:
-        return epoch_ms_to_timestamp(value)
-    if column == "team_position":
-        return normalize_position(value)
-    return value
+    return df.withColumns({c: normalize_position(F.col(c)) for c in present}) if present else df
 
 
 def flatten_matches(
@@ -96,16 +155,15 @@ def flatten_matches(
     """
     if not field_map:
         raise ValueError("the field map selects no columns")
-    parsed = F.from_json("_raw_json", document_schema(field_map))
     rows = (
-        raw.select("match_id", *first_by, parsed["info"].alias("info"))
+        parse_documents(raw, field_map, *first_by)
         .select(
             "match_id", *first_by, "info",
-            F.posexplode("info.participants").alias("__place", "participant"),
+            F.posexplode_outer("participants").alias("__place", "participant"),
         )
         .filter(F.col("participant").isNotNull())
         .select(
-            *[typed(name, resolve(path)).alias(name) for name, path in field_map.items()],
+            *[resolve(name, path).alias(name) for name, path in field_map.items()],
             F.col("match_id").alias("__match"),
             F.col("participant.puuid").alias("__player"),
             *[F.col(name).alias(f"__by_{name}") for name in first_by],

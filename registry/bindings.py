@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchforge.operators.flatten import normalize_position
+from matchforge.operators.flatten import normalize_position, normalize_position_columns
 
 # Part types -> position names as the match API writes them; the sixth type has none.
 POSITION_OF_TYPE = {
@@ -23,49 +23,68 @@ POSITION_OF_TYPE = {
 }
 
 
+# Columns of the tables that are read; a stated schema saves the footer scan.
+TABLES = {
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _whole_sql(value: str) -> str:
+    return f"CAST(floor({value}) AS BIGINT)"
 
 
 def _whole(value: str) -> Column:
-    return F.expr(f"CAST(floor({value}) AS BIGINT)")
+    return F.expr(_whole_sql(value))
 
 
-def api_position() -> Column:
-    position = F.lit(None).cast("string")
-    for part_type, name in POSITION_OF_TYPE.items():
-        position = F.when(F.col("p_type") == part_type, F.lit(name)).otherwise(position)
-    return position
-
-
-def _columns() -> dict[str, tuple[Column, str | None]]:
-    """Fact column -> (expression, dimension it needs)."""
-    return {
-        "match_id": (F.col("l_orderkey"), None),
-        "puuid": (F.expr("nullif(l_suppkey, 0)"), None),
-        "summoner_name": (F.col("s_name"), "supplier"),
-        "win": (F.col("l_linestatus") == "F", None),
-        "kills": (_whole("l_quantity / 5"), None),
-        "deaths": (F.expr("CAST(l_linenumber - 1 AS BIGINT)"), None),
-        "assists": (_whole("p_size / 5"), "part"),
-        "gold_earned": (_whole("l_extendedprice"), None),
-        "damage_to_champions": (_whole("l_extendedprice * (1 - l_discount) / 2"), None),
-        "vision_score": (_whole("l_discount * 900"), None),
-        "minions_killed": (F.expr("CAST(p_size AS BIGINT)"), "part"),
-        "neutral_minions_killed": (F.expr("CAST(l_linenumber AS BIGINT)"), None),
-        "champion_name": (F.expr("CASE WHEN p_size = 50 THEN NULL ELSE p_brand END"), "part"),
-        "team_position": (normalize_position(api_position()), "part"),
-        "game_date": (F.expr("nullif(l_shipdate, TIMESTAMP_NTZ '1999-01-01 00:00:00')"), None),
-        "game_duration": (_whole("o_totalprice / 100"), "orders"),
-        "item0": (F.col("l_partkey"), None),
-        "item1": (F.expr("CASE WHEN l_linenumber = 1 THEN 0 ELSE l_suppkey END"), None),
-        "item2": (F.expr("CAST(nullif(p_size, 1) AS BIGINT)"), "part"),
-        "item3": (F.expr("CAST(l_linenumber AS BIGINT)"), None),
-        "item4": (F.expr("CASE WHEN l_returnflag = 'R' THEN CAST(-l_linenumber AS BIGINT) ELSE l_partkey END"), None),
-        "item5": (F.expr("CAST(0 AS BIGINT)"), None),
-        "item6": (F.col("l_suppkey"), None),
-    }
+def _position_sql(names: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{part_type}' THEN '{name}'" for part_type, name in names.items())
+    return f"CASE p_type {whens} END"
+
 
+def api_position() -> Column:
+    return F.expr(_position_sql(POSITION_OF_TYPE))
+
+
+# Fact column -> (SQL over the line item and its dimensions, dimension it needs).
+COLUMNS: dict[str, tuple[str, str | None]] = {
+    "match_id": ("l_orderkey", None),
+    "puuid": ("nullif(l_suppkey, 0)", None),
+    "summoner_name": ("s_name", "supplier"),
+    "win": ("l_linestatus = 'F'", None),
+    "kills": (_whole_sql("l_quantity / 5"), None),
+    "deaths": ("CAST(l_linenumber - 1 AS BIGINT)", None),
+    "assists": (_whole_sql("p_size / 5"), "part"),
+    "gold_earned": (_whole_sql("l_extendedprice"), None),
+    "damage_to_champions": (_whole_sql("l_extendedprice * (1 - l_discount) / 2"), None),
+    "vision_score": (_whole_sql("l_discount * 900"), None),
+    "minions_killed": ("CAST(p_size AS BIGINT)", "part"),
+    "neutral_minions_killed": ("CAST(l_linenumber AS BIGINT)", None),
+    "champion_name": ("CASE WHEN p_size = 50 THEN NULL ELSE p_brand END", "part"),
+    "team_position": (_position_sql(POSITION_OF_TYPE), "part"),
+    "game_date": ("nullif(l_shipdate, TIMESTAMP_NTZ '1999-01-01 00:00:00')", None),
+    "game_duration": (_whole_sql("o_totalprice / 100"), "orders"),
+    "item0": ("l_partkey", None),
+    "item1": ("CASE WHEN l_linenumber = 1 THEN 0 ELSE l_suppkey END", None),
+    "item2": ("CAST(nullif(p_size, 1) AS BIGINT)", "part"),
+    "item3": ("CAST(l_linenumber AS BIGINT)", None),
+    "item4": ("CASE WHEN l_returnflag = 'R' THEN CAST(-l_linenumber AS BIGINT) ELSE l_partkey END", None),
+    "item5": ("CAST(0 AS BIGINT)", None),
+    "item6": ("l_suppkey", None),
+}
 
 _JOINS = {
     "part": ("l_partkey", "p_partkey"),
@@ -76,14 +95,13 @@ _JOINS = {
 
 def participants(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The participant fact with the given columns (all when none are named)."""
-    available = _columns()
-    chosen = columns or tuple(available)
+    chosen = columns or tuple(COLUMNS)
     rows = read(spark, sf_dir, "lineitem")
     for table, (left, right) in _JOINS.items():
-        if any(available[c][1] == table for c in chosen):
+        if any(COLUMNS[c][1] == table for c in chosen):
             dimension = read(spark, sf_dir, table)
             rows = rows.join(dimension, rows[left] == dimension[right], "left")
-    return rows.select(*[available[c][0].alias(c) for c in chosen])
+    return normalize_position_columns(rows.selectExpr(*[f"{COLUMNS[c][0]} AS {c}" for c in chosen]))
 
 
 PLAYER_FACT = (
@@ -152,7 +170,7 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             item0.alias("item0"),
             F.lit(0).alias("item1"),
             F.col("p_brand").alias("championName"),
-            F.col("p_size").cast("string").alias("championId"),
+            F.col("p_size").alias("championId"),
             challenges.alias("challenges"),
         )
 

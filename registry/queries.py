@@ -337,7 +337,7 @@ def player_style(spark, sf_dir):
 
 @register
 def recommend_champions(spark, sf_dir):
-    found = players.recommend_champions(mart_player_stats(spark, sf_dir), _champions(spark, sf_dir))
+    found = players.recommend_champions(_players(spark, sf_dir), _champions(spark, sf_dir))
     return rounded(found, "fit_score")
 
 
