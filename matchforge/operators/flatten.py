@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from matchforge import schema
 from matchforge.functions.numeric import epoch_ms_to_timestamp, text_to_bigint
 
+# Characters JSON allows around a document.
+BLANKS = " \t\r\n"
+
 
 def _paths(field_map: Mapping[str, str]) -> tuple[dict, dict]:
     """Columns read at match level and, as a tree, the participant fields they need.
@@ -69,6 +72,12 @@ def _typed_struct(value: Column, tree: Mapping) -> Column:
     return F.struct(*fields)
 
 
+def _ends_as_object() -> Column:
+    """The JSON parser stops after the object; a document with more text is corrupt."""
+    text = F.col("_raw_json")
+    return text.endswith("}") | F.rtrim(text, F.lit(BLANKS)).endswith("}")
+
+
 def parse_documents(raw: DataFrame, field_map: Mapping[str, str], *carry: str) -> DataFrame:
     """Match-level fields as struct ``info`` and participants as typed array, per document.
 
@@ -94,7 +103,8 @@ def parse_documents(raw: DataFrame, field_map: Mapping[str, str], *carry: str) -
 
     # Each document is a column of its own before it is used, so it is parsed once.
     return (
-        raw.select("match_id", *carry, "_raw_json", parsed.alias("doc"))
+        raw.filter(_ends_as_object())
+        .select("match_id", *carry, "_raw_json", parsed.alias("doc"))
         .select("match_id", *carry, "doc", F.when(odd, as_text["info"]).alias("text"))
         .select(
             "match_id",
@@ -191,6 +201,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 def corrupt_matches(raw: DataFrame) -> DataFrame:
     """Ids of the documents that are skipped because they are not JSON objects."""
-    document = F.try_parse_json("_raw_json")
-    is_object = F.schema_of_variant(document).startswith("OBJECT")
-    return raw.filter(document.isNull() | ~is_object).select("match_id")
+    starts = F.ltrim("_raw_json", F.lit(BLANKS)).startswith("{")
+    is_object = starts & _ends_as_object() & F.try_parse_json("_raw_json").isNotNull()
+    return raw.filter(~F.coalesce(is_object, F.lit(False))).select("match_id")
