@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from matchforge.functions.numeric import epoch_ms_to_timestamp, text_to_bigint
 BLANKS = " \t\r\n"
 
 
-def _paths(field_map: Mapping[str, str]) -> tuple[dict, dict]:
+def _paths(field_map: Mapping[str, str], types: Mapping[str, str]) -> tuple[dict, dict]:
     """Columns read at match level and, as a tree, the participant fields they need.
 
     A tree leaf is the SQL type of the columns read from it.
@@ -25,7 +26,7 @@ def _paths(field_map: Mapping[str, str]) -> tuple[dict, dict]:
         if path == schema.MATCH_ID_PATH:
             continue
         if path in schema.MATCH_LEVEL_PATHS:
-            match_level[schema.MATCH_LEVEL_PATHS[path]] = column_type(column)
+            match_level[schema.MATCH_LEVEL_PATHS[path]] = column_type(column, types)
             continue
         node = tree
         *parents, leaf = path.split(".")
@@ -33,16 +34,18 @@ def _paths(field_map: Mapping[str, str]) -> tuple[dict, dict]:
             node = node.setdefault(name, {})
             if not isinstance(node, dict):
                 raise ValueError(f"field path {path!r} runs through another selected field")
-        known = node.setdefault(leaf, column_type(column))
+        known = node.setdefault(leaf, column_type(column, types))
         if isinstance(known, dict):
             raise ValueError(f"field path {path!r} is also a parent of another field")
-        if known != column_type(column):
+        if known != column_type(column, types):
             node[leaf] = "string"
     return match_level, tree
 
 
-def column_type(column: str) -> str:
+def column_type(column: str, types: Mapping[str, str]) -> str:
     """Type a fact column is parsed as; epoch milliseconds become timestamps later."""
+    if column in types:
+        return types[column]
     if column in schema.INTEGER_COLUMNS or column in schema.EPOCH_MS_COLUMNS:
         return "bigint"
     return "boolean" if column in schema.BOOLEAN_COLUMNS else "string"
@@ -78,7 +81,9 @@ def _ends_as_object() -> Column:
     return text.endswith("}") | F.rtrim(text, F.lit(BLANKS)).endswith("}")
 
 
-def parse_documents(raw: DataFrame, field_map: Mapping[str, str], *carry: str) -> DataFrame:
+def parse_documents(
+    raw: DataFrame, field_map: Mapping[str, str], types: Mapping[str, str], *carry: str
+) -> DataFrame:
     """Match-level fields as struct ``info`` and participants as typed array, per document.
 
     Only the selected paths are parsed, with the types the columns need. A
@@ -86,7 +91,7 @@ def parse_documents(raw: DataFrame, field_map: Mapping[str, str], *carry: str) -
     say) is parsed again with all leaves as text and cast value by value, so
     one odd value does not cost the others.
     """
-    match_level, tree = _paths(field_map)
+    match_level, tree = _paths(field_map, types)
 
     def ddl(*, as_text: bool) -> str:
         info = _struct_type(match_level, as_text=as_text)[len("STRUCT<"):-1]
@@ -118,7 +123,7 @@ def parse_documents(raw: DataFrame, field_map: Mapping[str, str], *carry: str) -
     )
 
 
-def resolve(column: str, path: str) -> Column:
+def resolve(column: str, path: str, types: Mapping[str, str]) -> Column:
     """Value of one field path; anything missing on the way is null."""
     if path == schema.MATCH_ID_PATH:
         value = F.col("match_id")
@@ -132,7 +137,7 @@ def resolve(column: str, path: str) -> Column:
         return epoch_ms_to_timestamp(value)
     if column == "team_position":
         return normalize_position(value)
-    return value.try_cast(column_type(column))
+    return value.try_cast(column_type(column, types))
 
 
 def normalize_position(position: Column) -> Column:
@@ -153,12 +158,14 @@ def flatten_matches(
     raw: DataFrame,
     field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
     *,
+    types: Mapping[str, str] = MappingProxyType({}),
     deduplicate: bool = True,
     first_by: Sequence[str] = (),
 ) -> DataFrame:
     """One typed row per participant of each match document.
 
-    ``raw`` has ``match_id`` and ``_raw_json``. Undecodable documents, documents
+    ``raw`` has ``match_id`` and ``_raw_json``. ``types`` names the SQL types of
+    columns the schema does not know; others of those are text. Undecodable documents, documents
     that are not objects and documents without participants give no rows. With
     ``deduplicate`` the first row per (match, player) is kept, first meaning
     the order of ``first_by`` and then the place in the document.
@@ -166,14 +173,14 @@ def flatten_matches(
     if not field_map:
         raise ValueError("the field map selects no columns")
     rows = (
-        parse_documents(raw, field_map, *first_by)
+        parse_documents(raw, field_map, types, *first_by)
         .select(
             "match_id", *first_by, "info",
             F.posexplode_outer("participants").alias("__place", "participant"),
         )
         .filter(F.col("participant").isNotNull())
         .select(
-            *[resolve(name, path).alias(name) for name, path in field_map.items()],
+            *[resolve(name, path, types).alias(name) for name, path in field_map.items()],
             F.col("match_id").alias("__match"),
             F.col("participant.puuid").alias("__player"),
             *[F.col(name).alias(f"__by_{name}") for name in first_by],

@@ -60,8 +60,12 @@ INTEGER_COLUMNS: tuple[str, ...] = (
     "vision_score", "wards_placed", "wards_killed",
     "item0", "item1", "item2", "item3", "item4", "item5", "item6",
     "game_duration", "champion_id", "team_id",
+    # columns a field map may add
+    "pentakills", "quadrakills", "turret_kills", "dragon_kills", "baron_kills",
+    "time_spent_living", "crowd_control_score",
+    "spell1_casts", "spell2_casts", "spell3_casts", "spell4_casts",
 )
-BOOLEAN_COLUMNS: tuple[str, ...] = ("win",)
+BOOLEAN_COLUMNS: tuple[str, ...] = ("win", "first_blood")
 EPOCH_MS_COLUMNS: tuple[str, ...] = ("game_date",)
 
 # Position names written by the match API -> names used here.

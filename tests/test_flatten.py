@@ -44,6 +44,12 @@ def test_nested_and_missing_paths(spark):
     }
 
 
+def test_types_of_added_columns(spark):
+    raw = raw_frame(spark, ("M", document([participant(0, pentaKills=1, challenges={"kda": 4.5})])))
+    flat = flatten_matches(raw, {"pentakills": "pentaKills", "kda": "challenges.kda"}, types={"kda": "double"})
+    assert flat.collect()[0].asDict() == {"pentakills": 1, "kda": 4.5}
+
+
 def test_overlapping_paths_are_refused(spark):
     with pytest.raises(ValueError):
         flatten_matches(raw_frame(spark), {"all": "challenges", "kda": "challenges.kda"})
