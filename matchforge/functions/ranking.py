@@ -8,7 +8,7 @@ exact offset inside a bucket comes from a window partitioned by that bucket.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,49 +37,58 @@ def magnitude(value: Column) -> Column:
 
 
 
-def with_rank(
-    df: DataFrame,
-    output: str,
-    keys: Sequence[By],
-    *,
-    average: bool = False,
-    bucket: Callable[[Column], Column] = F.floor,
-) -> DataFrame:
-    """Add the global rank of each row under ``keys`` as column ``output``.
+@dataclass(frozen=True)
+class Rank:
+    """A global rank: ties share the lowest place, or with ``average`` the mean of theirs.
 
-    Ties share the lowest rank (SQL ``RANK``), or the mean of their positions
-    with ``average``. ``bucket`` must not decrease with the first key and should
-    map it to few values; null keys form a bucket of their own.
+    ``bucket`` must not decrease with the first key and should map it to few
+    values; null keys form a bucket of their own.
     """
-    names = [key.column for key in keys]
+
+    keys: Sequence[By]
+    average: bool = False
+    bucket: Callable[[Column], Column] = F.floor
+
+
+def _places(df: DataFrame, output: str, rank: Rank) -> DataFrame:
+    """One row per distinct key value (as ``__k_<key>``) with its place."""
+    names = [key.column for key in rank.keys]
     counts = (
         df.groupBy(*names)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__bucket", bucket(F.col(names[0])))
+        .withColumn("__bucket", rank.bucket(F.col(names[0])))
     )
-    buckets = counts.groupBy("__bucket").agg(F.sum("__n").alias("__size"))
-    ahead = Window.orderBy(keys[0].order("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(
-        F.col("__bucket").alias("__b"),
-        F.coalesce(F.sum("__size").over(ahead), F.lit(0)).alias("__ahead"),
+    ahead = Window.orderBy(rank.keys[0].order("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (
+        counts.groupBy("__bucket")
+        .agg(F.sum("__n").alias("__size"))
+        .select(F.col("__bucket").alias("__b"), F.sum("__size").over(ahead).alias("__ahead"))
     )
     inside = (
         Window.partitionBy("__bucket")
-        .orderBy(*[key.order() for key in keys])
+        .orderBy(*[key.order() for key in rank.keys])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    position = F.col("__ahead") + F.coalesce(F.col("__inside"), F.lit(0)) + F.lit(1)
-    if average:
-        position = position + (F.col("__n") - F.lit(1)) / F.lit(2.0)
-    ranks = (
+    place = F.coalesce(F.col("__ahead"), F.lit(0)) + F.coalesce(F.col("__inside"), F.lit(0)) + F.lit(1)
+    if rank.average:
+        place = place + (F.col("__n") - F.lit(1)) / F.lit(2.0)
+    return (
         counts.withColumn("__inside", F.sum("__n").over(inside))
         .join(buckets, F.col("__bucket").eqNullSafe(F.col("__b")))
-        .select(*[F.col(n).alias(f"__k_{n}") for n in names], position.alias(output))
+        .select(*[F.col(n).alias(f"__k_{n}") for n in names], place.alias(output))
     )
-    match = F.lit(True)
-    for name in names:
-        match = match & df[name].eqNullSafe(ranks[f"__k_{name}"])
-    return df.join(ranks, match, "left").drop(*[f"__k_{n}" for n in names])
+
+
+def with_ranks(df: DataFrame, ranks: Mapping[str, Rank]) -> DataFrame:
+    """Add the global ranks as columns of the given names; ``df`` is best a stored table."""
+    result = df
+    for output, rank in ranks.items():
+        match = F.lit(True)
+        for key in rank.keys:
+            match = match & F.col(key.column).eqNullSafe(F.col(f"__k_{key.column}"))
+        places = _places(df, output, rank)
+        result = result.join(places, match, "left").drop(*[f"__k_{key.column}" for key in rank.keys])
+    return result
 
 
 def average_rank(value: Column, partition_by: Sequence[str], *, descending: bool = False) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchforge.functions.numeric import is_true, order_free_sum, ratio, round_to, z_score
-from matchforge.functions.ranking import By, percent_rank_of_mean, with_rank
+from matchforge.functions.ranking import By, Rank, percent_rank_of_mean, with_ranks
 from matchforge.plans.champions import favour
 from matchforge.session import stage
 
@@ -76,8 +76,10 @@ def outlier_cards(outliers: DataFrame) -> DataFrame:
 
 def rank_gap(players: DataFrame) -> DataFrame:
     """Average ranks by KDA and win rate, and how far wins trail behind KDA."""
-    ranked = with_rank(players, "kda_rank", [By("avg_kda")], average=True)
-    ranked = with_rank(ranked, "wr_rank", [By("winrate_pct")], average=True)
+    ranked = with_ranks(players, {
+        "kda_rank": Rank([By("avg_kda")], average=True),
+        "wr_rank": Rank([By("winrate_pct")], average=True),
+    })
     for value, rank in (("avg_kda", "kda_rank"), ("winrate_pct", "wr_rank")):
         ranked = ranked.withColumn(rank, F.when(F.col(value).isNotNull(), F.col(rank)))
     return ranked.withColumn("gap", F.col("wr_rank") - F.col("kda_rank"))

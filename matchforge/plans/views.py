@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchforge.functions.numeric import ratio, round_to
-from matchforge.functions.ranking import By, magnitude, with_rank
+from matchforge.functions.ranking import By, Rank, magnitude, with_ranks
 
 
 def top_players(players: DataFrame, *, min_games: int = 5) -> DataFrame:
@@ -19,11 +19,10 @@ def top_players(players: DataFrame, *, min_games: int = 5) -> DataFrame:
         "summoner_name", "main_position", "most_played_champion", "games_played", "winrate_pct",
         "avg_kda", "avg_damage", "avg_gold", "avg_cs", "avg_vision",
     )
-    ranked = with_rank(
-        regular, "rank_wr",
-        [By("winrate_pct", nulls_first=True), By("games_played", nulls_first=True)],
-    )
-    return with_rank(ranked, "rank_kda", [By("avg_kda", nulls_first=True)])
+    return with_ranks(regular, {
+        "rank_wr": Rank([By("winrate_pct", nulls_first=True), By("games_played")]),
+        "rank_kda": Rank([By("avg_kda", nulls_first=True)]),
+    })
 
 
 def meta_champions(champions: DataFrame) -> DataFrame:
@@ -50,8 +49,10 @@ def item_efficiency(items: DataFrame, *, min_purchases: int = 10) -> DataFrame:
         "item_name", "total_purchases", "winrate_pct", "gold_total", "tags",
         round_to(score, 4).alias("gold_efficiency_score"),
     )
-    ranked = with_rank(frequent, "rank_wr", [By("winrate_pct", nulls_first=True)])
-    return with_rank(ranked, "rank_pop", [By("total_purchases")], bucket=magnitude)
+    return with_ranks(frequent, {
+        "rank_wr": Rank([By("winrate_pct", nulls_first=True)]),
+        "rank_pop": Rank([By("total_purchases")], bucket=magnitude),
+    })
 
 
 def position_overview(positions: DataFrame) -> DataFrame:

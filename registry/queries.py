@@ -111,24 +111,29 @@ NESTED_FIELDS = {
 }
 
 
+def _landed(spark, sf_dir):
+    """The raw records written as landed files first, as the flattening finds them."""
+    return stage(b.raw_matches(spark, sf_dir), "raw")
+
+
 @register
 def flatten_matches(spark, sf_dir):
-    return flatten.flatten_matches(b.raw_matches(spark, sf_dir), deduplicate=False)
+    return flatten.flatten_matches(_landed(spark, sf_dir), deduplicate=False)
 
 
 @register
 def flatten_dedup(spark, sf_dir):
-    return flatten.flatten_matches(b.raw_matches(spark, sf_dir), first_by=b.RAW_ORDER)
+    return flatten.flatten_matches(_landed(spark, sf_dir), first_by=b.RAW_ORDER)
 
 
 @register
 def flatten_nested_fields(spark, sf_dir):
-    return flatten.flatten_matches(b.raw_matches(spark, sf_dir), NESTED_FIELDS, first_by=b.RAW_ORDER)
+    return flatten.flatten_matches(_landed(spark, sf_dir), NESTED_FIELDS, first_by=b.RAW_ORDER)
 
 
 @register
 def corrupt_matches(spark, sf_dir):
-    bad = flatten.corrupt_matches(b.raw_matches(spark, sf_dir))
+    bad = flatten.corrupt_matches(_landed(spark, sf_dir))
     return bad.groupBy("match_id").agg(F.count(F.lit(1)).alias("records"))
 
 

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from matchforge.functions.ranking import By, magnitude, with_rank
+from matchforge.functions.ranking import By, Rank, magnitude, with_ranks
 from matchforge.operators.graph import expand_players
 from matchforge.plans import champions as c
 from matchforge.plans import lineups as l
@@ -45,22 +45,22 @@ def players(spark, *rows):
 def test_rank_matches_pandas(spark, descending, average):
     values = [((i * 37) % 101) / 10 - 3 if i % 9 else None for i in range(400)]
     df = spark.createDataFrame(list(enumerate(values)), "id INT, v DOUBLE")
-    got = with_rank(df, "r", [By("v", descending=descending)], average=average).filter("v IS NOT NULL")
+    got = with_ranks(df, {"r": Rank([By("v", descending=descending)], average=average)}).filter("v IS NOT NULL")
     want = pd.Series(values, dtype=float).rank(ascending=not descending, method="average" if average else "min").dropna()
     assert {r.id: float(r.r) for r in got.collect()} == want.to_dict()
 
 
 def test_rank_of_two_keys_and_nulls_first(spark):
     df = spark.createDataFrame([(1, 5.5, 3), (2, 5.5, 4), (3, None, 1), (4, 5.2, 9), (5, 5.5, 3)], "id INT, a DOUBLE, b INT")
-    got = with_rank(df, "r", [By("a", nulls_first=True), By("b")])
+    got = with_ranks(df, {"r": Rank([By("a", nulls_first=True), By("b")])})
     assert {r.id: r.r for r in got.collect()} == {3: 1, 2: 2, 1: 3, 5: 3, 4: 5}
-    counts = with_rank(df, "r", [By("b")], bucket=magnitude)
+    counts = with_ranks(df, {"r": Rank([By("b")], bucket=magnitude)})
     assert {r.id: r.r for r in counts.collect()} == {4: 1, 2: 2, 1: 3, 5: 3, 3: 5}
 
 
 def test_rank_sorts_no_whole_set_in_one_task(spark):
     df = spark.range(1000).select((F.col("id") % 70).cast("double").alias("v"))
-    plan = with_rank(df, "r", [By("v")])._jdf.queryExecution().optimizedPlan().toString()
+    plan = with_ranks(df, {"r": Rank([By("v")])})._jdf.queryExecution().optimizedPlan().toString()
     for line in plan.splitlines():
         if "Window [" in line and "__size" in line:
             continue  # sums over the buckets
