@@ -31,7 +31,11 @@ def league_entries(payloads: DataFrame, *, league: str, queue: str, region: str)
 
 
 def fill_missing_puuid(players: DataFrame, summoners: DataFrame) -> DataFrame:
-    """Players lacking a puuid get it from the landed summoner table (id, puuid)."""
+    """Players lacking a puuid get it from the landed summoner table (id, puuid).
+
+    Only they are joined, so complete rows and rows without any id stay out of
+    the shuffle.
+    """
     lookup = (
         summoners.filter(F.col("id").isNotNull())
         .groupBy("id")
@@ -39,12 +43,15 @@ def fill_missing_puuid(players: DataFrame, summoners: DataFrame) -> DataFrame:
     )
     if "puuid" not in players.columns:
         players = players.withColumn("puuid", F.lit(None).cast("string"))
-    asked = F.when(F.col("puuid").isNull(), F.col("summonerId"))
-    return (
-        players.join(lookup, asked == F.col("id"), "left")
-        .withColumn("puuid", F.coalesce("puuid", "found_puuid"))
-        .drop("id", "found_puuid")
+    to_ask = F.col("puuid").isNull() & F.col("summonerId").isNotNull()
+    found = (
+        players.filter(to_ask)
+        .drop("puuid")
+        .join(lookup, F.col("summonerId") == F.col("id"), "left")
+        .withColumnRenamed("found_puuid", "puuid")
+        .select(players.columns)
     )
+    return players.filter(~to_ask).unionByName(found)
 
 
 def player_dimension(raw_players: DataFrame) -> DataFrame:

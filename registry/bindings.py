@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.operators.flatten import normalize_position, normalize_position_columns
+from matchforge.session import spread
 
 # Part types -> position names as the match API writes them; the sixth type has none.
 POSITION_OF_TYPE = {
@@ -144,7 +145,7 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     An order with several lines is a match landed in several copies; suppliers
     met twice in an order are the duplicates. Lines taxed at 8 % are unreadable.
     """
-    lines = read(spark, sf_dir, "lineitem")
+    lines = spread(read(spark, sf_dir, "lineitem"))
     parts = read(spark, sf_dir, "part")
     rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left")
     won = F.col("l_linestatus") == "F"
