@@ -44,7 +44,7 @@ def duckdb_seconds(sf_dir: str, cpus: str, names) -> dict[str, float]:
     for file in Path(sf_dir).glob("*.parquet"):
         con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return {
-        name: round(min(timed(lambda: con.execute(ORACLE[name]).fetch_arrow_table()) for _ in range(2)), 3)
+        name: round(min(timed(lambda: con.execute(ORACLE[name]).to_arrow_table()) for _ in range(2)), 3)
         for name in names if name in ORACLE
     }
 
