@@ -45,10 +45,10 @@ def _grouped(
 def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games: int = 3) -> DataFrame:
     """Per player: distinct matches, averages, win rate, favourite champion and position.
 
-    Three narrow row sets are stacked and merged by one last grouping: totals,
-    one row per distinct match, and one vote count per champion and position.
-    A player with a large share of all rows is thus split by match and by
-    champion first, and grouping keeps null names together without joins.
+    Three small row sets are stacked and merged by one last grouping: totals,
+    distinct matches, and one vote count per champion and position. A player
+    with a large share of all rows is thus split by match and by champion
+    first, and grouping keeps null names together without joins.
     The favourite is the most frequent value, the smallest one on a tie.
     """
     known = F.col("puuid").isNotNull()
@@ -56,7 +56,8 @@ def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games:
         fact.filter(known & F.col("match_id").isNotNull())
         .select(*PLAYER, "match_id")
         .distinct()
-        .select(*PLAYER, F.lit(1).cast("bigint").alias("games_played"))
+        .groupBy(*PLAYER)
+        .agg(F.count(F.lit(1)).alias("games_played"))
     )
     ballots = F.array(
         F.struct(F.lit("champion").alias("kind"), F.col("champion_name").alias("choice")),
