@@ -11,15 +11,16 @@ Plan:
 1. One pass over the texts gives set size, a 128-bit key of the whole set and the
    registers. Equal keys are exact copies: one row per different set goes on.
 2. The registers are cut into bands; sets that agree on a whole band share a bucket.
-3. Rounds: in each bucket a few members (first the smallest id) are compared with all
-   members that are not yet in the same component. So a bucket of n near copies costs
-   n comparisons, not n squared, and a round is linear in the bucket rows. Members
-   outside the largest component of their bucket take their turn in later rounds until
-   each has met all members of other components: no pair in a bucket that could join
-   two components is left out.
-4. A pair is first rated by the likelihood of its registers, given the two set sizes,
-   which are known; what is clearly under the threshold is dropped. The rest is
-   verified on the full sets.
+3. First each member of a bucket is compared with the bucket's smallest id only: a
+   bucket of n near copies costs n comparisons. A pair is rated by the likelihood of its
+   registers, given the two set sizes, which are known; what is clearly under the
+   threshold is dropped and the rest is verified on the full sets.
+4. What the links leave open are buckets whose members are in several components. There
+   every member outside the bucket's largest component is compared with all members of
+   other components, on the full sets, as products of small incidence matrices: members
+   are packed in blocks of bounded size, a task meets two blocks, and only the components
+   that turn out linked are written, never the pairs. So no pair in a bucket that could
+   join two components is left out.
 5. Links are contracted to the smallest id by distributed hooking and jumping. Every
    step is a written table in the shared folder.
 
@@ -39,7 +40,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchforge.llm.common import byte_values, column, in_tasks, mix, pick, slices, stage, text_bytes, unit_hashes
@@ -56,8 +57,11 @@ TOP = 65535
 # Estimates this far under the threshold are dropped: five standard deviations of
 # the estimate from 168 registers at 0.85.
 MARGIN = 0.14
-# Members of a bucket that are compared with all others in one round.
-TURNS = 16
+# Shingles in a block of bucket members, and members multiplied at a time.
+BLOCK_ELEMENTS = 1 << 16
+MULTIPLIED = 256
+# Ids of documents whose sets are needed are broadcast up to this number (16 MB), else joined by shuffling.
+BROADCAST_IDS = 2_000_000
 _GAPS = b" \t\n\r\x0b\x0c"
 _VALUES = byte_values(True, _GAPS)
 _SEEDS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -187,8 +191,8 @@ def contract(edges: DataFrame) -> DataFrame:
     the edges are carried over to the labels until none joins two of them. Only nodes
     that change label are listed.
     """
-    labels, spark = None, edges.sparkSession
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    labels = None
+    edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     while True:
         hooks = stage(edges.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "id"), "hooks")
         for _ in range(2):
@@ -215,11 +219,6 @@ def _carry(edges: DataFrame, hooks: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
-def _relabel(rows: DataFrame, hooks: DataFrame) -> DataFrame:
-    step = hooks.select(F.col("id").alias("label"), F.col("label").alias("_next"))
-    return rows.join(step, "label", "left").withColumn("label", F.coalesce("_next", "label")).drop("_next")
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
     percent = round(100 * threshold)
@@ -229,46 +228,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # one row per different set, under its smallest id
     reps = stage(listed.groupBy("key").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "sets")
-    # a document may repeat an id with another text: its sets share the id and so the component
     buckets = in_tasks(reps.select("id", "sketch"), _bands, "bucket long, id long")
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    members = stage(buckets.join(shared.select("bucket"), "bucket").distinct().withColumn("label", F.col("id")), "buckets")
+    members = stage(buckets.join(shared.select("bucket", "least"), "bucket").distinct(), "buckets")
+    elements = _elements(rows, members)
 
-    labels = members.select("id", "label").limit(0)
-    tested = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    done = members.select("bucket", "id").limit(0)
-    elements = None
-    first = True
-    while True:
-        if first:
-            turns = members.groupBy("bucket").agg(F.min("id").alias("id"))
-            turns = turns.withColumn("label", F.col("id"))
-        else:
-            turns = _turns(members, done)
-        turns = stage(turns, "turns")
-        if turns.isEmpty():
-            break
-        pairs = members.join(
-            turns.select("bucket", F.col("id").alias("turn"), F.col("label").alias("turn_label")), "bucket",
-        ).where("label <> turn_label").select(
-            F.greatest("id", "turn").alias("a"), F.least("id", "turn").alias("b")).distinct()
-        if not first:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if first else tested.unionByName(pairs)
-        done = turns.select("bucket", "id") if first else done.unionByName(turns.select("bucket", "id"))
-        likely = stage(_likely(pairs, reps, percent), "likely")
-        if not likely.isEmpty():
-            elements = _elements(rows, likely, elements)
-            links = stage(_linked(likely, elements, percent), "links")
-            if not links.isEmpty():
-                hooks = contract(_on_labels(links, labels))
-                # nodes met before follow the new hooks, others enter with theirs
-                labels = stage(follow(labels, hooks).unionByName(
-                    hooks.join(labels.select("id"), "id", "left_anti")), "labels")
-                members = _relabel(members, hooks)
-        members = stage(_open(members), "buckets")
-        first = False
+    stars = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+    likely = stage(_likely(stars, reps, percent), "likely")
+    labels = contract(_linked(likely, elements, percent))
+    rest = _rest(follow_ids(members.select("bucket", "id"), labels), elements, percent)
+    hooks = contract(rest)
+    # nodes met before follow the new hooks, others enter with theirs
+    labels = stage(follow(labels, hooks).unionByName(hooks.join(labels.select("id"), "id", "left_anti")), "labels")
 
     component = F.coalesce("label", "id")
     placed = reps.join(labels, "id", "left").select("key", component.alias("component_id"))
@@ -278,27 +249,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """The buckets whose members are still in more than one component."""
-    several = members.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m")
-    return members.join(several.select("bucket"), "bucket")
-
-
-def _turns(members: DataFrame, done: DataFrame) -> DataFrame:
-    """The next few members to compare with all others: any outside the bucket's largest component."""
-    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("top"))
-    waiting = members.join(largest, "bucket").where("label <> top").join(done, ["bucket", "id"], "left_anti")
-    order = Window.partitionBy("bucket").orderBy("id")
-    return waiting.withColumn("_n", F.row_number().over(order)).where(f"_n <= {TURNS}").select("bucket", "id", "label")
-
-
-def _on_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links between the components found so far."""
-    for end in ("a", "b"):
-        step = labels.select(F.col("id").alias(end), F.col("label").alias("_next"))
-        links = links.join(step, end, "left").withColumn(end, F.coalesce("_next", end)).drop("_next")
-    return links.where("a <> b").select("a", "b")
+def follow_ids(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Bucket members with the label of their component so far."""
+    return members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
 def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -309,18 +262,75 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return in_tasks(sized, partial(_rate, least=percent / 100 - MARGIN), "a long, b long").distinct()
 
 
-def _elements(rows: DataFrame, pairs: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Full sets of the documents in ``pairs`` that are not ``known`` yet, and those that are."""
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    if known is not None:
-        needed = needed.join(known.select("id"), "id", "left_anti")
-    needed = stage(needed, "needed")  # a written size, by which Spark broadcasts it or not
-    texts = rows.join(needed.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    new = stage(in_tasks(texts, _sets, "id long, elements binary"), "elements")
-    return new if known is None else known.unionByName(new)
+def _elements(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``id`` and the full set of every bucket member, from the texts."""
+    needed = stage(members.select(F.col("id").alias("doc_id")).distinct(), "needed")
+    if needed.count() <= BROADCAST_IDS:
+        needed = F.broadcast(needed)
+    return stage(in_tasks(rows.join(needed, "doc_id", "left_semi"), _sets, "id long, elements binary"), "elements")
 
 
 def _linked(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
     of = lambda end: elements.select(F.col("id").alias(end), F.col("elements").alias(f"e_{end}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     return in_tasks(both, partial(_verify, percent=percent), "a long, b long").distinct()
+
+
+def _rest(members: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
+    """Linked components (a, b) of buckets that hold members of several components."""
+    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    open_ = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
+    open_ = open_.where("labels > 1").select("bucket", F.col("top.label").alias("top"))
+    held = members.join(open_, "bucket").join(elements, "id").withColumn("out", F.col("label") != F.col("top"))
+    held = stage(held.select("bucket", "id", "label", "out", "elements"), "open_buckets")
+    length = F.length("elements") / 8
+    blocks = held.groupBy("bucket").agg(
+        F.ceil(F.sum(length) / BLOCK_ELEMENTS).alias("n_all"),
+        F.ceil(F.sum(F.when(F.col("out"), length)) / BLOCK_ELEMENTS).alias("n_out"))
+    placed = held.join(blocks, "bucket")
+
+    def packed(some: DataFrame, count: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col(count))
+        return some.withColumn("block", block).groupBy("bucket", "block").agg(
+            F.collect_list(F.struct("label", "elements")).alias(name)).drop("block")
+
+    tiles = packed(placed.where("out"), "n_out", "x").join(packed(placed, "n_all", "y"), "bucket").drop("bucket")
+    return in_tasks(tiles, partial(_multiply, percent=percent), "a long, b long").distinct()
+
+
+def _multiply(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of labels that have linked sets in the two blocks of a tile."""
+    for batch in batches:
+        x, y = column(batch, "x"), column(batch, "y")
+        for i in range(batch.num_rows):
+            sides = []
+            for rows in (x[i].values, y[i].values):
+                labels = rows.field("label").to_numpy()
+                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows.field("elements")]
+                sides.append((labels, sets))
+            found = set()
+            for a in range(0, len(sides[0][0]), MULTIPLIED):
+                for b in range(0, len(sides[1][0]), MULTIPLIED):
+                    found |= _tile(*(s[k][c:c + MULTIPLIED] for s, c in zip(sides, (a, b)) for k in (0, 1)), percent)
+            if found:
+                ends = np.array(sorted(found), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
+def _tile(labels_x, sets_x, labels_y, sets_y, percent: int) -> set[tuple[int, int]]:
+    n_x, n_y = (np.array([len(s) for s in sets]) for sets in (sets_x, sets_y))
+    flat_x, flat_y = np.concatenate(sets_x), np.concatenate(sets_y)
+    common = np.intersect1d(flat_x, flat_y)
+    sides = []
+    for flat, n in ((flat_x, n_x), (flat_y, n_y)):
+        at = np.searchsorted(common, flat)
+        at[at == len(common)] = 0
+        hit = common[at] == flat if len(common) else np.zeros(len(flat), bool)
+        matrix = np.zeros((len(n), len(common)), np.float32)
+        matrix[np.repeat(np.arange(len(n)), n)[hit], at[hit]] = 1
+        sides.append(matrix)
+    both = (sides[0] @ sides[1].T).astype(np.int64)
+    linked = 100 * both >= percent * (n_x[:, None] + n_y[None, :] - both)
+    linked &= labels_x[:, None] != labels_y[None, :]
+    i, j = np.nonzero(linked)
+    return set(zip(np.maximum(labels_x[i], labels_y[j]).tolist(), np.minimum(labels_x[i], labels_y[j]).tolist()))
