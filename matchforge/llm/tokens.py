@@ -12,9 +12,9 @@ import pyarrow as pa
 from matchforge.llm.common import byte_values, slices, text_bytes, unit_hashes
 
 # Words remembered per Python worker; a full memory is emptied and filled anew.
-MEMORY_WORDS = 700_000
+MEMORY_WORDS = 500_000
 # Bytes of text encoded at a time.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 1 << 20
 _GAPS = b" \n\t"
 _PUNCTUATION = string.punctuation.replace("'", "")
 _ENCODERS: dict[str, "WordEncoder"] = {}
