@@ -31,18 +31,26 @@ from pyspark.sql import functions as F
 from matchforge.llm.common import pick, stage
 
 LEAST_WORDS = 8
+# Lines whose texts are fetched are broadcast up to this number (about 40 MB), else joined by shuffling.
+BROADCAST_LINES = 1_000_000
+# Kinds of keys.
+REPLACED, DELETED, WHOLE = 0, 1, 2
 _LAST = (1 << 63) - 1
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``line_no`` (from 0) and ``line``, with its words in ``words`` and hashes ``k1``, ``k2``."""
+    """``doc_id``, ``line_no`` (from 0), ``line``, its words in ``plain``, one space apart, and hashes ``k1``, ``k2``."""
     rows = pick(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    plain = F.trim(F.regexp_replace("line", r"[\x20\x09-\x0D]+", " "))
-    return rows.withColumn("plain", plain).withColumns({
-        "k1": F.xxhash64("plain"), "k2": F.xxhash64(F.lit(1), "plain"),
-        "words": F.when(F.col("plain") != "", F.split("plain", " ")).otherwise(F.array().cast("array<string>")),
-    }).withColumn("n", F.size("words"))
+    line = F.col("line")
+    # most lines are plain already, which a search for single characters shows faster than a pattern
+    odd = line.startswith(" ") | line.endswith(" ")
+    for gap in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        odd |= line.contains(gap)
+    plain = F.when(odd, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+    place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.col("line_no").alias("no"))
+    return rows.withColumns({"plain": plain, "place": place}).withColumns(
+        {"k1": F.xxhash64("plain"), "k2": F.xxhash64(F.lit(1), "plain")})
 
 
 def _halves(words: Column, n: Column, least: int) -> Column:
@@ -67,15 +75,17 @@ def _within_one(a: Column, b: Column) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """Keys of all variants of ``lines`` (``place``, ``k1``, ``k2``, ``n``, ``words``) and of the lines themselves."""
+    """Keys of all variants of ``lines`` (``lid``, ``plain``) and of the lines themselves, by ``kind``."""
     # 40 bits a word, so that sums of 8 million words fit; two sums make 80 bits
     bits = lambda *parts: F.shiftrightunsigned(F.xxhash64(*parts), 24)
     at, word = F.col("at"), F.col("word")
-    rows = lines.select("place", "k1", "k2", "n", F.posexplode("words").alias("at", "word")).select(
-        "place", "k1", "k2", "n", "at", *(
+    words = F.split("plain", " ")
+    # dealt by line before the words are taken apart, so the running sums need no further shuffle
+    rows = lines.repartition("lid").select("lid", F.size(words).alias("n"), F.posexplode(words).alias("at", "word")).select(
+        "lid", "n", "at", *(
             bits(F.lit(seed), word, at + shift).alias(f"g{seed}{name}")
             for seed in (1, 2) for shift, name in ((0, "own"), (-1, "left"))))
-    line = Window.partitionBy("k1", "k2")
+    line = Window.partitionBy("lid")
     upto = line.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = {}
     for seed in (1, 2):
@@ -84,41 +94,38 @@ def _variants(lines: DataFrame) -> DataFrame:
         # words before the deleted one keep their places, those after it move up
         sums[f"cut{seed}"] = F.sum(own).over(upto) - own + F.sum(left).over(line) - F.sum(left).over(upto)
     rows = rows.withColumns(sums)
-    replaced = F.xxhash64(F.lit(1), "n", "at", F.col("whole1") - F.col("g1own"), F.col("whole2") - F.col("g2own"))
-    deleted = F.xxhash64(F.lit(2), F.col("n") - 1, "cut1", "cut2")
-    whole = F.when(at == 0, F.struct(F.lit("whole").alias("kind"), F.xxhash64(F.lit(2), "n", "whole1", "whole2").alias("key")))
-    emitted = F.array_compact(F.array(
-        F.struct(F.lit("replaced").alias("kind"), replaced.alias("key")),
-        F.struct(F.lit("deleted").alias("kind"), deleted.alias("key")), whole))
-    return rows.select("place", "k1", "k2", F.explode(emitted).alias("v")).select("place", "k1", "k2", "v.kind", "v.key")
+    keys = {
+        REPLACED: F.xxhash64(F.lit(1), "n", "at", F.col("whole1") - F.col("g1own"), F.col("whole2") - F.col("g2own")),
+        DELETED: F.xxhash64(F.lit(2), F.col("n") - 1, "cut1", "cut2"),
+        WHOLE: F.when(at == 0, F.xxhash64(F.lit(2), "n", "whole1", "whole2")),
+    }
+    emitted = F.explode(F.array(*(F.struct(F.lit(kind).cast("byte").alias("kind"), key.alias("key")) for kind, key in keys.items())))
+    return rows.select("lid", emitted.alias("v")).select("lid", "v.kind", "v.key").where("key is not null")
 
 
-def near_lines(lines: DataFrame, distinct: DataFrame, least: int) -> DataFrame:
+def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """``k1``, ``k2`` and the ``place`` of the earliest other line within one edit, if that is earlier."""
     halves = distinct.select("place", "k1", "k2", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("half")
     close = stage(halves.join(shared, "half").select("place", "k1", "k2").distinct(), "close_lines")
-    texts = lines.where(F.col("n") >= least).select(
-        F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.col("line_no").alias("no")).alias("place"),
-        "k1", "k2", "n", "words")
-    texts = stage(texts.join(close, ["place", "k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), "line_words")
-
-    variants = stage(_variants(texts), "variants")
-    me = F.struct("place", "k1", "k2")
+    if close.count() <= BROADCAST_LINES:
+        close = F.broadcast(close)
+    texts = lines.select("place", "k1", "k2", "plain").join(close, ["place", "k1", "k2"], "left_semi")
+    # numbers in the order of places, so that the smallest number is the earliest line
+    texts = texts.dropDuplicates(["k1", "k2"]).orderBy("place").withColumn("lid", F.monotonically_increasing_id())
+    texts = stage(texts, "line_words")
+
+    variants = stage(_variants(texts.select("lid", "plain")), "variants")
+    first = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("lid")))
     groups = variants.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(F.col("kind") == "replaced", me)).alias("replaced"),
-        F.min(F.when(F.col("kind") == "deleted", me)).alias("deleted"),
-        F.min(F.when(F.col("kind") == "whole", me)).alias("whole")).where("n > 1").drop("n")
-    met = F.when(F.col("kind") == "replaced", F.col("replaced")).when(
-        F.col("kind") == "deleted", F.col("whole")).otherwise(F.col("deleted"))
-    pairs = variants.join(groups, "key").select("place", "k1", "k2", met.alias("other")).where(
-        "other is not null and other.place < place").distinct()
-    a = texts.select("k1", "k2", F.col("words").alias("a"))
-    b = texts.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("words").alias("b"))
-    read = pairs.select("k1", "k2", F.col("other.place").alias("place"), F.col("other.k1").alias("o1"), F.col("other.k2").alias("o2"))
-    verified = read.join(a, ["k1", "k2"]).join(b, ["o1", "o2"]).where(_within_one(F.col("a"), F.col("b")))
-    return verified.groupBy("k1", "k2").agg(F.min("place").alias("near"))
+        F.min("lid").alias("least"), F.max("lid").alias("most"), first(REPLACED).alias("replaced"),
+        first(DELETED).alias("deleted"), first(WHOLE).alias("whole")).where("least < most").drop("least", "most")
+    met = F.when(F.col("kind") == REPLACED, F.col("replaced")).when(F.col("kind") == DELETED, F.col("whole")).otherwise(F.col("deleted"))
+    pairs = variants.join(groups, "key").select("lid", met.alias("other")).where("other < lid").distinct()
+    a = texts.select("lid", "k1", "k2", F.col("plain").alias("a"))
+    b = texts.select(F.col("lid").alias("other"), F.col("place").alias("near"), F.col("plain").alias("b"))
+    verified = pairs.join(a, "lid").join(b, "other").where(_within_one(F.split("a", " "), F.split("b", " ")))
+    return verified.groupBy("k1", "k2").agg(F.min("near").alias("near"))
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = 1, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -131,13 +138,14 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, least_words: int = LEAST_WO
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     lines = text_lines(docs)
-    place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.col("line_no").alias("no"))
-    narrow = stage(lines.select(
-        "doc_id", "line_no", place.alias("place"), "k1", "k2", "n", _halves(F.col("words"), F.col("n"), least_words).alias("halves")), "lines")
+    words = F.when(F.col("plain") != "", F.split("plain", " ")).otherwise(F.array().cast("array<string>"))
+    narrow = lines.select("doc_id", "line_no", "place", "k1", "k2", words.alias("words")).withColumn("n", F.size("words"))
+    narrow = stage(narrow.select(
+        "doc_id", "line_no", "place", "k1", "k2", "n", _halves(F.col("words"), F.col("n"), least_words).alias("halves")), "lines")
     worded = narrow.where("n > 0")
     distinct = stage(worded.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.first("halves").alias("halves")), "distinct_lines")
     if max_edits:
-        near = near_lines(lines, distinct, least_words)
+        near = near_lines(lines, distinct)
         firsts = distinct.select("k1", "k2", "place").withColumnRenamed("place", "equal").join(near, ["k1", "k2"], "left")
     else:
         firsts = distinct.select("k1", "k2", F.col("place").alias("equal"), F.lit(None).cast(distinct.schema["place"].dataType).alias("near"))
