@@ -1,8 +1,8 @@
 """Document quality by hierarchical empirical Bayes over sites.
 
-1. A Bernoulli naive Bayes over hashed words and word shapes is counted from all
-   labelled rows. Only buckets whose log-odds are ``LEAST_Z`` standard errors from none
-   carry weight, so rare words add no noise. The model has a fixed number of buckets.
+1. A logistic regression over hashed words and word shapes is fitted to a bounded sample
+   of the labelled rows (``TRAIN_LABELS``): tasks count the features by label, the
+   ``SELECTED`` most telling buckets are kept, and only their places are gathered.
 2. It gives every document its evidence: the log-likelihood ratio of the label.
 3. Hosts and paths of hosts get counts by grouped aggregation: labels where known, else
    the document's probability under the global rate. The spread between hosts, and
@@ -30,8 +30,14 @@ from pyspark.sql import functions as F
 from matchforge.llm.common import byte_values, column, in_tasks, mix, pick, slices, stage, text_bytes, unit_hashes
 
 BUCKET_BITS = 18
-LEAST_Z = 4.0
 LEAST_DOCS = 5
+# Features of the classifier per label, steps and penalty of its fit.
+SELECTED = 4096
+STEPS = 200
+PENALTY = 1e-4
+# The classifier's sample of labelled documents.
+TRAIN_LABELS = 20_000
+LABELS = ("quality", "toxic")
 _GAPS = b" \t\n\r\x0b\x0c"
 _WORDS = byte_values(True, _GAPS + b".,;:!?\"'()")
 # Kinds of bytes for shapes: lower, upper, digit, other letters, marks each on their own.
@@ -43,7 +49,7 @@ _SHAPE[128:] = _SHAPE[97]
 
 
 def features(raw: np.ndarray, at: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, bucket) pairs of words and of word shapes, in text order."""
+    """Distinct (text, bucket) pairs of the words and word shapes of some texts, in text order."""
     words, starts = unit_hashes(raw, at, _WORDS)
     text_of = np.searchsorted(at, starts, "right") - 1
     # a shape is a word's bytes by kind, runs of one kind as one
@@ -59,43 +65,105 @@ def features(raw: np.ndarray, at: np.ndarray, bits: int = BUCKET_BITS) -> tuple[
     return pairs >> bits, pairs & ((1 << bits) - 1)
 
 
-def _counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Documents with each feature, by label; bucket -1 counts the documents."""
+def _labels(batch: pa.RecordBatch, names: tuple[str, ...]) -> list[np.ndarray]:
+    return [column(batch, name).fill_null(-1).to_numpy().astype(np.int64) for name in names]
+
+
+def _counts(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], bits: int) -> Iterator[pa.RecordBatch]:
+    """Documents with each feature, by name and value of the label; bucket -1 counts the documents."""
     size = 1 << bits
-    sums = np.zeros((2, size + 1), np.int64)
+    docs = np.zeros((len(names), 2, size + 1), np.int64)
     for batch in batches:
         raw, at = text_bytes(column(batch, "text"))
-        labels = column(batch, "label").to_numpy().astype(np.int64)
+        labels = _labels(batch, names)
         for a, b in slices(at):
             owners, buckets = features(raw[at[a]:at[b]], at[a:b + 1] - at[a], bits)
-            own = labels[a:b]
-            for label in (0, 1):
-                sums[label, :size] += np.bincount(buckets[own[owners] == label], minlength=size)
-                sums[label, size] += int((own == label).sum())
-    for label in (0, 1):
-        at = np.flatnonzero(sums[label])
+            for own, found in zip(labels, docs):
+                for value in (0, 1):
+                    found[value, :size] += np.bincount(buckets[own[a:b][owners] == value], minlength=size)
+                    found[value, size] += int((own[a:b] == value).sum())
+    for k, value in np.ndindex(len(names), 2):
+        at = np.flatnonzero(docs[k, value])
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(at), label, np.int32)), pa.array(np.where(at == size, -1, at)), pa.array(sums[label, at])],
-            names=["label", "bucket", "n"])
-
-
-def fit(labelled: DataFrame, bits: int = BUCKET_BITS) -> tuple[float, np.ndarray, float]:
-    """From ``text`` and ``label`` (0 or 1): evidence of no feature, weight per bucket, rate of 1."""
-    rows = labelled.select("text", F.col("label").cast("int").alias("label"))
-    parts = in_tasks(rows, lambda batches: _counts(batches, bits), "label int, bucket long, n long")
-    # two numbers per bucket, however many rows were counted
-    table = parts.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    label, bucket, n = (table.column(c).to_numpy() for c in ("label", "bucket", "n"))
-    with_feature, docs = np.zeros((2, 1 << bits)), np.zeros(2)
-    with_feature[label[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
-    docs[label[bucket < 0]] = n[bucket < 0]
-    if not docs.all():
-        return 0.0, np.zeros(1 << bits), float(docs[1] / max(1, docs.sum()))
-    rates = (with_feature + 0.5) / (docs[:, None] + 1)
-    present, absent = np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))
-    error = np.sqrt((1 / (with_feature + 0.5)).sum(0))
-    used = (np.abs(present) >= LEAST_Z * error) & (with_feature.sum(0) >= LEAST_DOCS)
-    return float(absent[used].sum()), np.where(used, present - absent, 0.0), float(docs[1] / docs.sum())
+            pa.array(np.full(len(at), k, np.int32)), pa.array(np.full(len(at), value, np.int32)),
+            pa.array(np.where(at == size, -1, at)), pa.array(docs[k, value, at])], names=["model", "value", "bucket", "n"])
+
+
+def telling(table: pa.Table, models: int, bits: int) -> np.ndarray:
+    """The buckets that tell most about any label, by standard errors of their log-odds."""
+    model, value, bucket, n = (table.column(c).to_numpy() for c in ("model", "value", "bucket", "n"))
+    chosen = [np.zeros(0, np.int64)]
+    for k in range(models):
+        seen, docs = np.zeros((2, 1 << bits)), np.zeros(2)
+        cell, row = (model == k) & (bucket >= 0), (model == k) & (bucket < 0)
+        seen[value[cell], bucket[cell]], docs[value[row]] = n[cell], n[row]
+        rates = (seen + 0.5) / (docs[:, None] + 1)
+        errors = np.abs(np.log(rates[1] / rates[0])) / np.sqrt((1 / (seen + 0.5)).sum(0))
+        errors[seen.sum(0) < LEAST_DOCS] = 0
+        best = np.argsort(-errors, kind="stable")[:SELECTED]
+        chosen.append(best[errors[best] > 1])
+    return np.unique(np.concatenate(chosen))
+
+
+def logistic(owners: np.ndarray, places: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, float]:
+    """Weights and offset of a regularised logistic regression on present features."""
+    n, weights, offset = len(y), np.zeros(size), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
+    moment, spread = np.zeros(size + 1), np.zeros(size + 1)
+    for step in range(1, STEPS + 1):
+        margin = offset + np.bincount(owners, weights[places], minlength=n)
+        miss = 1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y
+        slope = np.append(np.bincount(places, miss[owners], minlength=size) / n + PENALTY * weights, miss.mean())
+        moment, spread = 0.9 * moment + 0.1 * slope, 0.99 * spread + 0.01 * slope**2
+        move = 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-9)
+        weights, offset = weights - move[:-1], offset - move[-1]
+    return weights, offset
+
+
+def fit(labelled: DataFrame, names: tuple[str, ...], bits: int = BUCKET_BITS) -> dict[str, tuple[float, np.ndarray, float]]:
+    """For each label column (0, 1 or null) beside ``text``: evidence of no feature, weight per bucket, rate of 1.
+
+    ``labelled`` must be bounded: its features, not its texts, are gathered. Equal texts count once.
+    """
+    rows = labelled.select("text", *(F.col(n).cast("int").alias(n) for n in names))
+    parts = in_tasks(rows, lambda batches: _counts(batches, names, bits), "model int, value int, bucket long, n long")
+    # two numbers per label and bucket, however many rows were counted
+    chosen = telling(parts.groupBy("model", "value", "bucket").agg(F.sum("n").alias("n")).toArrow(), len(names), bits)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = text_bytes(column(batch, "text"))
+            for a, b in slices(at):
+                owners, buckets = features(raw[at[a]:at[b]], at[a:b + 1] - at[a], bits)
+                place = np.minimum(np.searchsorted(chosen, buckets), max(0, len(chosen) - 1))
+                used = chosen[place] == buckets if len(chosen) else np.zeros(len(buckets), bool)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owners[used], minlength=b - a))])
+                yield pa.RecordBatch.from_arrays([
+                    *(column(batch, n).slice(a, b - a) for n in ("key", *names)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place[used], pa.int32()))],
+                    names=["key", *names, "places"])
+
+    keyed = rows.withColumn("key", F.xxhash64("text"))
+    schema = "key long, " + "".join(f"{n} int, " for n in names) + "places array<int>"
+    table = in_tasks(keyed, gather, schema).dropDuplicates(["key"]).toArrow().combine_chunks().sort_by("key")
+    lists = table.column("places").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks)
+    sizes = np.array([len(x) for x in lists.to_pylist()], np.int64)
+    places, owners = lists.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+    models = {}
+    for name in names:
+        label = table.column(name).fill_null(-1).to_numpy()
+        known = label >= 0
+        rate = float(label[known].mean()) if known.any() else 0.0
+        weights = np.zeros(1 << bits)
+        if not 0 < rate < 1:
+            models[name] = 0.0, weights, rate
+            continue
+        number, inside = np.cumsum(known) - 1, known[owners]
+        found, offset = logistic(number[owners[inside]], places[inside], label[known].astype(float), len(chosen))
+        weights[chosen] = found
+        models[name] = offset - float(np.log(rate / (1 - rate))), weights, rate
+    return models
 
 
 def evidence(docs: DataFrame, models: dict[str, tuple]) -> DataFrame:
@@ -163,23 +231,28 @@ def site_posterior(rows: DataFrame, llr: str, label: str, rate: float, into: str
         "_own", "_n_path", "_s_path", "_n_host", "_s_host")
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, host: Column, path: Column, train_labels: int = TRAIN_LABELS,
+) -> DataFrame:
     """``doc_id``, ``p_quality``, ``p_toxic`` and ``kept`` (good and not toxic) per row of ``docs``.
 
-    ``docs`` has ``doc_id`` and ``text``; ``labels`` has ``doc_id``, ``quality``, ``toxic``.
+    ``docs`` has ``doc_id`` and ``text``; ``labels`` has ``doc_id``, ``quality``, ``toxic``. The
+    classifier learns from about ``train_labels`` labelled documents, all if there are fewer,
+    chosen by a hash of their id; site counts use all documents and all labels.
     """
     none = F.lit("\u0000")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce(host.cast("string"), none).alias("_host"),
         F.coalesce(path.cast("string"), none).alias("_path"))
     known = pick(labels, "doc_id", "quality", "toxic").where("doc_id is not null").groupBy("doc_id").agg(
-        F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    models = {}
-    taught = rows.select("doc_id", "text").join(known, "doc_id")
-    for name in ("quality", "toxic"):
-        models[f"_{name}"] = fit(taught.where(F.col(name).isin(0, 1)).select("text", F.col(name).alias("label")))
-    scored = stage(evidence(rows, models).join(known, "doc_id", "left"), "evidence")
-    for name in ("quality", "toxic"):
-        label = F.when(F.col(name).isin(0, 1), F.col(name))
-        scored = site_posterior(scored.withColumn(name, label), f"_{name}", name, models[f"_{name}"][2], f"p_{name}")
+        *(F.max(F.when(F.col(n).isin(0, 1), F.col(n))).alias(n) for n in LABELS))
+    known = stage(known, "labels")
+    # the sample is bounded, so it can be broadcast at any size of the table
+    share = min(1.0, train_labels / max(1, known.count()))
+    taught = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    models = fit(rows.select("doc_id", "text").join(F.broadcast(taught), "doc_id"), LABELS)
+    models = {f"_{name}": model for name, model in models.items()}
+    scored = stage(evidence(rows, models), "evidence").join(known, "doc_id", "left")
+    for name in LABELS:
+        scored = site_posterior(scored, f"_{name}", name, models[f"_{name}"][2], f"p_{name}")
     return scored.select("doc_id", "p_quality", "p_toxic", ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept"))
