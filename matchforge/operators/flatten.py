@@ -75,10 +75,19 @@ def _typed_struct(value: Column, tree: Mapping) -> Column:
     return F.struct(*fields)
 
 
-def _ends_as_object() -> Column:
-    """The JSON parser stops after the object; a document with more text is corrupt."""
+def is_json_object() -> Column:
+    """Whether a record is one JSON object and nothing else.
+
+    The parser stops behind the first value, so the text is put between brackets:
+    more text breaks the list, and a second object makes it longer. Repeated keys and
+    NaN are accepted, single quotes are not.
+    """
     text = F.col("_raw_json")
-    return text.endswith("}") | F.rtrim(text, F.lit(BLANKS)).endswith("}")
+    listed = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRUCT<_none: STRING>>",
+        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"})
+    starts = text.startswith("{") | F.ltrim(text, F.lit(BLANKS)).startswith("{")
+    return F.coalesce(starts & (F.size(listed) == 1), F.lit(False))
 
 
 def parse_documents(
@@ -108,7 +117,7 @@ def parse_documents(
 
     # Each document is a column of its own before it is used, so it is parsed once.
     return (
-        raw.filter(_ends_as_object())
+        raw.filter(is_json_object())
         .select("match_id", *carry, "_raw_json", parsed.alias("doc"))
         .select("match_id", *carry, "doc", F.when(odd, as_text["info"]).alias("text"))
         .select(
@@ -208,6 +217,4 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 def corrupt_matches(raw: DataFrame) -> DataFrame:
     """Ids of the documents that are skipped because they are not JSON objects."""
-    starts = F.ltrim("_raw_json", F.lit(BLANKS)).startswith("{")
-    is_object = starts & _ends_as_object() & F.try_parse_json("_raw_json").isNotNull()
-    return raw.filter(~F.coalesce(is_object, F.lit(False))).select("match_id")
+    return raw.filter(~is_json_object()).select("match_id")

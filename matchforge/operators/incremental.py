@@ -18,11 +18,12 @@ def landed_keys(raw: DataFrame, key: str = "match_id") -> DataFrame:
 def new_matches(
     fetched: DataFrame, landed: DataFrame, key: str = "match_id", first_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Fetched rows whose key has not landed, one per key.
+    """Fetched rows whose key has not landed, one per key; a row without a key is never new.
 
     Copies are removed before the join: what is shuffled is one row per key and
     input partition, and the join reuses that partitioning.
     """
+    fetched = fetched.filter(F.col(key).isNotNull())
     single = keep_first(fetched, [key], first_by) if first_by else fetched.dropDuplicates([key])
     return single.join(landed_keys(landed, key), key, "left_anti")
 

@@ -53,31 +53,6 @@ NULL_ERROR_ABOVE = 0.30
 NULL_WARNING_ABOVE = 0.05
 
 
-class DataQualityError(Exception):
-    """A table did not pass its checks."""
-
-    def __init__(self, report: "QualityReport"):
-        self.report = report
-        super().__init__(f"data quality check failed: {report.errors}")
-
-
-@dataclass
-class QualityReport:
-    """The check rows of one table, gathered on the driver."""
-
-    table: str
-    passed: bool
-    row_count: int
-    errors: list[str]
-    warnings: list[str]
-    null_rates: dict[str, float]
-
-    def __str__(self) -> str:
-        head = f"[{'PASS' if self.passed else 'FAIL'}] {self.table} ({self.row_count} rows)"
-        lines = [f"  ERROR: {e}" for e in self.errors] + [f"  WARN:  {w}" for w in self.warnings]
-        return "\n".join([head, *lines])
-
-
 def _check(table: str, check: str, column: str, value: Column, severity: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"),
@@ -153,36 +128,22 @@ def quality_checks(
     return result.withColumn("passed", F.col("severity") != "error")
 
 
-def quality_report(df: DataFrame, table: str, *, null_threshold: float = NULL_ERROR_ABOVE) -> QualityReport:
-    """Run the checks and gather their rows (a few dozen at most) into a report."""
-    rows = quality_checks(df, table, null_threshold=null_threshold).collect()
-    row_count = int(next(r.value for r in rows if r.check_name == "row_count"))
-
-    def message(r) -> str:
-        if r.check_name == "row_count":
-            return f"[{table}] table is empty (0 rows)"
-        if r.check_name == "missing_column":
-            return f"[{table}] '{r.column_name}': required column is missing"
-        if r.check_name == "null_rate":
-            return f"[{table}] '{r.column_name}': {r.value:.1%} null"
-        if r.check_name == "duplicates":
-            return f"[{table}] {int(r.value)} duplicates ({r.value / row_count:.1%}) by key {r.column_name}"
-        return f"[{table}] '{r.column_name}': {int(r.value)} values {r.check_name}"
-
-    errors = [message(r) for r in rows if r.severity == "error"]
-    return QualityReport(
-        table=table,
-        passed=not errors,
-        row_count=row_count,
-        errors=errors,
-        warnings=[message(r) for r in rows if r.severity == "warning"],
-        null_rates={r.column_name: r.value for r in rows if r.check_name == "null_rate"},
-    )
+def quality_summary(df: DataFrame, table: str, *, null_threshold: float = NULL_ERROR_ABOVE) -> DataFrame:
+    """The checks of a table in one row: its rows, and the codes of what failed and what is doubtful.
 
-
-def require_quality(df: DataFrame, table: str) -> QualityReport:
-    """The report of a passing table; raises ``DataQualityError`` otherwise."""
-    report = quality_report(df, table)
-    if not report.passed:
-        raise DataQualityError(report)
-    return report
+    A code is ``check:column`` (``null_rate:kills``); the measured values stay in ``quality_checks``.
+    """
+    checks = quality_checks(df, table, null_threshold=null_threshold)
+    code = F.concat_ws(":", "check_name", "column_name")
+    codes = lambda severity: F.sort_array(F.collect_list(F.when(F.col("severity") == severity, code)))
+    return checks.groupBy("table_name").agg(
+        F.max(F.when(F.col("check_name") == "row_count", F.col("value"))).cast("long").alias("n_rows"),
+        codes("error").alias("failed"), codes("warning").alias("doubtful"))
+
+
+def gate(df: DataFrame, table: str) -> DataFrame:
+    """``df`` itself if its table has no failed check; a ``ValueError`` with the codes otherwise."""
+    failed = quality_summary(df, table).first()["failed"]
+    if failed:
+        raise ValueError(f"{table}: {', '.join(failed)}")
+    return df

@@ -57,11 +57,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for costly per-row work on input that arrives in few splits.
-
-    A file with a single row group is read by one task. Input that already has
-    a split per core, as any large table does, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt to ``partitions`` tasks, for costly per-row work on input known to come in few splits."""
+    return df.repartition(partitions)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +37,13 @@ def read_parquet_if_present(
 def read_raw_matches(spark: SparkSession, raw_dir: str) -> DataFrame | None:
     """All landed chunks, with the file and row each record came from."""
     raw = read_parquet_if_present(
-        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, pathGlobFilter="*.parquet"
+        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, pathGlobFilter="*.parquet", recursiveFileLookup="true"
     )
     if raw is None:
         return None
     return raw.select(
         "match_id", "_raw_json", "_region",
-        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.row_index").alias("source_row"),
     )
 
@@ -51,7 +52,7 @@ def landed_match_ids(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Distinct landed ids; chunks that cannot be read are skipped."""
     raw = read_parquet_if_present(
         spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA,
-        pathGlobFilter="*.parquet", ignoreCorruptFiles="true",
+        pathGlobFilter="*.parquet", ignoreCorruptFiles="true", recursiveFileLookup="true",
     )
     if raw is None:
         return spark.createDataFrame([], "match_id STRING")
@@ -59,12 +60,16 @@ def landed_match_ids(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def append_raw_matches(new: DataFrame, raw_dir: str) -> bool:
-    """Append new records as further chunks; nothing new writes nothing."""
+    """Append new records as a further folder of chunks; nothing new writes nothing.
+
+    The folder's name holds the time of the append, behind all ``chunk_`` names, so the
+    order of paths is the order of arrival.
+    """
     batch = new.select("match_id", "_raw_json", "_region").persist()
     try:
         if batch.isEmpty():
             return False
-        batch.write.mode("append").parquet(f"{raw_dir}/matches")
+        batch.write.parquet(f"{raw_dir}/matches/landed_{time.time_ns():020d}")
         return True
     finally:
         batch.unpersist()

@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchforge import schema
 from matchforge.operators.flatten import flatten_matches
 from matchforge.sources.raw import read_parquet_if_present
 
-KEYS = ("match_id", "puuid")
 
 
 def append_new_participants(
@@ -25,11 +25,16 @@ def append_new_participants(
     """Flatten one batch of raw records and append the rows the fact lacks."""
     if batch.isEmpty():
         return
-    rows = flatten_matches(batch, field_map)
+    paths = {path: name for name, path in field_map.items()}
+    keys = [paths["__match_id__"], paths["puuid"]]
+    rows = flatten_matches(batch, field_map, first_by=("_raw_json",))
     landed = read_parquet_if_present(batch.sparkSession, fact_dir)
     if landed is not None:
-        known = landed.select(*[landed[k].alias(f"__{k}") for k in KEYS]).distinct()
-        same = rows["match_id"].eqNullSafe(known["__match_id"]) & rows["puuid"].eqNullSafe(known["__puuid"])
+        # only the batch's own matches are looked for among the known ones
+        ids = batch.select(F.col("match_id").alias("__id")).distinct()
+        known = landed.join(ids, landed[keys[0]].eqNullSafe(ids["__id"]), "left_semi")
+        known = known.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+        same = [rows[k].eqNullSafe(known[f"__{k}"]) for k in keys]
         rows = rows.join(known, same, "left_anti")
     rows.write.mode("append").parquet(fact_dir)
 
@@ -47,6 +52,7 @@ def flatten_landed_chunks(
     chunks = (
         spark.readStream.schema(schema.RAW_MATCH_SCHEMA)
         .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(f"{raw_dir}/matches")
     )

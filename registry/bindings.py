@@ -145,7 +145,7 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     An order with several lines is a match landed in several copies; suppliers
     met twice in an order are the duplicates. Lines taxed at 8 % are unreadable.
     """
-    lines = spread(read(spark, sf_dir, "lineitem"))
+    lines = spread(read(spark, sf_dir, "lineitem"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = read(spark, sf_dir, "part")
     rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left")
     won = F.col("l_linestatus") == "F"

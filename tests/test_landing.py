@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import document, land, participant, raw_frame
+from matchforge.operators.flatten import flatten_matches
 from matchforge.operators.incremental import landed_matches, new_matches
 from matchforge.operators.recent import recent_matches
 from matchforge.sources import dictionaries, players, raw, relational, tables
@@ -158,3 +159,12 @@ def test_missing_inputs_are_none(spark, tmp_path, caplog):
     assert raw.read_raw_matches(spark, str(tmp_path)) is None
     assert raw.read_parquet_if_present(spark, str(tmp_path / "x")) is None
     assert "nothing to read" in caplog.text
+
+
+def test_appended_chunks_keep_their_order(spark, tmp_path):
+    landed = str(tmp_path)
+    for kills in range(4):
+        new = raw_frame(spark, *[("M", document([participant(0, kills=kills)]))])
+        assert raw.append_raw_matches(new, landed)
+    rows = flatten_matches(raw.read_raw_matches(spark, landed), first_by=raw.FILE_ORDER).collect()
+    assert [r.kills for r in rows] == [0]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchforge.operators.quality import DataQualityError, Rules, quality_checks, quality_report, require_quality
+from matchforge.operators.quality import Rules, gate, quality_checks, quality_summary
 from test_marts import frame, row
 
 
@@ -10,51 +10,50 @@ def good(spark):
     return frame(spark, [row(f"M{m}", n) for m in range(10) for n in range(10)])
 
 
+def summary(df, table="matches"):
+    return quality_summary(df, table).first()
+
+
 def test_valid_table_passes(good):
-    report = quality_report(good, "matches")
-    assert report.passed and report.row_count == 100 and not report.errors and not report.warnings
-    assert report.null_rates["kills"] == 0.0 and str(report).startswith("[PASS] matches")
+    row = summary(good)
+    assert (row.n_rows, row.failed, row.doubtful) == (100, [], [])
 
 
 def test_null_rate_levels(good):
-    few = good.withColumn("kills", F.when(F.col("match_id") != "M0", F.col("kills")))  # 10 %
-    assert quality_report(few, "matches").passed and "kills" in quality_report(few, "matches").warnings[0]
-    limit = good.withColumn("kills", F.when(~F.col("match_id").isin("M0", "M1", "M2"), F.col("kills")))  # exactly 30 %
-    assert quality_report(limit, "matches").passed
-    many = good.withColumn("kills", F.when(F.col("match_id").isin("M0", "M1"), F.col("kills")))
-    report = quality_report(many, "matches")
-    assert not report.passed and "kills" in report.errors[0] and report.null_rates["kills"] == 0.8
+    without = lambda *ids: good.withColumn("kills", F.when(~F.col("match_id").isin(*ids), F.col("kills")))
+    assert (summary(without("M0")).failed, summary(without("M0")).doubtful) == ([], ["null_rate:kills"])
+    assert summary(without("M0", "M1", "M2")).failed == []  # exactly 30 %
+    assert summary(without("M0", "M1", "M2", "M3")).failed == ["null_rate:kills"]
 
 
 def test_duplicates_count_null_keys(spark):
     df = frame(spark, [row("A"), row("A"), row("A", puuid=None), row("A", puuid=None), row("B")])
-    errors = quality_report(df, "matches").errors
-    assert "[matches] 2 duplicates (40.0%) by key match_id,puuid" in errors
+    assert "duplicates:match_id,puuid" in summary(df).failed
+    checks = {r.check_name: r.value for r in quality_checks(df, "matches").where("check_name = 'duplicates'").collect()}
+    assert checks == {"duplicates": 2.0}
 
 
 def test_negative_and_out_of_range(spark):
     df = frame(spark, [row("A", kills=-1), row("B", deaths=101), row("C", vision_score=500)])
-    report = quality_report(df, "matches")
-    assert [e.split("'")[1] for e in report.errors] == ["kills", "kills", "deaths"]
+    assert [code.split(":")[1] for code in summary(df).failed] == ["kills", "deaths", "kills"]
 
 
 def test_empty_and_missing_columns(spark, good):
-    empty = quality_report(good.limit(0), "matches")
-    assert not empty.passed and empty.row_count == 0 and len(empty.errors) == 1 and "empty" in empty.errors[0]
-    lacking = quality_report(good.drop("win", "puuid"), "matches")
-    assert sum("missing" in e for e in lacking.errors) == 2
+    empty = summary(good.limit(0))
+    assert empty.n_rows == 0 and [code.split(":")[0] for code in empty.failed] == ["row_count"]
+    assert {c for c in summary(good.drop("win", "puuid")).failed if c.startswith("missing")} == {
+        "missing_column:win", "missing_column:puuid"}
 
 
 def test_text_numbers_are_coerced(spark):
     df = spark.createDataFrame([("a", "1", "-2", "x"), ("b", "q", "3", "1.5")], "puuid STRING, wins STRING, losses STRING, winrate STRING")
-    assert [e.split("'")[1] for e in quality_report(df, "players").errors] == ["losses", "winrate"]
+    assert {code.split(":")[1] for code in summary(df, "players").failed} == {"losses", "winrate"}
 
 
 def test_gate_raises(spark, good):
-    assert require_quality(good, "matches").passed
-    with pytest.raises(DataQualityError) as raised:
-        require_quality(good.limit(0), "matches")
-    assert raised.value.report.row_count == 0
+    assert gate(good, "matches") is good
+    with pytest.raises(ValueError, match="row_count"):
+        gate(good.limit(0), "matches")
 
 
 def test_rules_can_be_given(spark):
