@@ -46,13 +46,14 @@ def format_preferences(turns: DataFrame, speaker: str = SPEAKER) -> DataFrame:
         "pair_id is not null and turn is not null and side in ('chosen', 'rejected')")
     order = Window.partitionBy("pair_id", "side").orderBy("turn", "role", "text")
     rows = rows.withColumn("turn", F.row_number().over(order))
-    side = lambda name: rows.where(F.col("side") == name).select("pair_id", "turn", "role", "text")
+    side = lambda name: rows.where(F.col("side") == name).select(
+        "pair_id", "turn", "role", "text", F.lit(True).alias("here"))
     a, b = side("chosen").alias("a"), side("rejected").alias("b")
     same = F.col("a.role").eqNullSafe(F.col("b.role")) & F.col("a.text").eqNullSafe(F.col("b.text"))
     both = a.join(b, ["pair_id", "turn"], "full").select(
         "pair_id", "turn", F.col("a.role").alias("role_a"), F.col("a.text").alias("text_a"),
         F.col("b.role").alias("role_b"), F.col("b.text").alias("text_b"), same.alias("same"),
-        F.struct(a["turn"].isNotNull().alias("a"), b["turn"].isNotNull().alias("b")).alias("has"))
+        F.struct(F.col("a.here").isNotNull().alias("a"), F.col("b.here").isNotNull().alias("b")).alias("has"))
     matching = F.col("same") & F.col("has.a") & F.col("has.b")
     fork = F.min(F.when(~matching, F.col("turn")))
     piece = lambda s: F.when(F.col(f"has.{s}"), F.struct(
