@@ -29,22 +29,27 @@ def expand_players(
     is left out of the result but counts as met. The search stops early when a
     step meets nobody new.
 
-    Each level is written to the shared folder: its lineage is a set of files,
-    and the sizes let Spark broadcast small frontiers and shuffle large ones.
+    The fact is read once: its edges (match, player, date) and every player's recent
+    matches are written to the shared folder, and a level joins only those. Each level
+    is written as well: its lineage is a set of files, and the sizes let Spark
+    broadcast small frontiers and shuffle large ones.
     """
     if depth <= 1:
         return seed
 
+    edges = stage(participants.select("match_id", "puuid", "game_date"), "edges")
+    recent = stage(recent_matches(edges, matches_per_player).select("puuid", "match_id"), "recent")
     known = stage(seed.select("puuid").filter(F.col("puuid").isNotNull()).distinct(), "known")
     frontier, levels = known, []
     for level in range(2, depth + 1):
         visited = (
-            recent_matches(participants.join(frontier, "puuid", "left_semi"), matches_per_player)
+            recent.join(frontier, "puuid", "left_semi")
             .select("match_id")
+            .filter(F.col("match_id").isNotNull())
             .distinct()
         )
         met = (
-            participants.join(visited, "match_id", "left_semi")
+            edges.join(visited, "match_id", "left_semi")
             .select("puuid")
             .filter(F.col("puuid").isNotNull() & (F.col("puuid") != ""))
             .distinct()

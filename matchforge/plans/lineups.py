@@ -20,8 +20,8 @@ def lineup_picks(lineups: DataFrame, champions: DataFrame, positions: DataFrame)
     """Each pick with its champion's record, the position's baseline and their blend.
 
     The more often a champion was picked, the more its own win rate counts. A
-    pick without a record falls back to the baseline. Stored marts are small
-    files, which Spark broadcasts after checking their size.
+    pick without a record falls back to the baseline. The baselines, one per
+    position, enter as one map, so no join has only the positions as keys.
     """
     record = champions.select(
         F.col("champion_name").alias("known_champion"),
@@ -29,11 +29,11 @@ def lineup_picks(lineups: DataFrame, champions: DataFrame, positions: DataFrame)
         F.col("winrate_pct").alias("champion_wr"),
         F.col("picks").alias("known_picks"),
     )
-    baseline = positions.select(
-        F.col("team_position").alias("base_position"), F.col("winrate_pct").alias("base_wr")
-    )
+    baselines = positions.agg(
+        F.map_from_entries(F.collect_list(F.struct("team_position", "winrate_pct")))
+    ).scalar()
     confidence = F.coalesce(F.least(F.lit(1.0), F.col("known_picks") / F.lit(TRUSTED_PICKS)), F.lit(0.0))
-    base = F.coalesce("base_wr", F.lit(DEFAULT_BASELINE))
+    base = F.coalesce(F.try_element_at(baselines, F.col("position")), F.lit(DEFAULT_BASELINE))
     blended = F.coalesce(
         F.col("champion_wr") * confidence + base * (F.lit(1) - confidence), base
     )
@@ -44,7 +44,6 @@ def lineup_picks(lineups: DataFrame, champions: DataFrame, positions: DataFrame)
             & (F.col("position") == F.col("known_position")),
             "left",
         )
-        .join(baseline, F.col("position") == F.col("base_position"), "left")
         .select(
             "lineup_id", "position", "champion_name", "champion_wr",
             F.coalesce("known_picks", F.lit(0)).alias("picks"),

@@ -45,10 +45,11 @@ def _grouped(
 def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games: int = 3) -> DataFrame:
     """Per player: distinct matches, averages, win rate, favourite champion and position.
 
-    Three small row sets are stacked and merged by one last grouping: totals,
-    distinct matches, and one vote count per champion and position. A player
-    with a large share of all rows is thus split by match and by champion
-    first, and grouping keeps null names together without joins.
+    The cells give totals and votes in one chain: each cell votes for its champion
+    and for its position, and the champion's ballot also carries the totals. Distinct
+    matches are a second, narrow grouping; both are stacked and merged by one last
+    grouping. A player with a large share of all rows is thus split by match and by
+    champion first, and grouping keeps null names together without joins.
     The favourite is the most frequent value, the smallest one on a tie.
     """
     known = F.col("puuid").isNotNull()
@@ -59,33 +60,33 @@ def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games:
         .groupBy(*PLAYER)
         .agg(F.count(F.lit(1)).alias("games_played"))
     )
+    measured = ["rows", *[f"{part}_{name}" for name in PLAYER_QUANTITIES for part in ("sum", "n")]]
     ballots = F.array(
-        F.struct(F.lit("champion").alias("kind"), F.col("champion_name").alias("choice")),
-        F.struct(F.lit("position").alias("kind"), F.col("team_position").alias("choice")),
+        F.struct(
+            F.lit("champion").alias("kind"), F.col("champion_name").alias("choice"),
+            F.col("rows").alias("votes"), F.struct(*measured).alias("carried"),
+        ),
+        F.struct(
+            F.lit("position").alias("kind"), F.col("team_position").alias("choice"),
+            F.col("rows").alias("votes"), F.lit(None).alias("carried"),
+        ),
     )
-    if cells is not None:
-        votes = cells.filter(known).groupBy(*CELL).agg(F.sum("rows").alias("votes"))
-        profile = cells.filter(known).select(
-            *PLAYER, "rows", *[f"{p}_{q}" for q in PLAYER_QUANTITIES for p in ("sum", "n")]
-        )
-    else:
-        votes = fact.filter(known).groupBy(*CELL).agg(F.count(F.lit(1)).alias("votes"))
-        profile = totals(fact.filter(known), PLAYER, PLAYER_QUANTITIES)
+    if cells is None:
+        cells = mart_cells(fact.filter(known))
     votes = (
-        votes.select(*PLAYER, "votes", F.explode(ballots).alias("ballot"))
-        .select(*PLAYER, "votes", "ballot.kind", "ballot.choice")
-        .filter(F.col("choice").isNotNull())
+        cells.filter(known)
+        .select(*PLAYER, F.explode(ballots).alias("ballot"))
+        .select(*PLAYER, "ballot.kind", "ballot.choice", "ballot.votes", "ballot.carried.*")
         .groupBy(*PLAYER, "kind", "choice")
-        .agg(F.sum("votes").alias("votes"))
+        .agg(F.sum("votes").alias("votes"), *merged_totals(PLAYER_QUANTITIES))
     )
 
     def favourite(kind: str) -> Column:
-        ours = F.col("kind") == kind
+        ours = (F.col("kind") == kind) & F.col("choice").isNotNull()
         return F.min_by(F.when(ours, F.col("choice")), F.when(ours, F.struct(-F.col("votes"), F.col("choice"))))
 
     return (
-        profile.unionByName(matches, allowMissingColumns=True)
-        .unionByName(votes, allowMissingColumns=True)
+        votes.unionByName(matches, allowMissingColumns=True)
         .groupBy(*PLAYER)
         .agg(
             F.coalesce(F.sum("games_played"), F.lit(0)).alias("games_played"),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from matchforge.functions.numeric import is_true, order_free_sum, ratio, round_to, z_score
 from matchforge.functions.ranking import By, Rank, percent_rank_of_mean, with_ranks
 from matchforge.plans.champions import favour
-from matchforge.session import stage
 
 
 # --- outliers -----------------------------------------------------------------
@@ -203,22 +202,23 @@ def recommend_champions(
     """``top_n`` champions per player that fit the position and style, bar the favourite one.
 
     Only a player's own favourite is excluded, so the best ``top_n + 1`` of a
-    shortlist always hold the answer. The shortlists are written out: their
-    file size decides whether they are broadcast to the players.
+    shortlist always hold the answer. Medians and shortlists are one value per
+    position (and style): they enter as maps, and players are joined with nothing.
     """
-    shortlists = stage(_shortlists(champions, top_n + 1, min_picks), "shortlists")
-    middles = stage(
-        champions.groupBy(F.col("team_position").alias("middle_position"))
-        .agg(
-            F.median("avg_damage").alias("middle_damage"),
-            F.median("avg_vision").alias("middle_vision"),
-        ),
-        "middles",
+    shortlists = _shortlists(champions, top_n + 1, min_picks).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("position", "style"), "shortlist")))
+    ).scalar()
+    middles = (
+        champions.filter(F.col("team_position").isNotNull())
+        .groupBy("team_position")
+        .agg(F.struct(F.median("avg_damage").alias("damage"), F.median("avg_vision").alias("vision")).alias("middle"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("team_position", "middle"))))
+        .scalar()
     )
-    kda = F.col("avg_kda")
+    kda, middle = F.col("avg_kda"), F.col("middle")
     style = F.struct(
-        is_true((kda < 2.5) & (F.col("avg_damage") > F.col("middle_damage"))).alias("aggressive"),
-        is_true(F.col("avg_vision") > F.col("middle_vision") * F.lit(1.3)).alias("supportive"),
+        is_true((kda < 2.5) & (F.col("avg_damage") > middle["damage"])).alias("aggressive"),
+        is_true(F.col("avg_vision") > middle["vision"] * F.lit(1.3)).alias("supportive"),
         is_true(kda > 4.0).alias("safe"),
     )
     styled = (
@@ -226,8 +226,15 @@ def recommend_champions(
             "puuid", "summoner_name", "main_position", "most_played_champion",
             "avg_kda", "avg_vision", "avg_damage",
         )
-        .join(middles, F.col("main_position") == F.col("middle_position"))
+        .withColumn("middle", F.try_element_at(middles, F.col("main_position")))
         .withColumn("player_style", style)
+        .withColumn(
+            "shortlist",
+            F.try_element_at(
+                shortlists, F.struct(F.col("main_position").alias("position"), F.col("player_style").alias("style"))
+            ),
+        )
+        .filter(F.col("shortlist").isNotNull())
     )
     played = F.coalesce(F.col("most_played_champion"), F.lit(""))
     others = F.filter("shortlist", lambda c: c["champion_name"] != played)
@@ -238,11 +245,7 @@ def recommend_champions(
         .otherwise("balanced")
     )
     return (
-        styled.join(
-            shortlists,
-            (F.col("main_position") == F.col("position")) & (F.col("player_style") == F.col("style")),
-        )
-        .select(
+        styled.select(
             "puuid", "summoner_name", "main_position", label.alias("style_label"),
             F.posexplode(F.slice(others, 1, top_n)).alias("at", "pick"),
         )

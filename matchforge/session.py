@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Sub-folder of the staged tables of the run that is going on.
+_run: ContextVar[str] = ContextVar("run", default="unscoped")
+
 # Nothing here fixes a partition count: adaptive execution starts from the
 # cluster's own value and coalesces or splits by the sizes it measures.
 _SETTINGS = {
@@ -52,11 +58,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     and the file sizes let Spark judge what is small enough to broadcast.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _staged_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/staged/{_run.get()}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as it wants it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, also after a failure.
+
+    Results must be written or collected before: their plans may read those tables.
+    """
+    token = _run.set(f"run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        files, folder = hadoop_path(spark, _staged_folder(spark))
+        _run.reset(token)
+        files.delete(folder, True)
+
+
 def spread(df: DataFrame, partitions: int) -> DataFrame:
     """Rows dealt to ``partitions`` tasks, for costly per-row work on input known to come in few splits."""
     return df.repartition(partitions)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from matchforge.operators.flatten import normalize_position_columns
 from matchforge.plans.views import VIEWS
+from matchforge.session import hadoop_path
 from matchforge.sources.raw import read_parquet_if_present
 
 PROCESSED = ("matches", "players", "champions", "items")
@@ -18,6 +20,31 @@ MARTS = (
 )
 
 
+def replace_dataset(df: DataFrame, path: str) -> None:
+    """Write ``df`` beside ``path`` and put it in place once the job has succeeded.
+
+    The old dataset is moved aside before and deleted after the switch, so a failed job
+    leaves it as it was, and ``df`` may read it. Between the two renames nothing is at
+    ``path``; a writer that dies there leaves both versions under hidden names.
+    """
+    spark = df.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    version = uuid.uuid4().hex
+    files, target = hadoop_path(spark, path)
+    _, fresh = hadoop_path(spark, f"{parent}/.{name}-{version}-new")
+    _, old = hadoop_path(spark, f"{parent}/.{name}-{version}-old")
+    try:
+        df.write.parquet(fresh.toString())
+        if files.exists(target) and not files.rename(target, old):
+            raise OSError(f"cannot move {path} aside")
+        if not files.rename(fresh, target):
+            files.rename(old, target)
+            raise OSError(f"cannot put the new dataset at {path}")
+        files.delete(old, True)
+    finally:
+        files.delete(fresh, True)
+
+
 def overwrite_table(df: DataFrame, path: str, *, keep_if_empty: DataFrame | None = None) -> bool:
     """Replace the dataset at ``path``; with no rows the old one is left alone.
 
@@ -26,13 +53,13 @@ def overwrite_table(df: DataFrame, path: str, *, keep_if_empty: DataFrame | None
     """
     if (keep_if_empty if keep_if_empty is not None else df).isEmpty():
         return False
-    df.write.mode("overwrite").parquet(path)
+    replace_dataset(df, path)
     return True
 
 
 def write_mart(df: DataFrame, marts_dir: str, name: str) -> None:
     """Replace one mart; an empty result replaces it too."""
-    df.write.mode("overwrite").parquet(f"{marts_dir}/{name}")
+    replace_dataset(df, f"{marts_dir}/{name}")
 
 
 def read_processed(spark: SparkSession, processed_dir: str) -> dict[str, DataFrame]:

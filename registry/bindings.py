@@ -87,9 +87,10 @@ COLUMNS: dict[str, tuple[str, str | None]] = {
     "item6": ("l_suppkey", None),
 }
 
+# Names first: a branch that drops the later dimensions then loses their joins.
 _JOINS = {
-    "part": ("l_partkey", "p_partkey"),
     "supplier": ("l_suppkey", "s_suppkey"),
+    "part": ("l_partkey", "p_partkey"),
     "orders": ("l_orderkey", "o_orderkey"),
 }
 

@@ -1,4 +1,8 @@
-"""SQL for the same results over the same tables, written independently."""
+"""SQL for the same results over the same tables.
+
+The logic of marts, views and reports is written anew; the reading of the tables as
+match data repeats the binding's expressions, and sums that decide a digit its decimals.
+"""
 
 from __future__ import annotations
 
@@ -685,3 +689,8 @@ SELECT CASE WHEN overperforming <= 1 THEN 'balanced' WHEN overperforming <= 3 TH
        {rnd('(SELECT avg(winrate_pct) FROM players)', 6)} AS mean_winrate_pct
 FROM (SELECT count(*) AS overperforming FROM anomalies WHERE direction = 'overperforming')"""),
 }
+
+ORACLE |= {
+    f"merged_{name}": ORACLE[f"mart_{name}"]
+    for name in ("player_stats", "player_champion_stats", "champion_stats", "position_stats")
+}

@@ -63,6 +63,28 @@ def mart_item_popularity(spark, sf_dir):
     return marts.item_popularity(b.participants(spark, sf_dir, *b.ITEM_FACT), b.items(spark, sf_dir))
 
 
+# The four marts that the pipeline merges from one staged pass over the fact.
+
+@register
+def merged_player_stats(spark, sf_dir):
+    return _marts(spark, sf_dir, "player_stats")[0]
+
+
+@register
+def merged_player_champion_stats(spark, sf_dir):
+    return _marts(spark, sf_dir, "player_champion_stats")[0]
+
+
+@register
+def merged_champion_stats(spark, sf_dir):
+    return _marts(spark, sf_dir, "champion_stats")[0]
+
+
+@register
+def merged_position_stats(spark, sf_dir):
+    return _marts(spark, sf_dir, "position_stats")[0]
+
+
 # --- views over stored marts --------------------------------------------------
 
 def stored(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +250,13 @@ def expand_players(spark, sf_dir):
 
 # --- reports ----------------------------------------------------------------------
 
+def _marts(spark, sf_dir, *names):
+    """Stored marts merged from one staged pass over the fact, as the pipeline builds them."""
+    fact = b.participants(spark, sf_dir, *b.PLAYER_FACT)
+    cells = stage(marts.mart_cells(fact), "cells")
+    return [stage(getattr(marts, name)(fact, cells), name) for name in names]
+
+
 def _champions(spark, sf_dir):
     return stored(mart_champion_stats, spark, sf_dir)
 
@@ -342,13 +371,13 @@ def player_style(spark, sf_dir):
 
 @register
 def recommend_champions(spark, sf_dir):
-    found = players.recommend_champions(_players(spark, sf_dir), _champions(spark, sf_dir))
+    found = players.recommend_champions(*_marts(spark, sf_dir, "player_stats", "champion_stats"))
     return rounded(found, "fit_score")
 
 
 def _picks(spark, sf_dir):
     return lineups.lineup_picks(
-        b.lineups(spark, sf_dir), _champions(spark, sf_dir), _positions(spark, sf_dir)
+        b.lineups(spark, sf_dir), *_marts(spark, sf_dir, "champion_stats", "position_stats")
     )
 
 
@@ -393,19 +422,19 @@ def item_report(spark, sf_dir):
 
 @register
 def action_plan(spark, sf_dir):
-    plan = reports.action_plan(_champions(spark, sf_dir), _players(spark, sf_dir), _positions(spark, sf_dir))
+    plan = reports.action_plan(*_marts(spark, sf_dir, "champion_stats", "player_stats", "position_stats"))
     return rounded(plan, "gap")
 
 
 @register
 def insights(spark, sf_dir):
     found = reports.insights(
-        _champions(spark, sf_dir), _players(spark, sf_dir), _positions(spark, sf_dir), _timeline(spark, sf_dir)
+        *_marts(spark, sf_dir, "champion_stats", "player_stats", "position_stats"), _timeline(spark, sf_dir)
     )
     return rounded(found, "value")
 
 
 @register
 def balance_health(spark, sf_dir):
-    health = reports.balance_health(_champions(spark, sf_dir), _players(spark, sf_dir), _positions(spark, sf_dir))
+    health = reports.balance_health(*_marts(spark, sf_dir, "champion_stats", "player_stats", "position_stats"))
     return rounded(health, "mean_winrate_pct")

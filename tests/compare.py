@@ -62,7 +62,7 @@ def difference(spark_result, sql_result) -> str | None:
 
 def main() -> None:
     from __spark_entry__ import oracle_sql, queries
-    from matchforge.session import build_session
+    from matchforge.session import build_session, staged_run
 
     args = sys.argv[1:]
     sf_dir = "/root/testdata/sf0.01"
@@ -82,7 +82,8 @@ def main() -> None:
             continue
         started = time.time()
         try:
-            result = spark_rows(query(spark, sf_dir))
+            with staged_run(spark):
+                result = spark_rows(query(spark, sf_dir))
             took = time.time() - started
             note = difference(result, sql_rows(con, oracle[name])) if name in oracle else None
         except Exception as error:  # report and go on with the next query
