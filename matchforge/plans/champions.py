@@ -10,6 +10,8 @@ from matchforge.functions.numeric import z_score
 
 # Tiers from strongest to weakest.
 TIERS = ("S", "A", "B", "C", "D")
+# Bounds of the win-rate class in champion pools and line-up estimates.
+CLOSE_CALL = (52, 48)
 
 
 def favour(winrate: Column, high: float = 55, low: float = 45) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchforge.functions.numeric import order_free_sum, round_to
+from matchforge.plans.champions import CLOSE_CALL, favour
 
 # Roles that make a balanced line-up, and the estimate's limits.
 FRONT_LINE = ("TOP", "JUNGLE")
@@ -87,4 +88,5 @@ def predict_lineups(picks: DataFrame) -> DataFrame:
             "lineup_id", "roles", round_to(estimate, 1).alias("predicted_wr"),
             "synergy_bonus", note.alias("synergy_note"),
         )
+        .withColumn("favour", favour(F.col("predicted_wr"), *CLOSE_CALL))
     )

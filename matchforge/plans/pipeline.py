@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.operators.flatten import flatten_matches
+from matchforge.operators.graph import expand_players
 from matchforge.operators.quality import quality_summary
 from matchforge.plans import marts
-from matchforge.session import stage
+from matchforge.session import stage, staged_run
 from matchforge.sources import dictionaries
 from matchforge.sources.players import player_dimension
 from matchforge.sources.raw import FILE_ORDER, read_parquet_if_present, read_raw_matches
 from matchforge.sources.relational import Database, load_marts, load_processed
 from matchforge.sources.tables import (
-    overwrite_table, publish_views, read_marts, read_processed, write_mart,
+    overwrite_table, publish_views, read_marts, read_processed, replace_dataset, write_mart,
 )
 
 log = logging.getLogger(__name__)
@@ -26,24 +29,60 @@ log = logging.getLogger(__name__)
 def transform_matches(
     spark: SparkSession, raw_dir: str, processed_dir: str,
     field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
+    types: Mapping[str, str] = MappingProxyType({}),
 ) -> bool:
-    """Raw chunks to the participant fact, first occurrence in file order kept."""
+    """Raw chunks to the participant fact, first occurrence in file order kept.
+
+    ``types`` names the SQL types of added fields; without one they are text.
+    """
     raw = read_raw_matches(spark, raw_dir)
     if raw is None or not field_map:
         log.warning("no raw matches or no field map; the fact is left as it is")
         return False
     return overwrite_table(
-        flatten_matches(raw, field_map, first_by=FILE_ORDER),
+        flatten_matches(raw, field_map, types=types, first_by=FILE_ORDER),
         f"{processed_dir}/matches.parquet",
-        keep_if_empty=flatten_matches(raw, field_map, deduplicate=False),
+        keep_if_empty=flatten_matches(raw, field_map, types=types, deduplicate=False),
+    )
+
+
+# Fields the player graph needs, whatever the fact's own map selects.
+EDGE_FIELDS = {
+    "match_id": schema.MATCH_ID_PATH, "puuid": "puuid",
+    "game_date": schema.DEFAULT_FIELD_MAP["game_date"],
+    "gameName": "riotIdGameName", "tagLine": "riotIdTagline",
+}
+
+
+def expand_raw_players(
+    spark: SparkSession, raw_dir: str, *, depth: int, matches_per_player: int, queue: str, region: str
+) -> bool:
+    """Add to the landed players those met within ``depth - 1`` steps in the landed matches.
+
+    Names are the ones the matches give; of several the smallest.
+    """
+    path = f"{raw_dir}/players/players.parquet"
+    seed, raw = read_parquet_if_present(spark, path), read_raw_matches(spark, raw_dir)
+    if seed is None or raw is None or depth <= 1 or "puuid" not in seed.columns:
+        return False
+    if "_graph_level" in seed.columns:  # players of an earlier expansion are found again
+        seed = seed.filter(F.col("_graph_level").isNull()).drop("_graph_level")
+    met = stage(flatten_matches(raw, EDGE_FIELDS, first_by=FILE_ORDER), "met")
+    profiles = met.groupBy("puuid").agg(F.min("gameName").alias("gameName"), F.min("tagLine").alias("tagLine"))
+    replace_dataset(
+        expand_players(
+            seed, met, profiles, depth=depth, matches_per_player=matches_per_player, queue=queue, region=region
+        ),
+        path,
     )
+    return True
 
 
 def transform_players(spark: SparkSession, raw_dir: str, processed_dir: str) -> bool:
     raw = read_parquet_if_present(spark, f"{raw_dir}/players/players.parquet")
     if raw is None:
         return False
-    player_dimension(raw).write.mode("overwrite").parquet(f"{processed_dir}/players.parquet")
+    replace_dataset(player_dimension(raw), f"{processed_dir}/players.parquet")
     return True
 
 
@@ -53,7 +92,7 @@ def transform_dictionaries(spark: SparkSession, raw_dir: str, processed_dir: str
     for name, flatten in (("champions", dictionaries.champions), ("items", dictionaries.items)):
         documents = dictionaries.read_documents(spark, f"{raw_dir}/static/{name}.json")
         if documents is not None:
-            flatten(documents).write.mode("overwrite").parquet(f"{processed_dir}/{name}.parquet")
+            replace_dataset(flatten(documents), f"{processed_dir}/{name}.parquet")
             written.append(name)
     return written
 
@@ -100,6 +139,11 @@ def run(
     marts_dir: str,
     *,
     field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
+    types: Mapping[str, str] = MappingProxyType({}),
+    depth: int = 1,
+    matches_per_player: int = 20,
+    queue: str = "RANKED_SOLO_5x5",
+    region: str = "euw1",
     skip_transform: bool = False,
     skip_quality: bool = False,
     skip_marts: bool = False,
@@ -108,17 +152,21 @@ def run(
     """Run the stages in order and return the marts.
 
     Stages hand over through files, so any of them can be skipped when its
-    output is already there.
+    output is already there. With a ``depth`` above 1 the landed players are first
+    expanded along the landed matches. Tables staged on the way are deleted.
     """
-    if not skip_transform:
-        transform_matches(spark, raw_dir, processed_dir, field_map)
-        transform_players(spark, raw_dir, processed_dir)
-        transform_dictionaries(spark, raw_dir, processed_dir)
-    tables = read_processed(spark, processed_dir)
-    if not skip_quality:
-        check_quality(tables)
-    if not skip_marts:
-        build_marts(tables, marts_dir)
+    with staged_run(spark):
+        if not skip_transform:
+            expand_raw_players(
+                spark, raw_dir, depth=depth, matches_per_player=matches_per_player, queue=queue, region=region)
+            transform_matches(spark, raw_dir, processed_dir, field_map, types)
+            transform_players(spark, raw_dir, processed_dir)
+            transform_dictionaries(spark, raw_dir, processed_dir)
+        tables = read_processed(spark, processed_dir)
+        if not skip_quality:
+            check_quality(tables)
+        if not skip_marts:
+            build_marts(tables, marts_dir)
     ready = read_marts(spark, marts_dir)
     publish_views(ready)
     if database is not None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from matchforge.functions.numeric import is_true, order_free_sum, ratio, round_to, z_score
 from matchforge.functions.ranking import By, Rank, percent_rank_of_mean, with_ranks
-from matchforge.plans.champions import favour
+from matchforge.plans.champions import CLOSE_CALL, favour
 
 
 # --- outliers -----------------------------------------------------------------
@@ -101,6 +101,7 @@ def top_champions(player_champions: DataFrame, *, top_n: int = 5) -> DataFrame:
             "share_pct",
             ratio(F.col("games_played"), F.sum("games_played").over(mine)) * F.lit(100),
         )
+        .withColumn("favour", favour(F.col("winrate_pct"), *CLOSE_CALL))
     )
 
 

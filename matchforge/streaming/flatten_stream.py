@@ -8,6 +8,7 @@ key state grows in the stream, and a batch replayed after a failure adds nothing
 from __future__ import annotations
 
 from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +19,16 @@ from matchforge.operators.flatten import flatten_matches
 from matchforge.sources.raw import read_parquet_if_present
 
 
-
 def append_new_participants(
-    batch: DataFrame, fact_dir: str, field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP
+    batch: DataFrame, fact_dir: str, field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
+    *, types: Mapping[str, str] = MappingProxyType({}),
 ) -> None:
     """Flatten one batch of raw records and append the rows the fact lacks."""
     if batch.isEmpty():
         return
     paths = {path: name for name, path in field_map.items()}
     keys = [paths["__match_id__"], paths["puuid"]]
-    rows = flatten_matches(batch, field_map, first_by=("_raw_json",))
+    rows = flatten_matches(batch, field_map, types=types, first_by=("_raw_json",))
     landed = read_parquet_if_present(batch.sparkSession, fact_dir)
     if landed is not None:
         # only the batch's own matches are looked for among the known ones
@@ -46,6 +47,7 @@ def flatten_landed_chunks(
     checkpoint_dir: str,
     field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
     *,
+    types: Mapping[str, str] = MappingProxyType({}),
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Process everything landed so far and stop; the next call goes on from there."""
@@ -58,7 +60,7 @@ def flatten_landed_chunks(
     )
     return (
         chunks.writeStream.foreachBatch(
-            lambda batch, _: append_new_participants(batch, fact_dir, field_map)
+            lambda batch, _: append_new_participants(batch, fact_dir, field_map, types=types)
         )
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)

@@ -7,6 +7,10 @@ requested columns need are joined.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,8 +99,66 @@ _JOINS = {
 }
 
 
+# A second reading of the same rows, one text for Spark and for the check: players from one
+# game to hundreds, some without deaths; champions that are rare, always win or never do;
+# players of one champion; win rates that differ by player and position; damage that grows.
+VARIED = """
+  SELECT l_orderkey AS match_id, player AS puuid, 'N' || player AS summoner_name, champion AS champion_name,
+         CASE role WHEN 0 THEN 'TOP' WHEN 1 THEN 'JUNGLE' WHEN 2 THEN 'MID' WHEN 3 THEN 'BOTTOM'
+                   WHEN 4 THEN 'SUPPORT' WHEN 5 THEN '' END AS team_position,
+         CASE WHEN l_tax = 0.08 AND l_linenumber = 2 THEN NULL
+              WHEN champion = 'Main0' THEN true WHEN champion = 'Main6' THEN false
+              ELSE (l_orderkey * 31 + l_partkey * 17 + l_linenumber * 7) % 100
+                   < 40 + (player % 9) * 4 + CASE WHEN role = 0 THEN 8 ELSE 0 END END AS win,
+         CAST(floor(l_quantity / 5) AS BIGINT) + player % 9 AS kills,
+         CAST(CASE WHEN player % 11 = 0 THEN 0 ELSE l_linenumber - 1 + player % 4 * 2 END AS BIGINT) AS deaths,
+         CAST(floor(p_size / 5) AS BIGINT) AS assists,
+         CAST(floor(l_extendedprice) AS BIGINT) AS gold_earned,
+         CAST(floor(l_extendedprice * (year(l_shipdate) - 1990) * (player % 5) / 20) AS BIGINT) AS damage_to_champions,
+         CAST(floor(l_discount * 300) AS BIGINT) + player % 5 * 15 AS vision_score,
+         CAST(p_size * 6 AS BIGINT) AS minions_killed, CAST(l_linenumber * 5 AS BIGINT) AS neutral_minions_killed,
+         l_shipdate AS game_date, CAST(floor(l_extendedprice / 20) AS BIGINT) AS game_duration,
+         CASE WHEN l_partkey % 5 = 0 AND l_quantity < 45 THEN 0 ELSE l_partkey END AS item0,
+         CASE WHEN l_linenumber = 1 THEN 5000000 + l_partkey END AS item1,
+         CAST(l_linenumber AS BIGINT) AS item2, 100 + player % 9 AS item3,
+         CAST(NULL AS BIGINT) AS item4, CAST(0 AS BIGINT) AS item5
+  FROM (
+    SELECT *, CASE WHEN champion LIKE 'Main%' THEN player % 5 ELSE (l_orderkey + l_partkey) % 7 END AS role
+    FROM (
+      SELECT *, CASE WHEN l_partkey % 97 = 0 THEN NULL
+                     WHEN l_quantity >= 46 AND l_quantity < 48 THEN 'R' || (l_partkey % 60)
+                     WHEN l_linenumber <= player % 6 THEN 'Main' || (player % 7)
+                     ELSE 'C' || (l_orderkey % 30) END AS champion
+      FROM (
+        SELECT *, CASE WHEN l_quantity >= 48 THEN 2000000 + l_partkey * 1000 + l_suppkey
+                       WHEN l_quantity >= 25 THEN 1000000 + l_partkey ELSE l_suppkey END AS player
+        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey) AS by_player) AS by_champion) AS by_role
+"""
+
+_reading_varied: ContextVar[bool] = ContextVar("varied", default=False)
+
+
+@contextmanager
+def varied_reading() -> Iterator[None]:
+    """Inside, the fact and the line-ups are read as ``VARIED`` says."""
+    token = _reading_varied.set(True)
+    try:
+        yield
+    finally:
+        _reading_varied.reset(token)
+
+
+def _varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(
+        VARIED.replace("FROM lineitem LEFT JOIN part", "FROM {lineitem} LEFT JOIN {part}"),
+        lineitem=read(spark, sf_dir, "lineitem"), part=read(spark, sf_dir, "part"),
+    )
+
+
 def participants(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The participant fact with the given columns (all when none are named)."""
+    if _reading_varied.get():
+        return _varied(spark, sf_dir).select(*columns or ["*"])
     chosen = columns or tuple(COLUMNS)
     rows = read(spark, sf_dir, "lineitem")
     for table, (left, right) in _JOINS.items():
@@ -308,6 +370,9 @@ def flawed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a line-up: its parts as champions at their positions."""
+    if _reading_varied.get():
+        return _varied(spark, sf_dir).select(
+            F.col("match_id").alias("lineup_id"), F.col("team_position").alias("position"), "champion_name")
     lines = read(spark, sf_dir, "lineitem")
     parts = read(spark, sf_dir, "part")
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(

@@ -6,6 +6,9 @@ match data repeats the binding's expressions, and sums that decide a digit its d
 
 from __future__ import annotations
 
+from registry.bindings import VARIED
+from registry.queries import VARIED as VARIED_QUERIES
+
 FACT = """
 fact AS (
   SELECT l.l_orderkey AS match_id,
@@ -396,7 +399,12 @@ WHERE p_size <> 13
 
 # --- reports ------------------------------------------------------------------------
 
-FAVOUR = "CASE WHEN winrate_pct >= 55 THEN 'favourable' WHEN winrate_pct <= 45 THEN 'unfavourable' ELSE 'neutral' END"
+def favour(column: str = "winrate_pct", high: int = 55, low: int = 45) -> str:
+    return (f"CASE WHEN {column} >= {high} THEN 'favourable' WHEN {column} <= {low} THEN 'unfavourable' "
+            "ELSE 'neutral' END")
+
+
+FAVOUR = favour()
 
 TIERED = """
 cuts AS (SELECT quantile_cont(picks, 0.5) AS half, quantile_cont(picks, 0.75) AS quarter FROM champions),
@@ -473,10 +481,11 @@ def share(column: str) -> str:
       / count({column}) OVER (PARTITION BY team_position) END"""
 
 
+PLAIN_PICKS = f"""SELECT l_orderkey AS lineup_id, {POSITION} AS position, p_brand AS champion_name
+  FROM lineitem JOIN part ON p_partkey = l_partkey"""
 PICKS = f"""
 picks AS (
-  SELECT l_orderkey AS lineup_id, {POSITION} AS position, p_brand AS champion_name
-  FROM lineitem JOIN part ON p_partkey = l_partkey
+  {PLAIN_PICKS}
 ),
 rated AS (
   SELECT *, coalesce(champion_wr * confidence + position_baseline * (1 - confidence), position_baseline) AS effective_wr
@@ -587,7 +596,8 @@ SELECT summoner_name, main_position, most_played_champion, games_played, winrate
 FROM players"""),
     "top_champions_per_player": over(PLAYER_CHAMPIONS, TOPS, select=f"""
 SELECT puuid, champion_name, team_position, games_played, winrate_pct, avg_kda, CAST(place AS INTEGER) AS place,
-       {rnd('CAST(games_played AS DOUBLE) / sum(games_played) OVER (PARTITION BY puuid) * 100', 6)} AS share_pct
+       {rnd('CAST(games_played AS DOUBLE) / sum(games_played) OVER (PARTITION BY puuid) * 100', 6)} AS share_pct,
+       {favour('winrate_pct', 52, 48)} AS favour
 FROM tops"""),
     "player_style": over(PLAYER_CHAMPIONS, TOPS, select=f"""
 SELECT puuid,
@@ -639,13 +649,13 @@ SELECT lineup_id, position, champion_name, champion_wr, picks, position_baseline
 FROM rated"""),
     "predict_lineup_winrate": over(CHAMPIONS, POSITIONS, PICKS, select=f"""
 SELECT lineup_id, roles, {rnd('least(80.0::DOUBLE, greatest(20.0::DOUBLE, mean_wr + synergy_bonus))', 1)} AS predicted_wr,
-       synergy_bonus,
+       synergy_bonus, {favour('predicted_wr', 52, 48)} AS favour,
        CASE WHEN synergy_bonus > 0 THEN 'balanced' WHEN synergy_bonus < 0 THEN 'no_support' ELSE 'standard' END AS synergy_note
 FROM (SELECT lineup_id, count(*) AS roles,
              CAST(sum(CAST(effective_wr AS DECIMAL(28, 9))) AS DOUBLE) / count(*) AS mean_wr,
              CASE WHEN bool_or(position IN ('TOP', 'JUNGLE')) AND bool_or(position IN ('MID', 'BOTTOM'))
                        AND bool_or(position = 'SUPPORT') THEN 1.0::DOUBLE
-                  WHEN NOT bool_or(position = 'SUPPORT') THEN -1.5::DOUBLE ELSE 0.0::DOUBLE END AS synergy_bonus
+                  WHEN NOT coalesce(bool_or(position = 'SUPPORT'), false) THEN -1.5::DOUBLE ELSE 0.0::DOUBLE END AS synergy_bonus
       FROM rated GROUP BY lineup_id)"""),
     "timeline_anomalies": _anomaly_days("avg_damage"),
     "timeline_anomalies_duration": _anomaly_days("avg_duration_min"),
@@ -694,3 +704,11 @@ ORACLE |= {
     f"merged_{name}": ORACLE[f"mart_{name}"]
     for name in ("player_stats", "player_champion_stats", "champion_stats", "position_stats")
 }
+
+# The same SQL over the varied reading, whose line-ups are the picks of the fact.
+VARIED_FACT = f"fact AS ({VARIED})"
+VARIED_PICKS = "SELECT match_id AS lineup_id, team_position AS position, champion_name FROM fact"
+ORACLE |= {
+    f"{name}_varied": ORACLE[name].replace(FACT, VARIED_FACT).replace(PLAIN_PICKS, VARIED_PICKS)
+    for name in VARIED_QUERIES
+}

@@ -360,7 +360,7 @@ def top_champions_per_player(spark, sf_dir):
     top = players.top_champions(mart_player_champion_stats(spark, sf_dir))
     return rounded(top, "share_pct").select(
         "puuid", "champion_name", "team_position", "games_played", "winrate_pct", "avg_kda",
-        "place", "share_pct",
+        "place", "share_pct", "favour",
     )
 
 
@@ -438,3 +438,28 @@ def insights(spark, sf_dir):
 def balance_health(spark, sf_dir):
     health = reports.balance_health(*_marts(spark, sf_dir, "champion_stats", "player_stats", "position_stats"))
     return rounded(health, "mean_winrate_pct")
+
+
+# --- the same over the varied reading -------------------------------------------------
+
+# Queries whose thresholds, classes and fallbacks the plain reading does not all reach.
+VARIED = (
+    "mart_player_stats", "mart_champion_stats", "mart_item_popularity", "merged_player_champion_stats",
+    "vw_top_players", "vw_meta_champions", "vw_item_efficiency", "meta_tiers", "tier_counts",
+    "wr_anomalies", "pick_quadrants", "champion_bars", "player_outliers", "avg_rank_gap", "player_flags",
+    "marker_sizes", "top_champions_per_player", "player_style", "recommend_champions", "lineup_breakdown",
+    "predict_lineup_winrate", "period_delta", "item_report", "action_plan", "insights", "balance_health",
+)
+
+
+def _over_varied(query: Query) -> Query:
+    def run(spark, sf_dir):
+        with b.varied_reading():
+            return query(spark, sf_dir)
+
+    run.__name__ = f"{query.__name__}_varied"
+    return run
+
+
+for _name in VARIED:
+    register(_over_varied(QUERIES[_name]))
