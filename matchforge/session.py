@@ -58,11 +58,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     and the file sizes let Spark judge what is small enough to broadcast.
     """
     spark = df.sparkSession
-    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = work_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder, deleted with the staged tables of the run."""
+    return f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _staged_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/staged/{_run.get()}"
 

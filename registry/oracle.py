@@ -712,3 +712,22 @@ ORACLE |= {
     f"{name}_varied": ORACLE[name].replace(FACT, VARIED_FACT).replace(PLAIN_PICKS, VARIED_PICKS)
     for name in VARIED_QUERIES
 }
+
+ORACLE |= {
+    "flatten_two_loads": ORACLE["flatten_dedup"],
+    "stream_two_loads": f"{RECORDS} SELECT DISTINCT match_id, puuid, CAST(1 AS BIGINT) AS copies FROM records",
+    "players_table": ORACLE["player_winrate"],
+    "marts_read_back": ORACLE["vw_meta_champions"],
+    "one_player": over(PLAYER_CHAMPIONS, select="""
+SELECT puuid, champion_name, team_position, games_played FROM player_champions WHERE puuid = 7"""),
+    "dq_summary": f"""
+SELECT table_name, CAST(max(CASE WHEN check_name = 'row_count' THEN value END) AS BIGINT) AS n_rows,
+       coalesce(string_agg(CASE WHEN severity = 'error' THEN code END, ' ' ORDER BY code), '') AS failed,
+       coalesce(string_agg(CASE WHEN severity = 'warning' THEN code END, ' ' ORDER BY code), '') AS doubtful
+FROM (SELECT *, check_name || ':' || column_name AS code FROM ({ORACLE["dq_report"]}))
+GROUP BY table_name""",
+    "dq_empty_table": """
+SELECT 'matches' AS table_name, 'row_count' AS check_name, '' AS column_name,
+       CAST(count(*) AS DOUBLE) AS value, 'error' AS severity, false AS passed
+FROM lineitem WHERE l_quantity < -998""",
+}

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from matchforge.functions.numeric import round_to, text_to_bigint
 from matchforge.operators import flatten, graph, incremental, quality
 from matchforge.operators.recent import recent_matches
-from matchforge.plans import champions, lineups, marts, players, reports, timeline, views
-from matchforge.session import stage
-from matchforge.sources import dictionaries, tables
+from matchforge.plans import champions, lineups, marts, pipeline, players, reports, timeline, views
+from matchforge.session import stage, work_folder
+from matchforge.sources import dictionaries, raw, tables
 from matchforge.sources import players as players_source
+from matchforge.streaming.flatten_stream import flatten_landed_chunks
 from registry import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,16 @@ def merged_position_stats(spark, sf_dir):
     return _marts(spark, sf_dir, "position_stats")[0]
 
 
+@register
+def marts_read_back(spark, sf_dir):
+    """The champion mart replaced twice, read with the mart reader and through its view."""
+    folder = work_folder(spark, "marts")
+    for _ in range(2):
+        tables.write_mart(mart_champion_stats(spark, sf_dir), folder, "mart_champion_stats")
+    tables.publish_views(tables.read_marts(spark, folder))
+    return spark.table("vw_meta_champions")
+
+
 # --- views over stored marts --------------------------------------------------
 
 def stored(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +159,34 @@ def flatten_dedup(spark, sf_dir):
     return flatten.flatten_matches(_landed(spark, sf_dir), first_by=b.RAW_ORDER)
 
 
+def _two_loads(spark, sf_dir):
+    """The raw records in two loads, each in order: lines 1 to 3 of the orders, then the rest."""
+    records, early = b.raw_matches(spark, sf_dir), F.col("l_linenumber") <= 3
+    return [records.filter(part).orderBy(*b.RAW_ORDER) for part in (early, ~early)]
+
+
+@register
+def flatten_two_loads(spark, sf_dir):
+    """Two appends, read back as landed chunks and put through the pipeline's own step."""
+    folder = work_folder(spark, "loads")
+    for load in _two_loads(spark, sf_dir):
+        raw.append_raw_matches(load, folder)
+    pipeline.transform_matches(spark, folder, f"{folder}/processed")
+    return tables.read_processed(spark, f"{folder}/processed")["matches"]
+
+
+@register
+def stream_two_loads(spark, sf_dir):
+    """Keys of the fact after a stream run behind each of two appends, and a replay."""
+    folder = work_folder(spark, "stream")
+    for load in [*_two_loads(spark, sf_dir), None]:
+        if load is not None:
+            raw.append_raw_matches(load, folder)
+        flatten_landed_chunks(spark, folder, f"{folder}/fact", f"{folder}/state").awaitTermination()
+    fact = spark.read.parquet(f"{folder}/fact")
+    return fact.groupBy("match_id", "puuid").agg(F.count(F.lit(1)).alias("copies"))
+
+
 @register
 def flatten_nested_fields(spark, sf_dir):
     return flatten.flatten_matches(_landed(spark, sf_dir), NESTED_FIELDS, first_by=b.RAW_ORDER)
@@ -225,6 +264,16 @@ def player_relational_form(spark, sf_dir):
     return players_source.relational_form(dimension, "players").drop("winrate")
 
 
+@register
+def players_table(spark, sf_dir):
+    """Landed players through the pipeline's step and the reader of processed tables."""
+    folder = work_folder(spark, "players")
+    _league(spark, sf_dir).drop("_raw_json").write.parquet(f"{folder}/players/players.parquet")
+    pipeline.transform_players(spark, folder, f"{folder}/processed")
+    processed = tables.read_processed(spark, f"{folder}/processed")["players"]
+    return processed.select("summonerId", "summonerName", "wins", "losses", "winrate", "_tier")
+
+
 @register
 def flatten_champion_dictionary(spark, sf_dir):
     return dictionaries.champions(b.champion_documents(spark, sf_dir))
@@ -240,6 +289,18 @@ def dq_report(spark, sf_dir):
     return quality.quality_checks(b.flawed_fact(spark, sf_dir), "matches")
 
 
+@register
+def dq_summary(spark, sf_dir):
+    summary = quality.quality_summary(b.flawed_fact(spark, sf_dir), "matches")
+    return summary.withColumns({c: F.array_join(c, " ") for c in ("failed", "doubtful")})
+
+
+@register
+def dq_empty_table(spark, sf_dir):
+    nothing = b.flawed_fact(spark, sf_dir).filter(F.col("kills") < -1000)
+    return quality.quality_checks(nothing, "matches")
+
+
 @register
 def expand_players(spark, sf_dir):
     return graph.expand_players(
@@ -350,6 +411,12 @@ def marker_sizes(spark, sf_dir):
     return players.marker_sizes(_players(spark, sf_dir))
 
 
+@register
+def one_player(spark, sf_dir):
+    return players.one_player(mart_player_champion_stats(spark, sf_dir), puuid="7").select(
+        "puuid", "champion_name", "team_position", "games_played")
+
+
 @register
 def player_table(spark, sf_dir):
     return players.player_table(mart_player_stats(spark, sf_dir))
