@@ -16,6 +16,7 @@ log = logging.getLogger(__name__)
 
 # Columns that put raw records in file and row order.
 FILE_ORDER = ("source_file", "source_row")
+_CHUNKS = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": "true"}
 
 
 def read_parquet_if_present(
@@ -37,8 +38,7 @@ def read_parquet_if_present(
 def read_raw_matches(spark: SparkSession, raw_dir: str) -> DataFrame | None:
     """All landed chunks, with the file and row each record came from."""
     raw = read_parquet_if_present(
-        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, pathGlobFilter="*.parquet", recursiveFileLookup="true"
-    )
+        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, **_CHUNKS)
     if raw is None:
         return None
     return raw.select(
@@ -48,14 +48,33 @@ def read_raw_matches(spark: SparkSession, raw_dir: str) -> DataFrame | None:
     )
 
 
+def _readable(spark: SparkSession, raw_dir: str) -> DataFrame | None:
+    return read_parquet_if_present(
+        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, ignoreCorruptFiles="true", **_CHUNKS)
+
+
+def silent_chunks(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """``source_file`` of the chunks that give no record: unreadable, or written empty.
+
+    The files are listed without their contents, and the records counted per file from
+    the footers alone; a chunk that breaks off behind its first records is not among them.
+    """
+    readable = _readable(spark, raw_dir)
+    if readable is None:
+        return spark.createDataFrame([], "source_file STRING")
+    path = F.col("_metadata.file_path").alias("source_file")
+    listed = spark.read.format("binaryFile").options(**_CHUNKS).load(f"{raw_dir}/matches").select(path)
+    return listed.join(readable.select(path).distinct(), "source_file", "left_anti")
+
+
 def landed_match_ids(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Distinct landed ids; chunks that cannot be read are skipped."""
-    raw = read_parquet_if_present(
-        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA,
-        pathGlobFilter="*.parquet", ignoreCorruptFiles="true", recursiveFileLookup="true",
-    )
+    """Distinct landed ids; chunks without a readable record are skipped, and their number logged."""
+    raw = _readable(spark, raw_dir)
     if raw is None:
         return spark.createDataFrame([], "match_id STRING")
+    skipped = silent_chunks(spark, raw_dir).count()
+    if skipped:
+        log.warning("%d chunks under %s give no record; silent_chunks lists them", skipped, raw_dir)
     return landed_keys(raw)
 
 

@@ -70,5 +70,20 @@ def mart_tables(spark: SparkSession, database: Database) -> list[str]:
     return [row[0] for row in rows]
 
 
-def read_table(spark: SparkSession, database: Database, table: str) -> DataFrame:
-    return spark.read.format("jdbc").options(**database.options(table)).load()
+def read_options(database: Database, table: str, split: tuple[str, int, int] | None = None) -> dict[str, str]:
+    """Read options; ``split`` is a whole-number column with its lowest and highest value."""
+    options = database.options(table)
+    if split:
+        column, low, high = split
+        return {**options, "partitionColumn": column, "lowerBound": str(low), "upperBound": str(high)}
+    return {**options, "numPartitions": "1"}
+
+
+def read_table(
+    spark: SparkSession, database: Database, table: str, split: tuple[str, int, int] | None = None
+) -> DataFrame:
+    """A table of the database, read through all connections in ranges of ``split``.
+
+    Without ``split`` one task reads it all: for tables of mart size only.
+    """
+    return spark.read.format("jdbc").options(**read_options(database, table, split)).load()

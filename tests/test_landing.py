@@ -13,12 +13,15 @@ from matchforge.sources import dictionaries, players, raw, relational, tables
 from matchforge.streaming.flatten_stream import flatten_landed_chunks
 
 
-def test_landed_ids(spark, tmp_path):
+def test_landed_ids(spark, tmp_path, caplog):
     assert raw.landed_match_ids(spark, str(tmp_path / "none")).count() == 0
     land(spark, tmp_path, "chunk_00000", ("A", "{}"), ("B", "{}"), (None, "{}"))
     land(spark, tmp_path, "chunk_00001", ("B", "{}"), ("C", "{}"))
     (tmp_path / "matches" / "chunk_00002.parquet").write_bytes(b"not parquet")
     assert {r[0] for r in raw.landed_match_ids(spark, str(tmp_path)).collect()} == {"A", "B", "C"}
+    assert "1 chunks" in caplog.text
+    assert [r[0].rpartition("/")[2] for r in raw.silent_chunks(spark, str(tmp_path)).collect()] == ["chunk_00002.parquet"]
+    assert raw.silent_chunks(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_append_only_when_there_is_something(spark, tmp_path):
@@ -168,3 +171,37 @@ def test_appended_chunks_keep_their_order(spark, tmp_path):
         assert raw.append_raw_matches(new, landed)
     rows = flatten_matches(raw.read_raw_matches(spark, landed), first_by=raw.FILE_ORDER).collect()
     assert [r.kills for r in rows] == [0]
+
+
+def test_staged_tables_go_with_their_run(spark, tmp_path):
+    from pathlib import Path
+
+    from matchforge.session import shared_folder, stage, staged_run
+
+    root = Path(shared_folder(spark).removeprefix("file:")) / "staged"
+    before = set(root.glob("*")) if root.exists() else set()
+    with pytest.raises(KeyError), staged_run(spark):
+        assert stage(spark.range(5), "five").count() == 5
+        assert set(root.glob("*")) - before
+        raise KeyError
+    assert set(root.glob("*")) == before
+
+
+def test_failed_replacement_leaves_the_old_dataset(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.replace_dataset(spark.range(3), path)
+    with pytest.raises(Exception):
+        tables.replace_dataset(spark.range(3).selectExpr("raise_error('no') AS id"), path)
+    assert spark.read.parquet(path).count() == 3
+    tables.replace_dataset(spark.read.parquet(path).limit(1), path)  # may read what it replaces
+    assert spark.read.parquet(path).count() == 1
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["table"]
+
+
+def test_relational_read_in_ranges():
+    from matchforge.sources.relational import Database, read_options
+
+    database = Database("jdbc:x", connections=4)
+    assert read_options(database, "t")["numPartitions"] == "1"
+    ranged = read_options(database, "t", ("id", 1, 100))
+    assert (ranged["partitionColumn"], ranged["upperBound"], ranged["numPartitions"]) == ("id", "100", "4")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import POSITIONS, document, land
+from matchforge import schema
 from matchforge.plans import marts, pipeline, views
 from matchforge.sources.tables import MARTS, read_marts, write_mart
 
@@ -207,3 +208,22 @@ def test_mart_readers_normalize_positions(spark, tmp_path):
     got = read_marts(spark, str(tmp_path))
     assert list(got) == ["mart_position_stats"]
     assert got["mart_position_stats"].collect()[0].team_position == "SUPPORT"
+
+
+def test_pipeline_expands_players_and_types_added_fields(spark, tmp_path):
+    from conftest import participant
+
+    raw, processed, out = (str(tmp_path / n) for n in ("raw", "processed", "marts"))
+    people = {"M1": "ab", "M2": "bc", "M3": "cd"}
+    land(spark, raw, "chunk_00000", *[
+        (m, document([participant(0, puuid=p, riotIdGameName=f"Name {p}", challenges={"kda": 2.5}) for p in who]))
+        for m, who in people.items()])
+    seed = spark.createDataFrame([("a", "First", 3, 1)], "puuid STRING, summonerName STRING, wins LONG, losses LONG")
+    seed.write.parquet(f"{raw}/players/players.parquet")
+    fields = {**schema.DEFAULT_FIELD_MAP, "kda": "challenges.kda"}
+    for _ in range(2):  # a second run starts from the league again
+        pipeline.run(spark, raw, processed, out, field_map=fields, types={"kda": "double"}, depth=3, matches_per_player=5)
+        players = spark.read.parquet(f"{processed}/players.parquet")
+        assert sorted(r.puuid for r in players.collect()) == ["a", "b", "c"]
+    fact = spark.read.parquet(f"{processed}/matches.parquet")
+    assert dict(fact.dtypes)["kda"] == "double" and {r.kda for r in fact.collect()} == {2.5}
