@@ -101,10 +101,15 @@ def top_champions(player_champions: DataFrame, *, top_n: int = 5) -> DataFrame:
             "share_pct",
             ratio(F.col("games_played"), F.sum("games_played").over(mine)) * F.lit(100),
         )
-        .withColumn("favour", favour(F.col("winrate_pct"), *CLOSE_CALL))
     )
 
 
+def champion_pools(player_champions: DataFrame, *, top_n: int = 5) -> DataFrame:
+    """``top_champions`` as listed per player, with the class of each champion's win rate."""
+    top = top_champions(player_champions, top_n=top_n)
+    return top.withColumn("favour", favour(F.col("winrate_pct"), *CLOSE_CALL))
+
+
 def player_styles(top: DataFrame) -> DataFrame:
     """Play style and pool breadth of each player from ``top_champions``.
 

@@ -424,7 +424,7 @@ def player_table(spark, sf_dir):
 
 @register
 def top_champions_per_player(spark, sf_dir):
-    top = players.top_champions(mart_player_champion_stats(spark, sf_dir))
+    top = players.champion_pools(mart_player_champion_stats(spark, sf_dir))
     return rounded(top, "share_pct").select(
         "puuid", "champion_name", "team_position", "games_played", "winrate_pct", "avg_kda",
         "place", "share_pct", "favour",
