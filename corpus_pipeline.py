@@ -17,6 +17,8 @@ from matchforge.llm.tokens import public_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A text is rejected if it has no letter or no language gets more than this.
 LEAST_SCORE = 0.5
+# Similarity of word shingles from which on documents are near copies (op2 keeps its own).
+NEAR = 0.8
 
 # Training models and drawing permutations is beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -34,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; rows without an id cannot be grouped and stay."""
     docs = pick(docs, *COLUMNS)
-    judged = near_duplicates.near_duplicates(docs)
+    judged = near_duplicates.near_duplicates(docs, threshold=NEAR)
     dropped = stage(judged.where("doc_id is not null and not kept").select("doc_id").distinct(), "copies")
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
 

@@ -24,7 +24,9 @@ Plan:
 5. Links are contracted to the smallest id by distributed hooking and jumping. Every
    step is a written table in the shared folder.
 
-A pair at the threshold shares no bucket with probability (1 - 0.85**6)**28 = 2e-6.
+Bands are as wide as the threshold allows (``banding``): 28 bands of 6 registers at 0.85,
+33 of 5 at 0.80. A pair at the threshold shares no bucket with probability (1 - 0.85**6)**28
+or (1 - 0.8**5)**33, both 2e-6.
 
 Cases: a text without words has an empty set and stands alone; fewer than five words
 are one shingle; null ids are never linked, their component is null and ``kept`` is
@@ -34,6 +36,7 @@ the sets of all its texts; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -47,16 +50,13 @@ from matchforge.llm.common import byte_values, column, in_tasks, mix, pick, slic
 
 SHINGLE = 5
 THRESHOLD = 0.85
-BANDS = 28
-ROWS = 6
-REGISTERS = BANDS * ROWS
+REGISTERS = 168
+# Largest chance that a pair at the threshold shares no bucket.
+MISSED = 2.5e-6
 # Fixed values of the sketch: base, rate and largest register.
 BASE = 1.001
 RATE = 20.0
 TOP = 65535
-# Estimates this far under the threshold are dropped: five standard deviations of
-# the estimate from 168 registers at 0.85.
-MARGIN = 0.14
 # Shingles in a block of bucket members, and members multiplied at a time.
 BLOCK_ELEMENTS = 1 << 16
 MULTIPLIED = 256
@@ -69,6 +69,20 @@ _ODD = mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64)) | np.uint64(1)
 _PLACES = mix(np.arange(5001, SHINGLE + 5001, dtype=np.uint64)) | np.uint64(1)
 
 
+def banding(threshold: float) -> tuple[int, int]:
+    """Number of bands and registers a band: the widest bands that miss a pair at the threshold seldom enough."""
+    fitting = [(REGISTERS // rows, rows) for rows in range(1, REGISTERS + 1)]
+    fitting = [(bands, rows) for bands, rows in fitting if (1 - threshold**rows) ** bands <= MISSED]
+    if not fitting:
+        raise ValueError(f"a threshold of {threshold} needs more than {REGISTERS} registers")
+    return fitting[-1]
+
+
+def margin(threshold: float) -> float:
+    """Estimates this far under the threshold are dropped: five standard deviations, 0.14 at 0.85."""
+    return math.ceil(500 * math.sqrt(threshold * (1 - threshold) / REGISTERS)) / 100
+
+
 def shingle_sets(raw: np.ndarray, at: np.ndarray, size: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     hashes, starts = unit_hashes(raw, at, _VALUES)
@@ -113,18 +127,18 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "key", "sketch"])
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     weights = mix(np.arange(9001, 9001 + REGISTERS, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        values = np.frombuffer(b"".join(column(batch, "sketch").to_pylist()), "<u2").reshape(n, REGISTERS)
-        spread = mix(values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) * weights
-        keys = mix(spread.reshape(n, BANDS, ROWS).sum(axis=2, dtype=np.uint64))
+        values = np.frombuffer(b"".join(column(batch, "sketch").to_pylist()), "<u2").reshape(n, REGISTERS)[:, :bands * rows]
+        spread = mix(values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) * weights[:bands * rows]
+        keys = mix(spread.reshape(n, bands, rows).sum(axis=2, dtype=np.uint64))
         ids = column(batch, "id").to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, BANDS))], names=["bucket", "id"])
+            [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, bands))], names=["bucket", "id"])
 
 
 def likely_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -228,7 +242,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # one row per different set, under its smallest id
     reps = stage(listed.groupBy("key").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "sets")
-    buckets = in_tasks(reps.select("id", "sketch"), _bands, "bucket long, id long")
+    bands, width = banding(threshold)
+    buckets = in_tasks(reps.select("id", "sketch"), partial(_bands, bands=bands, rows=width), "bucket long, id long")
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
     members = stage(buckets.join(shared.select("bucket", "least"), "bucket").distinct(), "buckets")
     elements = _elements(rows, members)
@@ -259,7 +274,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"s_{end}"))
     sized = pairs.join(of("a"), "a").join(of("b"), "b")
     sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return in_tasks(sized, partial(_rate, least=percent / 100 - MARGIN), "a long, b long").distinct()
+    return in_tasks(sized, partial(_rate, least=percent / 100 - margin(percent / 100)), "a long, b long").distinct()
 
 
 def _elements(rows: DataFrame, members: DataFrame) -> DataFrame:

@@ -58,6 +58,25 @@ def test_near_duplicates(docs):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), root[r.doc_id], root[r.doc_id] == r.doc_id)
 
 
+def test_pipeline_drops_near_copies_from_080(spark):
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(104)]  # 100 shingles
+    rows = []
+    for k, changes in enumerate(((), (20, 60), (10, 50, 90))):  # 5 shingles a change: 90/110 and 85/115
+        w = list(base)
+        for at in changes:
+            w[at] = f"new{k}"
+        rows.append((k, " ".join(w), "en", "s", 1))
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {0, 2}
+    assert {r.doc_id for r in near_duplicates.near_duplicates(df).where("kept").collect()} == {0, 1, 2}
+    assert near_duplicates.banding(0.85) == (28, 6) and near_duplicates.margin(0.85) == 0.14
+    for threshold in (0.5, 0.8, 0.85, 0.9):
+        bands, width = near_duplicates.banding(threshold)
+        assert bands * width <= near_duplicates.REGISTERS and (1 - threshold**width) ** bands < 3e-6
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 900).astype(np.uint64)
