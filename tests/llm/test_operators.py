@@ -158,6 +158,25 @@ def test_decontamination_catches_other_numbers_and_names(spark):
     assert decontamination.decontaminate(df, bench.limit(0)).where("contaminated").count() == 0
 
 
+ITEM = "A farmer called Anna has 12 apples and gives 5 of them to Peter before Anna walks 3 km home again"
+
+
+def contaminated(spark, item, texts):
+    bench = spark.createDataFrame([(1, item)], "item_id LONG, text STRING")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    return [r.contaminated for r in sorted(decontamination.decontaminate(df, bench).collect())]
+
+
+def test_decontamination_whatever_case_and_layout(spark):
+    told = ("Anna has 12 red apples in a basket and a friend named Peter who likes fruit. Anna gives 5 apples to him. "
+            "Peter eats 2 of them. Anna then meets Peter at the market.")
+    changed = told.replace("Anna", "Maria").replace("Peter", "Paul")
+    wrapped = ITEM.replace(" Anna", "\nMaria").replace(" Peter", "  Paul").replace("3 km", "7\n km")
+    assert contaminated(spark, ITEM, [ITEM.lower(), ITEM.upper(), ITEM.title(), wrapped, "nothing like it " * 9]) == [True] * 4 + [False]
+    assert contaminated(spark, told, [changed, told.upper()]) == [True, True]
+    assert contaminated(spark, ITEM.title(), [ITEM, ITEM.title()]) == [True, True]
+
+
 def test_lines_by_brute_force(spark):
     base = [f"line number {i} of the text with some more words behind it" for i in range(3)]
     edits = [base[0].replace("some", "few"), base[0] + " end", base[0].replace("more ", ""), base[0].replace("text with", "book of")]
