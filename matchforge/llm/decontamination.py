@@ -16,7 +16,7 @@ an item, which is then read word by word over the whole item:
   is caught and a table that only looks alike is not.
 
 A document is contaminated by an item if consistent windows cover ``COVER`` of the
-item's windows or more.
+item's windows or more, or if consecutive ones on one alignment span ``RUN`` tokens.
 
 The benchmark's keys are broadcast only if their counted number is within
 ``BROADCAST_WINDOWS``; beyond that Spark joins by shuffling, with the same result.
@@ -40,6 +40,8 @@ from matchforge.llm.common import pick, stage
 
 WINDOW = 8
 COVER = 0.5
+# Consecutive tokens that are a leak whatever share of the item they are.
+RUN = 13
 LEAST_TOKENS = 4
 BROADCAST_WINDOWS = 1_000_000
 # Unit words that count as units after a number.
@@ -189,7 +191,7 @@ def _agreement(theirs: Column, ours: Column, names: Column) -> Column:
 
 def _reading() -> Column:
     """Of an alignment of ``words`` with ``ours``: starts of its consistent windows, ``strong`` and with enough
-    equal words (``worded``), and whether all of these are ``verbatim``."""
+    equal words (``worded``), tokens of the longest ``run`` of them, and whether all of these are ``verbatim``."""
     size, n = F.col("size"), F.size("words")
     places = F.zip_with("words", "ours", lambda t, o: _agreement(t, o, F.col("names")))
 
@@ -207,6 +209,17 @@ def _reading() -> Column:
     def consistent(places: Column, matched: Column, broken: Column) -> Column:
         return F.transform(matched, lambda m: m & (F.size(broken) == 0))
 
+    def longest(good: Column, enough: Column) -> Column:
+        """Tokens of the longest run of consecutive windows that tell."""
+        zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+        def step(so_far: Column, s: Column) -> Column:
+            tells = F.get(good, s) & (F.get("strong", s) | F.get(enough, s))
+            now = F.when(tells, so_far["now"] + 1).otherwise(0)
+            return F.struct(now.alias("now"), F.greatest(so_far["most"], now).alias("most"))
+
+        return F.aggregate(_starts(n, size), zero, step, lambda r: F.when(r["most"] > 0, r["most"] + size - 1).otherwise(0))
+
     def report(places: Column, good: Column) -> Column:
         worded = _half(F.transform(places, lambda x: x["exact"] & ~_amount(x["a"])), size)
         some = lambda flags: F.filter(_starts(n, size), lambda s: F.get(good, s) & flags(s))
@@ -214,6 +227,7 @@ def _reading() -> Column:
         verbatim = _all(F.transform(places, lambda x: x["exact"]), size)
         return _let(worded, lambda enough: _let(verbatim, lambda equal: F.struct(
             strong.alias("strong"), some(lambda s: F.get("wordy", s) & F.get(enough, s)).alias("worded"),
+            longest(good, enough).alias("run"),
             F.forall(some(lambda s: F.get("strong", s) | F.get(enough, s)), lambda s: F.get(equal, s)).alias("verbatim"))))
 
     return _let(places, lambda p: _let(_all(F.transform(p, lambda x: x["exact"] | x["type"]), size), lambda m: _let(
@@ -244,11 +258,11 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, cover: float = COV
     found = aligned(proposals, docs, items)
     distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
     covered = found.groupBy("doc_id", "text_key", "item", "item_id").agg(
-        distinct("reading.strong").alias("s"), distinct("reading.worded").alias("w"), F.bool_and("reading.verbatim").alias("verbatim"))
+        F.max("reading.run").alias("run"), distinct("reading.strong").alias("s"), distinct("reading.worded").alias("w"), F.bool_and("reading.verbatim").alias("verbatim"))
     totals = items.select("item", *(F.size(F.filter(c, lambda x: x)).alias(f"n_{c}") for c in ("strong", "wordy")))
     part = lambda n, of: F.when(F.col(of) > 0, F.col(n) / F.col(of))
     share = covered.join(totals, "item").withColumn("cover", F.greatest(part("s", "n_strong"), part("w", "n_wordy")))
-    return share.where(F.col("cover") >= cover).select("doc_id", "text_key", "item_id", "cover", "verbatim")
+    return share.where((F.col("cover") >= cover) | (F.col("run") >= RUN)).select("doc_id", "text_key", "item_id", "cover", "verbatim")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:

@@ -177,6 +177,13 @@ def test_decontamination_whatever_case_and_layout(spark):
     assert contaminated(spark, ITEM.title(), [ITEM, ITEM.title()]) == [True, True]
 
 
+def test_decontamination_by_a_long_run_of_a_long_item(spark):
+    w = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    other = lambda n: [f"other{chr(97 + i)}" for i in range(n)]
+    parts = [[*other(5), *w[20:20 + n], *other(5)] for n in (25, 13, 12)]
+    assert contaminated(spark, " ".join(w), [" ".join(p) for p in parts]) == [True, True, False]
+
+
 def test_lines_by_brute_force(spark):
     base = [f"line number {i} of the text with some more words behind it" for i in range(3)]
     edits = [base[0].replace("some", "few"), base[0] + " end", base[0].replace("more ", ""), base[0].replace("text with", "book of")]
