@@ -13,7 +13,8 @@ an item, which is then read word by word over the whole item:
   all its places, and a capitalised one with any capitalised word;
 - on each alignment a value of the item must stand for one and the same value everywhere
   (and different names for different names), so a question with other numbers and names
-  is caught and a table that only looks alike is not.
+  is caught and a table that only looks alike is not. Only windows that hold a changed
+  place of a value that breaks this are dropped.
 
 A document is contaminated by an item if consistent windows cover ``COVER`` of the
 item's windows or more, or if consecutive ones on one alignment span ``RUN`` tokens.
@@ -206,8 +207,10 @@ def _reading() -> Column:
         return F.filter(values, lambda x: F.exists(values, lambda y: (
             ((x["a"] == y["a"]) & (x["b"] != y["b"])) | (x["name"] & y["name"] & (x["b"] == y["b"]) & (x["a"] != y["a"])))))
 
-    def consistent(places: Column, matched: Column, broken: Column) -> Column:
-        return F.transform(matched, lambda m: m & (F.size(broken) == 0))
+    def consistent(places: Column, broken: Column) -> Column:
+        """Windows without a place at which one of the broken values was changed."""
+        fits = lambda x: x["exact"] | (x["type"] & ~F.exists(broken, lambda y: (x["a"] == y["a"]) & (x["b"] == y["b"])))
+        return _all(F.transform(places, fits), size)
 
     def longest(good: Column, enough: Column) -> Column:
         """Tokens of the longest run of consecutive windows that tell."""
@@ -231,7 +234,7 @@ def _reading() -> Column:
             F.forall(some(lambda s: F.get("strong", s) | F.get(enough, s)), lambda s: F.get(equal, s)).alias("verbatim"))))
 
     return _let(places, lambda p: _let(_all(F.transform(p, lambda x: x["exact"] | x["type"]), size), lambda m: _let(
-        values(p, m), lambda v: _let(clashes(v), lambda c: _let(consistent(p, m, c), lambda g: report(p, g))))))
+        values(p, m), lambda v: _let(clashes(v), lambda c: _let(consistent(p, c), lambda g: report(p, g))))))
 
 
 def aligned(proposals: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -184,6 +184,14 @@ def test_decontamination_by_a_long_run_of_a_long_item(spark):
     assert contaminated(spark, " ".join(w), [" ".join(p) for p in parts]) == [True, True, False]
 
 
+def test_decontamination_with_one_inconsistent_slot(spark):
+    item = ("There are 12 red boxes on the long table near the door of the old house and every one of them holds 12 "
+            "green pens that were bought in the small shop around the corner last summer")
+    copy = item.replace("holds 12", "holds 13")
+    table = ITEM.replace("called Anna", "called Maria").replace("before Anna", "before Kate")
+    assert contaminated(spark, item, [copy]) == [True] and contaminated(spark, ITEM, [table]) == [False]
+
+
 def test_lines_by_brute_force(spark):
     base = [f"line number {i} of the text with some more words behind it" for i in range(3)]
     edits = [base[0].replace("some", "few"), base[0] + " end", base[0].replace("more ", ""), base[0].replace("text with", "book of")]
