@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.llm import (
-    decontamination, language, line_dedup, mixing, near_duplicates, preferences, quality, token_counts, token_files,
-    top_products,
+    decontamination, language, line_dedup, mixing, near_duplicates, periodic_runs, preferences, quality, token_counts,
+    token_files, top_products,
 )
-from matchforge.llm.common import pick, read
+from matchforge.llm.common import pick, read, words
 from matchforge.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,42 @@ def op10_language(spark, sf_dir):
     model = language.fit(taught.select("text", "lang"))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return language.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def repeated_tails(docs):
+    """Of a tenth of the documents the words from one on are replaced by repetitions of those behind it.
+
+    With h the checksum of the id, g = h / 10 and n words: from word a = g % n on, word i
+    becomes word a + (i - a) % p, where p = 1 + (n - a) / (3 + g % 8). Texts without id stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    said = docs.where(h % 10 == 0).select("doc_id", "text", words(F.col("text")).alias("w"), g.alias("g")).where("size(w) > 0")
+    cut = said.withColumn("n", F.size("w")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    cut = cut.withColumn("p", period)
+    tail = F.transform(
+        F.sequence(F.lit(0), F.col("n") - F.col("a") - 1), lambda i: F.col("w")[(F.col("a") + i % F.col("p")).cast("int")])
+    changed = cut.select("doc_id", F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ").alias("text"))
+    others = docs.where(F.coalesce(h % 10 != 0, F.lit(True)) | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return others.select("doc_id", "text").unionByName(changed)
+
+
+@register
+def op11_periodic_runs(spark, sf_dir):
+    docs = pick(read(spark, sf_dir, "documents"), "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    found = periodic_runs.detect_runs(repeated_tails(docs))
+    # the longest run, of equal ones the first, then the shortest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("rest").cast("binary"), 256).alias("collapsed_sha256"),
+    )
