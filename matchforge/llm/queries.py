@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.llm import (
-    decontamination, language, line_dedup, mixing, near_duplicates, periodic_runs, preferences, quality, token_counts,
-    token_files, top_products,
+    decontamination, language, license_scan, line_dedup, mixing, near_duplicates, periodic_runs, preferences, quality,
+    token_counts, token_files, top_products,
 )
 from matchforge.llm.common import pick, read, words
 from matchforge.llm.tokens import public_path
@@ -138,3 +138,20 @@ def op11_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("rest").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@register
+def op12_license_scan(spark, sf_dir):
+    scanned = license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+    base = F.filter("detections", lambda d: d["base"])
+    labels = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda d: d["label"]))), ",")
+    starts = F.transform(base, lambda d: d["start"])
+    return scanned.select(
+        "doc_id", "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("detections")).alias("labels"),
+        "score",
+    )
