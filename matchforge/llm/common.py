@@ -167,3 +167,11 @@ def unit_hashes(raw: np.ndarray, at: np.ndarray, values: np.ndarray, kinds: np.n
         return np.zeros(0, np.uint64), starts
     term *= _POWERS.up[:n]
     return mix(np.add.reduceat(term, starts) * _POWERS.down[starts]), starts
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes from one start to the next, the last one to the end."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    _POWERS.reach(len(raw))
+    return mix(np.add.reduceat(values[raw] * _POWERS.up[:len(raw)], starts) * _POWERS.down[starts])

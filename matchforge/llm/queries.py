@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.llm import (
-    decontamination, language, license_scan, line_dedup, mixing, near_duplicates, periodic_runs, preferences, quality,
+    cross_tokens, decontamination, language, license_scan, line_dedup, mixing, near_duplicates, periodic_runs, preferences, quality,
     token_counts, token_files, top_products,
 )
 from matchforge.llm.common import pick, read, words
@@ -17,6 +17,7 @@ from matchforge.llm.tokens import public_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+A_TOKENS, B_TOKENS = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Production parameters of the mixture.
 ENTROPY_SHARE = 0.97
 MAX_REPEAT = 2.0
@@ -155,3 +156,10 @@ def op12_license_scan(spark, sf_dir):
         labels(F.col("detections")).alias("labels"),
         "score",
     )
+
+
+@register
+def op13_cross_tokens(spark, sf_dir):
+    aligned = cross_tokens.align_tokenizers(read(spark, sf_dir, "documents"), A_TOKENS, B_TOKENS)
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return aligned.withColumn("groups_sha256", digest).drop("groups")

@@ -20,7 +20,7 @@ _PUNCTUATION = string.punctuation.replace("'", "")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that byte-level models write for each byte: printable bytes as they are."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     spare = iter(range(256, 512))
@@ -48,7 +48,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = plain_specials
         self.plain_specials = plain_specials
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.values = byte_values(True, _GAPS)
         self.kinds = np.zeros(256, np.uint8)
         self.kinds[[*range(65, 91), *range(97, 123)]] = 1
