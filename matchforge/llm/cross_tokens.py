@@ -10,11 +10,11 @@ so a group has exactly one link.
    partial counts in dense vectors indexed by slot.
 3. Second pass: texts are aligned again and the counts of their links looked up.
 
-Texts are aligned unit by unit: a unit is a run of white space and what follows it up to the
-next run, cut only before a space, line feed or tab behind something else. Neither
-tokenizer has a token across such a cut (checked for B when it is loaded; A's own
-splitting never joins a letter or mark with white space behind it), so a text's
-alignment is that of its units, each worked out once per worker. A text with other white
+Texts are aligned unit by unit: they are cut before a space, line feed or tab that follows
+something else, and between an ASCII letter and a mark. Neither tokenizer has a token across
+such a cut (marks and white space are looked for in B's tokens when it is loaded; A's own
+splitting ends there), so a text's alignment is that of its units, and those a worker
+remembers are not worked out again. A text with other white
 space, or whose units do not give back its bytes, is one unit.
 
 Cases: a text that is null or empty, or whose tokens of A or B do not spell out a space and the
@@ -27,9 +27,11 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import string
 import uuid
 from collections.abc import Iterator
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +44,10 @@ from matchforge.llm.tokens import byte_letters, public_path
 
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
 ROW_SCHEMA = f"doc_id long, {ALIGNED}, groups string"
-# Units, and ids in them, that a worker remembers; a full memory is emptied.
-MEMORY_UNITS, MEMORY_IDS = 200_000, 2_000_000
+# Units, and links in them, that a worker remembers; a full memory is emptied.
+MEMORY_UNITS, MEMORY_LINKS = 400_000, 4_000_000
 # Bytes of text aligned at a time.
-ALIGN_BYTES = 1 << 19
+ALIGN_BYTES = 1 << 20
 # Different pairs a task holds before it gives them out.
 HELD_PAIRS = 1 << 20
 _VALUES = byte_values(False, b"")
@@ -61,107 +63,157 @@ class Tokenizers:
     def __init__(self, a_name: str, b_name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(public_path(a_name))
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=public_path(b_name))
-        byte_of = {letter: byte for byte, letter in byte_letters().items()}
+        self.model = self.a.model
+        self.letters = byte_letters()
+        # B adds a space to what it encodes; units bring theirs along
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(Path(public_path(b_name)).read_bytes())
+        if not proto.normalizer_spec.add_dummy_prefix or proto.normalizer_spec.remove_extra_whitespaces:
+            raise ValueError(f"{b_name} does not put one space before a text")
+        proto.normalizer_spec.add_dummy_prefix = False
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+        byte_of = {letter: byte for byte, letter in self.letters.items()}
         self.a_bytes = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in known]) for known in (self.a_bytes, self.b_bytes))
         plain = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
         if any(_SPACE in p.lstrip(_SPACE) or "\n" in p or "\t" in p for p in plain):
             raise ValueError(f"tokens of {b_name} may cross white space")
-        self.space = self.b.piece_to_id(_SPACE)
+        # ASCII marks that no token of B has behind an ASCII letter
+        joined = {y for p in plain for x, y in zip(p, p[1:]) if x.isascii() and x.isalpha()}
+        self.marks = [ord(c) for c in string.punctuation if c not in joined]
+
+    def _a_ids(self, text: str) -> list[int]:
+        word = text[1:] if text[0] == " " else text
+        if word.isalpha() and max(word) < "\u0180":  # one word of A's splitting
+            return [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def encode(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         texts = [u.decode() for u in units]
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        # B puts a space before each text: it stands for the one a unit begins with, or is taken off
-        b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
-        return a, [
-            [self.space] if t == " " else ids if t[0] == " " else ids[1:] if ids[0] == self.space else []
-            for t, ids in zip(texts, b)]
-
-
-def link_groups(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> Iterator[tuple[list[int], list[int]]]:
-    """The ids of each group of a text that both id lists spell out."""
-    i = j = first_i = first_j = at_a = at_b = 0
-    while i < len(a) or j < len(b):
-        if at_a <= at_b and i < len(a):
-            at_a += len(a_bytes[a[i]])
-            i += 1
-        else:
-            at_b += len(b_bytes[b[j]])
-            j += 1
-        if at_a == at_b:
-            yield a[first_i:i], b[first_j:j]
-            first_i, first_j = i, j
+        return list(map(self._a_ids, texts)), self.b.encode(texts, num_threads=1)
+
+
+_STRINGS: dict[tuple[int, str], np.ndarray] = {}
+
+
+def _written(n: int, behind: str) -> np.ndarray:
+    """The numbers below ``n`` as text, each followed by ``behind``."""
+    if (n, behind) not in _STRINGS:
+        _STRINGS[n, behind] = np.array([f"{i}{behind}" for i in range(n)], object)
+    return _STRINGS[n, behind]
+
+
+class _Side:
+    """Ids of one tokenizer for many units: their unit, and the byte each ends before."""
+
+    def __init__(self, ids: list[list[int]], sizes: np.ndarray):
+        self.ids = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.unit = np.repeat(np.arange(len(ids)), counts)
+        self.ends = np.cumsum(sizes[self.ids])
+        self.counts = counts
 
 
 class Aligner:
-    """Aligns texts through a memory of the units met so far; ``lookup`` and ``most`` add counts."""
+    """Aligns texts through a memory of the units met so far; ``lookup`` and ``most`` add counts.
+
+    Groups are written out only with a ``lookup``: the first pass does without them.
+    """
 
-    def __init__(self, names: tuple[str, str], lookup=None, most: np.ndarray | None = None):
+    def __init__(self, names: tuple[str, str], lookup=None, most: np.ndarray | None = None, spelled: bool = False):
         self.tokenizers = Tokenizers(*names)
         self.second_ids = len(self.tokenizers.b_bytes)
-        self.lookup, self.most = lookup, most
+        self.lookup, self.most, self.spelled = lookup, most, spelled or lookup is not None
+        self.mark = np.zeros(256, bool)
+        self.mark[self.tokenizers.marks] = True
+        self.letter = np.zeros(256, bool)
+        self.letter[[*range(65, 91), *range(97, 123)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[int, int] = {}
-        self.groups: list[str | None] = []  # None: the tokens do not spell out the unit
+        self.known = 0
+        self.groups: list[str] = []
+        self.odd = np.zeros(1 << 12, bool)  # the tokens do not spell out the unit
         # per unit: ids of A and B, groups, links, links that are their B id's best, sum of counts
         self.sums = np.zeros((1 << 12, 6), np.int64)
         self.keys = np.zeros(1 << 14, np.int64)
         self.first = np.zeros((1 << 12) + 1, np.int64)
 
     def _learn(self, hashes: list[int], units: list[bytes]) -> None:
-        t, known = self.tokenizers, len(self.groups)
+        t, n, known = self.tokenizers, len(units), self.known
         all_a, all_b = t.encode(units)
-        sums, keys = np.zeros((len(units), 6), np.int64), []
-        for row, unit, a, b in zip(sums, units, all_a, all_b):
-            if b"".join([t.a_bytes[i] for i in a]) != unit or b"".join([t.b_bytes[i] for i in b]) != unit:
-                self.groups.append(None)
-                keys.append([])
-                continue
-            parts = list(link_groups(a, b, t.a_bytes, t.b_bytes))
-            self.groups.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in parts]))
-            keys.append([x[-1] * self.second_ids + y[-1] for x, y in parts])
-            row[:4] = len(a), len(b), len(parts), len(parts)
-        flat = np.fromiter(itertools.chain.from_iterable(keys), np.int64)
-        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
-        owner = np.repeat(np.arange(len(units)), sizes)
+        spelt = lambda ids, table: b"".join([table[i] for x in ids for i in x])
+        whole = b"".join(units)
+        odd = np.zeros(n, bool)
+        if spelt(all_a, t.a_bytes) != whole or spelt(all_b, t.b_bytes) != whole:
+            for i, unit in enumerate(units):
+                if spelt(all_a[i:i + 1], t.a_bytes) != unit or spelt(all_b[i:i + 1], t.b_bytes) != unit:
+                    odd[i], all_a[i], all_b[i] = True, [], []
+        a, b = _Side(all_a, t.a_sizes), _Side(all_b, t.b_sizes)
+        cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
+        last_a, last_b = np.searchsorted(a.ends, cuts), np.searchsorted(b.ends, cuts)
+        owner = a.unit[last_a]
+        flat = a.ids[last_a] * self.second_ids + b.ids[last_b]
+        sizes = np.bincount(owner, minlength=n)
+        sums = np.zeros((n, 6), np.int64)
+        sums[:, 0], sums[:, 1], sums[:, 2], sums[:, 3] = a.counts, b.counts, sizes, sizes
         if self.lookup is not None and len(flat):
             counts = self.lookup.counts(flat)
             best = (counts > 0) & (counts == self.most[flat % self.second_ids])
-            sums[:, 4] = np.bincount(owner, best, len(units)).astype(np.int64)
+            sums[:, 4] = np.bincount(owner, best, n).astype(np.int64)
             np.add.at(sums[:, 5], owner, counts)
+        if self.spelled:
+            self.groups += self._spell(a, b, cuts, n)
         end = int(self.first[known]) + len(flat)
-        while known + len(units) > len(self.sums):
+        while known + n > len(self.sums):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+            self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
             self.first = np.concatenate([self.first, np.zeros(len(self.first) - 1, np.int64)])
         while end > len(self.keys):
             self.keys = np.concatenate([self.keys, np.zeros_like(self.keys)])
-        self.sums[known:known + len(units)] = sums
+        self.sums[known:known + n], self.odd[known:known + n] = sums, odd
         self.keys[self.first[known]:end] = flat
-        self.first[known + 1:known + len(units) + 1] = self.first[known] + np.cumsum(sizes)
-        self.number.update(zip(hashes, range(known, known + len(units))))
+        self.first[known + 1:known + n + 1] = self.first[known] + np.cumsum(sizes)
+        self.number.update(zip(hashes, range(known, known + n)))
+        self.known += n
+
+    @staticmethod
+    def _spell(a: _Side, b: _Side, cuts: np.ndarray, n: int) -> list[str]:
+        """The groups of each unit as text: ids in order of group, then side, each with what follows it."""
+        group = np.concatenate([2 * np.searchsorted(cuts, a.ends), 2 * np.searchsorted(cuts, b.ends) + 1])
+        order = np.argsort(group, kind="stable")
+        group, unit = group[order], np.concatenate([a.unit, b.unit])[order]
+        ids, of_b = np.concatenate([a.ids, b.ids])[order], order >= len(a.ids)
+        behind = np.full(len(ids), 3)
+        behind[:-1] = np.where(unit[1:] != unit[:-1], 3, np.where(group[1:] == group[:-1], 0, np.where(of_b[1:], 1, 2)))
+        most, said = int(ids.max(initial=0)) + 1, np.empty(len(ids), object)
+        for kind, mark in enumerate((",", "|", ";", "\n")):
+            here = behind == kind
+            said[here] = _written(1 << (most - 1).bit_length(), mark)[ids[here]]
+        lines = iter("".join(said.tolist()).split("\n"))
+        return [next(lines) if c else "" for c in a.counts.tolist()]
 
     def units(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units of all texts, and where those of each text begin (one more at the end).
 
         Every text begins with the space that was put before it; one of that space alone has no units.
         """
-        if len(self.groups) > MEMORY_UNITS or self.first[len(self.groups)] > MEMORY_IDS:
+        if self.known > MEMORY_UNITS or self.first[self.known] > MEMORY_LINKS:
             self._forget()
         blank = (raw == 32) | (raw == 10) | (raw == 9)
         begin = np.zeros(len(raw), bool)
-        begin[1:] = blank[1:] & ~blank[:-1] & (raw[:-1] != 13)
+        begin[1:] = (blank[1:] & ~blank[:-1] & (raw[:-1] != 13)) | (self.letter[raw[:-1]] & self.mark[raw[1:]])
         data = raw.tobytes()
         sizes = np.diff(at)
         for m in _OTHER_SPACE.finditer(data):
@@ -177,7 +229,7 @@ class Aligner:
             if new := [i for i, h in enumerate(keys) if h not in self.number]:
                 self._learn([keys[i] for i in new], [data[starts[j]:ends[j]] for j in first[new]])
             numbers = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
-            odd = np.array([self.groups[i] is None for i in numbers.tolist()], bool)[back]
+            odd = self.odd[numbers][back]
             text_of = np.searchsorted(at, starts, "right") - 1
             split = np.bincount(text_of, minlength=len(sizes)) > 1
             whole = np.unique(text_of[odd & split[text_of]])
@@ -245,7 +297,7 @@ def _look_up(batches: Iterator[pa.RecordBatch], names: tuple[str, str], shared,
         for numbers, first in work.align(column(batch, "text")):
             upto = np.concatenate([np.zeros((1, 6), np.int64), np.cumsum(work.sums[numbers], axis=0)])
             sums, n = upto[first[1:]] - upto[first[:-1]], len(first) - 1
-            said = [work.groups[i] or "" for i in numbers.tolist()]
+            said = [work.groups[i] for i in numbers.tolist()]
             groups = [";".join(said[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(done, n), *(pa.array(np.ascontiguousarray(sums[:, k])) for k in range(6)), pa.array(groups, pa.string())],

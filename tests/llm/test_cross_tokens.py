@@ -5,11 +5,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import sentencepiece
 
 from matchforge.llm import cross_tokens, pair_counts
 from matchforge.llm.queries import A_TOKENS, B_TOKENS, QUERIES
+from matchforge.llm.tokens import public_path
 
 T = cross_tokens.Tokenizers(A_TOKENS, B_TOKENS)
+B = sentencepiece.SentencePieceProcessor(model_file=public_path(B_TOKENS))
 
 
 def spelled(text):
@@ -17,9 +20,9 @@ def spelled(text):
     if not text:
         return None
     a = T.a.encode(" " + text, add_special_tokens=False).ids
-    b = T.b.encode(text)
+    b = B.encode(text)
     bytes_a = [T.a_bytes[i] for i in a]
-    bytes_b = [bytes([int(p[3:-1], 16)]) if p.startswith("<0x") else p.replace("▁", " ").encode() for p in map(T.b.id_to_piece, b)]
+    bytes_b = [bytes([int(p[3:-1], 16)]) if p.startswith("<0x") else p.replace("▁", " ").encode() for p in map(B.id_to_piece, b)]
     whole = (" " + text).encode()
     if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
         return None
@@ -88,10 +91,10 @@ def test_units_by_random_texts():
     import pyarrow as pa
 
     texts = ["".join(rng.choice(letters, rng.integers(0, 25))) for _ in range(4000)]
-    work = cross_tokens.Aligner((A_TOKENS, B_TOKENS))
+    work = cross_tokens.Aligner((A_TOKENS, B_TOKENS), spelled=True)
     got = []
     for numbers, first in work.align(pa.array(texts)):
-        got += [";".join(work.groups[i] or "" for i in numbers[a:b]) for a, b in zip(first[:-1], first[1:])]
+        got += [";".join(work.groups[i] for i in numbers[a:b]) for a, b in zip(first[:-1], first[1:])]
     want = [";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in aligned(t)[2]) for t in texts]
     assert got == want
 
