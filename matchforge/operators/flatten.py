@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.functions.numeric import epoch_ms_to_timestamp, text_to_bigint
+from matchforge.session import stage
 
 # Characters JSON allows around a document.
 BLANKS = " \t\r\n"
@@ -170,6 +171,7 @@ def flatten_matches(
     types: Mapping[str, str] = MappingProxyType({}),
     deduplicate: bool = True,
     first_by: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One typed row per participant of each match document.
 
@@ -177,14 +179,17 @@ def flatten_matches(
     columns the schema does not know; others of those are text. Undecodable documents, documents
     that are not objects and documents without participants give no rows. With
     ``deduplicate`` the first row per (match, player) is kept, first meaning
-    the order of ``first_by`` and then the place in the document.
+    the order of ``first_by`` and then the place in the document. ``keep`` names
+    columns of ``raw``, which come as ``__by_`` columns, or keys to carry along.
     """
     if not field_map:
         raise ValueError("the field map selects no columns")
+    own = ("__match", "__player", "__place")
+    carried = list(dict.fromkeys([*first_by, *(c for c in keep if c not in own)]))
     rows = (
-        parse_documents(raw, field_map, types, *first_by)
+        parse_documents(raw, field_map, types, *carried)
         .select(
-            "match_id", *first_by, "info",
+            "match_id", *carried, "info",
             F.posexplode_outer("participants").alias("__place", "participant"),
         )
         .filter(F.col("participant").isNotNull())
@@ -192,7 +197,7 @@ def flatten_matches(
             *[resolve(name, path, types).alias(name) for name, path in field_map.items()],
             F.col("match_id").alias("__match"),
             F.col("participant.puuid").alias("__player"),
-            *[F.col(name).alias(f"__by_{name}") for name in first_by],
+            *[F.col(name).alias(f"__by_{name}") for name in carried],
             "__place",
         )
     )
@@ -200,7 +205,7 @@ def flatten_matches(
         rows = keep_first(
             rows, ["__match", "__player"], [*[f"__by_{name}" for name in first_by], "__place"]
         )
-    return rows.select(*field_map)
+    return rows.select(*field_map, *[c if c in own else f"__by_{c}" for c in keep])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -218,3 +223,34 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def corrupt_matches(raw: DataFrame) -> DataFrame:
     """Ids of the documents that are skipped because they are not JSON objects."""
     return raw.filter(~is_json_object()).select("match_id")
+
+
+def flatten_first(
+    raw: DataFrame,
+    field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
+    *,
+    types: Mapping[str, str] = MappingProxyType({}),
+    first_by: Sequence[str],
+) -> DataFrame:
+    """What ``flatten_matches`` gives, deduplicated without shuffling whole rows.
+
+    All rows are flattened once, into a staged table in which each has a number. Which of
+    them are later copies is settled on keys and order columns alone: the keys that come more
+    than once (counted before the shuffle), the first place of each, and the numbers of all
+    their other rows. Copies are as a rule few; those numbers are taken out of the staged
+    rows by a join that Spark broadcasts when their size allows.
+    """
+    keys, order = ("__match", "__player"), [*[f"__by_{name}" for name in first_by], "__place"]
+    flat = flatten_matches(raw, field_map, types=types, deduplicate=False, keep=(*keys, "__place", *first_by))
+    rows = stage(flat.withColumn("__row", F.monotonically_increasing_id()), "flat_rows")
+
+    def of_keys(some: DataFrame, how: str, others: DataFrame, *columns: str) -> DataFrame:
+        others = others.select(*[F.col(k).alias(f"__same{k}") for k in keys], *columns)
+        same = [some[k].eqNullSafe(others[f"__same{k}"]) for k in keys]
+        return some.join(others, same, how)
+
+    repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = of_keys(rows.select(*keys, *order, "__row"), "left_semi", repeated)
+    first = copies.groupBy(*keys).agg(F.min(F.struct(*order, "__row")).alias("__first"))
+    later = of_keys(copies, "inner", first, "__first").filter(F.col("__row") != F.col("__first.__row"))
+    return rows.join(stage(later.select("__row"), "later_copies"), "__row", "left_anti").select(*field_map)

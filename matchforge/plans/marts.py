@@ -35,16 +35,20 @@ def mart_cells(fact: DataFrame) -> DataFrame:
 
 
 def _grouped(
-    fact: DataFrame, cells: DataFrame | None, keep: Column, keys: Sequence[str], quantities: Sequence[str]
+    fact: DataFrame | None, cells: DataFrame | None, keep: Column, keys: Sequence[str], quantities: Sequence[str]
 ) -> DataFrame:
     if cells is not None:
         return merge(cells.filter(keep), keys, quantities)
     return totals(fact.filter(keep), keys, quantities)
 
 
-def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games: int = 3) -> DataFrame:
+def player_stats(
+    fact: DataFrame | None, cells: DataFrame | None = None, games: DataFrame | None = None, *, min_games: int = 3
+) -> DataFrame:
     """Per player: distinct matches, averages, win rate, favourite champion and position.
 
+    With ``cells`` and ``games`` (``games_played`` by player) the fact is not read at all.
+
     Three small row sets are stacked and merged by one last grouping: totals,
     distinct matches, and one vote count per champion and position. A player
     with a large share of all rows is thus split by match and by champion
@@ -52,7 +56,7 @@ def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games:
     The favourite is the most frequent value, the smallest one on a tie.
     """
     known = F.col("puuid").isNotNull()
-    matches = (
+    matches = games if games is not None else (
         fact.filter(known & F.col("match_id").isNotNull())
         .select(*PLAYER, "match_id")
         .distinct()
@@ -110,7 +114,7 @@ def player_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games:
     )
 
 
-def player_champion_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_games: int = 2) -> DataFrame:
+def player_champion_stats(fact: DataFrame | None, cells: DataFrame | None = None, *, min_games: int = 2) -> DataFrame:
     """Per player, champion and position."""
     keep = F.col("puuid").isNotNull() & F.col("champion_name").isNotNull()
     return (
@@ -129,7 +133,7 @@ def player_champion_stats(fact: DataFrame, cells: DataFrame | None = None, *, mi
     )
 
 
-def champion_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_picks: int = 5) -> DataFrame:
+def champion_stats(fact: DataFrame | None, cells: DataFrame | None = None, *, min_picks: int = 5) -> DataFrame:
     """Per champion and position."""
     keys = ("champion_name", "team_position")
     return (
@@ -149,7 +153,7 @@ def champion_stats(fact: DataFrame, cells: DataFrame | None = None, *, min_picks
     )
 
 
-def position_stats(fact: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+def position_stats(fact: DataFrame | None, cells: DataFrame | None = None) -> DataFrame:
     """Per position; unknown and empty positions are left out."""
     keep = F.col("team_position").isNotNull() & (F.col("team_position") != "")
     return _grouped(fact, cells, keep, ["team_position"], POSITION_QUANTITIES).select(
@@ -167,19 +171,32 @@ def position_stats(fact: DataFrame, cells: DataFrame | None = None) -> DataFrame
 
 def match_timeline(fact: DataFrame) -> DataFrame:
     """Per calendar day: distinct matches and averages."""
-    return (
+    return timeline_of(
         fact.filter(F.col("game_date").isNotNull())
         .withColumn("game_day", F.col("game_date").cast("date"))
         .groupBy("game_day")
         .agg(F.countDistinct("match_id").alias("total_matches"), *row_totals(DAY_QUANTITIES))
-        .select(
-            "game_day", "total_matches",
-            winrate_pct().alias("overall_winrate"),
-            average("kills", 2).alias("avg_kills"),
-            average("deaths", 2).alias("avg_deaths"),
-            average("damage", 0).alias("avg_damage"),
-            round_to(mean("duration") / F.lit(60.0), 1).alias("avg_duration_min"),
-        )
+    )
+
+
+def timeline_of(days: DataFrame) -> DataFrame:
+    """The timeline from totals by day; a day without a known match has 0 of them."""
+    return days.select(
+        "game_day", F.coalesce("total_matches", F.lit(0)).alias("total_matches"),
+        winrate_pct().alias("overall_winrate"),
+        average("kills", 2).alias("avg_kills"),
+        average("deaths", 2).alias("avg_deaths"),
+        average("damage", 0).alias("avg_damage"),
+        round_to(mean("duration") / F.lit(60.0), 1).alias("avg_duration_min"),
+    )
+
+
+def purchases(fact: DataFrame, *keep: str) -> DataFrame:
+    """One row per filled item slot that counts, with the buyer's result."""
+    slots = F.array(*[F.col(slot).cast("bigint") for slot in schema.PURCHASE_SLOTS])
+    return (
+        fact.select("win", *keep, F.explode(slots).alias("slot_item"))
+        .filter(F.col("slot_item").isNotNull() & (F.col("slot_item") != 0))
     )
 
 
@@ -190,12 +207,11 @@ def item_popularity(fact: DataFrame, items: DataFrame, *, min_purchases: int = 1
     join sees one row per id. Ids the dimension lacks end up in one group with
     a null item.
     """
-    slots = F.array(*[F.col(slot).cast("bigint") for slot in schema.PURCHASE_SLOTS])
-    bought = (
-        fact.select("win", F.explode(slots).alias("slot_item"))
-        .filter(F.col("slot_item").isNotNull() & (F.col("slot_item") != 0))
-    )
-    per_id = totals(bought, ["slot_item"], ["win"])
+    return popularity_of(totals(purchases(fact), ["slot_item"], ["win"]), items, min_purchases=min_purchases)
+
+
+def popularity_of(per_id: DataFrame, items: DataFrame, *, min_purchases: int = 10) -> DataFrame:
+    """The item mart from purchases counted by item id."""
     item = ("item_id", "item_name", "gold_total", "tags")
     joined = per_id.join(
         items.select(*item), per_id["slot_item"].cast("string") == F.col("item_id"), "left"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge import schema
-from matchforge.operators.flatten import flatten_matches
+from matchforge.operators.flatten import flatten_first
 from matchforge.operators.graph import expand_players
 from matchforge.operators.quality import quality_summary
 from matchforge.plans import marts
@@ -26,52 +26,79 @@ from matchforge.sources.tables import (
 log = logging.getLogger(__name__)
 
 
+# Fields the player graph needs, whatever the fact's own map selects.
+EDGE_FIELDS = {
+    "match_id": schema.MATCH_ID_PATH, "puuid": "puuid",
+    "game_date": schema.DEFAULT_FIELD_MAP["game_date"], "queue_id": "__queue_id__",
+    "gameName": "riotIdGameName", "tagLine": "riotIdTagline",
+}
+_EDGE = "__edge_"
+
+
+def landed_participants(
+    spark: SparkSession, raw_dir: str, field_map: Mapping[str, str], types: Mapping[str, str], *, edges: bool
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of the fact and, if asked for, what the player graph needs, from one parse of the documents."""
+    raw = read_raw_matches(spark, raw_dir)
+    if raw is None or not (field_map or edges):
+        return None, None
+    wanted = dict(field_map)
+    if edges:
+        wanted |= {f"{_EDGE}{name}": path for name, path in EDGE_FIELDS.items()}
+        dates = {f"{_EDGE}game_date": "bigint", f"{_EDGE}queue_id": "bigint"}
+        types = {**types, **dates}
+    rows = flatten_first(raw, wanted, types=types, first_by=FILE_ORDER)
+    if not edges:
+        return rows, None
+    rows = stage(rows, "participants")
+    return (
+        rows.select(*field_map) if field_map else None,
+        rows.select(*[F.col(f"{_EDGE}{name}").alias(name) for name in EDGE_FIELDS]))
+
+
 def transform_matches(
     spark: SparkSession, raw_dir: str, processed_dir: str,
     field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
     types: Mapping[str, str] = MappingProxyType({}),
+    rows: DataFrame | None = None,
 ) -> bool:
     """Raw chunks to the participant fact, first occurrence in file order kept.
 
-    ``types`` names the SQL types of added fields; without one they are text.
+    ``types`` names the SQL types of added fields; without one they are text. ``rows`` are
+    the participants if they are already parsed.
     """
-    raw = read_raw_matches(spark, raw_dir)
-    if raw is None or not field_map:
+    if rows is None:
+        rows, _ = landed_participants(spark, raw_dir, field_map, types, edges=False)
+    if rows is None or not field_map:
         log.warning("no raw matches or no field map; the fact is left as it is")
         return False
-    return overwrite_table(
-        flatten_matches(raw, field_map, types=types, first_by=FILE_ORDER),
-        f"{processed_dir}/matches.parquet",
-        keep_if_empty=flatten_matches(raw, field_map, types=types, deduplicate=False),
-    )
-
-
-# Fields the player graph needs, whatever the fact's own map selects.
-EDGE_FIELDS = {
-    "match_id": schema.MATCH_ID_PATH, "puuid": "puuid",
-    "game_date": schema.DEFAULT_FIELD_MAP["game_date"],
-    "gameName": "riotIdGameName", "tagLine": "riotIdTagline",
-}
+    return overwrite_table(rows, f"{processed_dir}/matches.parquet")
 
 
 def expand_raw_players(
-    spark: SparkSession, raw_dir: str, *, depth: int, matches_per_player: int, queue: str, region: str
+    spark: SparkSession, raw_dir: str, *, depth: int, matches_per_player: int, queue: str, region: str,
+    met: DataFrame | None = None,
 ) -> bool:
-    """Add to the landed players those met within ``depth - 1`` steps in the landed matches.
+    """Add to the landed players those met within ``depth - 1`` steps in the landed matches of the queue.
 
-    Names are the ones the matches give; of several the smallest.
+    Names are the ones the matches give; of several the smallest. ``met`` are the fields of
+    ``EDGE_FIELDS`` if they are already parsed.
     """
     path = f"{raw_dir}/players/players.parquet"
-    seed, raw = read_parquet_if_present(spark, path), read_raw_matches(spark, raw_dir)
-    if seed is None or raw is None or depth <= 1 or "puuid" not in seed.columns:
+    seed = read_parquet_if_present(spark, path)
+    if seed is None or depth <= 1 or "puuid" not in seed.columns:
+        return False
+    if met is None:
+        _, met = landed_participants(spark, raw_dir, {}, {}, edges=True)
+    if met is None:
         return False
     if "_graph_level" in seed.columns:  # players of an earlier expansion are found again
         seed = seed.filter(F.col("_graph_level").isNull()).drop("_graph_level")
-    met = stage(flatten_matches(raw, EDGE_FIELDS, first_by=FILE_ORDER), "met")
     profiles = met.groupBy("puuid").agg(F.min("gameName").alias("gameName"), F.min("tagLine").alias("tagLine"))
     replace_dataset(
         expand_players(
-            seed, met, profiles, depth=depth, matches_per_player=matches_per_player, queue=queue, region=region
+            seed, met, profiles, depth=depth, matches_per_player=matches_per_player, queue=queue, region=region,
+            queue_id=schema.QUEUE_IDS.get(queue),
         ),
         path,
     )
@@ -157,9 +184,10 @@ def run(
     """
     with staged_run(spark):
         if not skip_transform:
+            rows, met = landed_participants(spark, raw_dir, field_map, types, edges=depth > 1)
             expand_raw_players(
-                spark, raw_dir, depth=depth, matches_per_player=matches_per_player, queue=queue, region=region)
-            transform_matches(spark, raw_dir, processed_dir, field_map, types)
+                spark, raw_dir, depth=depth, matches_per_player=matches_per_player, queue=queue, region=region, met=met)
+            transform_matches(spark, raw_dir, processed_dir, field_map, types, rows)
             transform_players(spark, raw_dir, processed_dir)
             transform_dictionaries(spark, raw_dir, processed_dir)
         tables = read_processed(spark, processed_dir)

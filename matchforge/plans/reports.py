@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchforge.functions.numeric import min_max
+from matchforge.functions.numeric import min_max, z_score
 from matchforge.plans.champions import meta_tiers, winrate_anomalies
 from matchforge.plans.players import outlier_scores, rank_gap
 from matchforge.plans.timeline import period_delta
 
+# The metrics drawn on the radar.
 RADAR_METRICS = ("winrate_pct", "avg_kills", "avg_damage", "avg_gold", "avg_vision")
 
 
@@ -102,6 +103,29 @@ def insights(champions: DataFrame, players: DataFrame, positions: DataFrame, tim
     ])
 
 
+def balance_label(overperforming: Column) -> Column:
+    """How balanced a set of champions looks by the number that win strangely often."""
+    return F.when(overperforming <= 1, "balanced").when(overperforming <= 3, "attention").otherwise("unbalanced")
+
+
+def balance_by_position(champions: DataFrame, *, min_picks: int = 15, threshold: float = 1.5) -> DataFrame:
+    """The balance label of each position, its champions compared among themselves.
+
+    Mean and deviation come per position from a grouping of the roster and are joined back;
+    fewer than three champions are not compared.
+    """
+    picked = champions.filter(F.col("picks") >= min_picks)
+    spread = picked.groupBy("team_position").agg(
+        F.count(F.lit(1)).alias("champions"), F.avg("winrate_pct").alias("mean"), F.stddev_samp("winrate_pct").alias("std"))
+    both = picked.select("team_position", "winrate_pct").join(
+        spread.withColumnRenamed("team_position", "position"), F.col("team_position").eqNullSafe(F.col("position")))
+    strange = (F.col("champions") >= 3) & (z_score(F.col("winrate_pct"), F.col("mean"), F.col("std")) >= threshold)
+    counted = both.groupBy("position").agg(F.count(F.lit(1)).alias("champions"), F.count_if(strange).alias("overperforming"))
+    return counted.select(
+        F.col("position").alias("team_position"), "champions", "overperforming",
+        balance_label(F.col("overperforming")).alias("balance"))
+
+
 def balance_health(champions: DataFrame, players: DataFrame, positions: DataFrame) -> DataFrame:
     """One row: how balanced the game looks and the headline counts."""
     tops = meta_tiers(champions).agg(F.count(F.when(F.col("tier") == "S", F.lit(1)))).scalar()
@@ -111,7 +135,7 @@ def balance_health(champions: DataFrame, players: DataFrame, positions: DataFram
         winrate_anomalies(champions)
         .agg(F.count(F.when(F.col("direction") == "overperforming", F.lit(1))).alias("overperforming"))
         .select(
-            F.when(strange <= 1, "balanced").when(strange <= 3, "attention").otherwise("unbalanced").alias("balance"),
+            balance_label(strange).alias("balance"),
             "overperforming",
             tops.alias("s_tier_champions"),
             actions.alias("actions"),

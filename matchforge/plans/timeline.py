@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The metrics of a day that are looked at.
 METRICS = ("avg_damage", "avg_duration_min", "avg_kills", "total_matches")
 
 

@@ -50,8 +50,12 @@ MATCH_LEVEL_PATHS: dict[str, str] = {
     "__game_version__": "gameVersion",
     "__game_date__": "gameEndTimestamp",
     "__game_mode__": "gameMode",
+    "__queue_id__": "queueId",
 }
 
+# The number matches carry for a queue that leagues name.
+QUEUE_IDS: dict[str, int] = {"RANKED_SOLO_5x5": 420, "RANKED_FLEX_SR": 440}
+
 # Fact columns held as nullable 64-bit integers.
 INTEGER_COLUMNS: tuple[str, ...] = (
     "kills", "deaths", "assists", "gold_earned",
@@ -59,7 +63,7 @@ INTEGER_COLUMNS: tuple[str, ...] = (
     "damage_to_champions", "damage_taken", "healing_done",
     "vision_score", "wards_placed", "wards_killed",
     "item0", "item1", "item2", "item3", "item4", "item5", "item6",
-    "game_duration", "champion_id", "team_id",
+    "game_duration", "champion_id", "team_id", "queue_id",
     # columns a field map may add
     "pentakills", "quadrakills", "turret_kills", "dragon_kills", "baron_kills",
     "time_spent_living", "crowd_control_score",
@@ -72,7 +76,7 @@ EPOCH_MS_COLUMNS: tuple[str, ...] = ("game_date",)
 POSITION_NAMES: dict[str, str] = {"MIDDLE": "MID", "UTILITY": "SUPPORT"}
 POSITION_ORDER: tuple[str, ...] = ("TOP", "JUNGLE", "MID", "BOTTOM", "SUPPORT")
 
-# Item slots counted as purchases; the seventh slot (item6) is not one.
+# Item slots counted as purchases; the seventh slot (item6) is not one.
 PURCHASE_SLOTS: tuple[str, ...] = ("item0", "item1", "item2", "item3", "item4", "item5")
 
 # Columns kept in the player dimension, in order.

@@ -63,6 +63,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """``df`` as a table of the session's catalog, dealt to buckets by ``key``, for as long as the block lasts.
+
+    Joins on the key read it as it lies: no later exchange or sort of its rows, however
+    often it is joined. There are as many buckets as the session has shuffle partitions.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # rows are dealt as the buckets are, so that a bucket is one file
+    dealt = df.repartition(count, key).write.bucketBy(count, key).sortBy(key)
+    dealt.option("path", work_folder(spark, name)).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder, deleted with the staged tables of the run."""
     return f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.operators.incremental import landed_keys
+from matchforge.session import hadoop_path
 
 log = logging.getLogger(__name__)
 
@@ -35,12 +36,15 @@ def read_parquet_if_present(
         return None
 
 
-def read_raw_matches(spark: SparkSession, raw_dir: str) -> DataFrame | None:
-    """All landed chunks, with the file and row each record came from."""
+def read_raw_matches(spark: SparkSession, raw_dir: str, appended: str | None = None) -> DataFrame | None:
+    """All landed chunks, or those of one append, with the file and row each record came from."""
     raw = read_parquet_if_present(
-        spark, f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, **_CHUNKS)
-    if raw is None:
-        return None
+        spark, appended or f"{raw_dir}/matches", schema.RAW_MATCH_SCHEMA, **_CHUNKS)
+    return None if raw is None else with_file_order(raw)
+
+
+def with_file_order(raw: DataFrame) -> DataFrame:
+    """Raw records with the file and row each came from."""
     return raw.select(
         "match_id", "_raw_json", "_region",
         F.col("_metadata.file_path").alias("source_file"),
@@ -78,17 +82,23 @@ def landed_match_ids(spark: SparkSession, raw_dir: str) -> DataFrame:
     return landed_keys(raw)
 
 
-def append_raw_matches(new: DataFrame, raw_dir: str) -> bool:
-    """Append new records as a further folder of chunks; nothing new writes nothing.
+def append_raw_matches(new: DataFrame, raw_dir: str) -> str | None:
+    """Append new records as a further folder of chunks and return its path; nothing new writes nothing.
 
     The folder's name holds the time of the append, behind all ``chunk_`` names, so the
-    order of paths is the order of arrival.
+    order of paths is the order of arrival. The records are computed once, by the job that
+    writes them under a hidden name; what was written decides whether there was anything.
     """
-    batch = new.select("match_id", "_raw_json", "_region").persist()
-    try:
-        if batch.isEmpty():
-            return False
-        batch.write.parquet(f"{raw_dir}/matches/landed_{time.time_ns():020d}")
-        return True
-    finally:
-        batch.unpersist()
+    spark, name = new.sparkSession, f"landed_{time.time_ns():020d}"
+    folder = f"{raw_dir}/matches"
+    files, hidden = hadoop_path(spark, f"{folder}/.{name}")
+    _, landed = hadoop_path(spark, f"{folder}/{name}")
+    _, parent = hadoop_path(spark, folder)
+    before = files.exists(parent)
+    new.select("match_id", "_raw_json", "_region").write.parquet(hidden.toString())
+    if spark.read.schema(schema.RAW_MATCH_SCHEMA).parquet(hidden.toString()).isEmpty():
+        files.delete(hidden if before else parent, True)
+        return None
+    if not files.rename(hidden, landed):
+        raise OSError(f"cannot put the new chunks at {folder}/{name}")
+    return f"{folder}/{name}"

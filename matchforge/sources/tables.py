@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,11 @@ MARTS = (
 )
 
 
-def replace_dataset(df: DataFrame, path: str) -> None:
+def replace_dataset(df: DataFrame, path: str, layout: Mapping[str, str] = MappingProxyType({})) -> None:
     """Write ``df`` beside ``path`` and put it in place once the job has succeeded.
 
+    ``layout`` are options of the Parquet writer.
+
     The old dataset is moved aside before and deleted after the switch, so a failed job
     leaves it as it was, and ``df`` may read it. Between the two renames nothing is at
     ``path``; a writer that dies there leaves both versions under hidden names.
@@ -34,7 +37,7 @@ def replace_dataset(df: DataFrame, path: str) -> None:
     _, fresh = hadoop_path(spark, f"{parent}/.{name}-{version}-new")
     _, old = hadoop_path(spark, f"{parent}/.{name}-{version}-old")
     try:
-        df.write.parquet(fresh.toString())
+        df.write.options(**layout).parquet(fresh.toString())
         if files.exists(target) and not files.rename(target, old):
             raise OSError(f"cannot move {path} aside")
         if not files.rename(fresh, target):

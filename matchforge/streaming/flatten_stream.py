@@ -1,12 +1,15 @@
 """Flatten raw chunks as they land.
 
 Each micro-batch holds the chunks that arrived since the last run. Its rows are
-deduplicated among themselves and against the keys already in the fact, so no
-key state grows in the stream, and a batch replayed after a failure adds nothing.
+deduplicated among themselves, in the order in which the records landed, and against the
+keys that other batches have written, so no key state grows in the stream. A batch writes
+a folder of its own, named by the stream and the number of the batch, and replaces it when
+it is run again: rows are written exactly once, also after an attempt that broke off.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from types import MappingProxyType
 
@@ -16,28 +19,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from matchforge import schema
 from matchforge.operators.flatten import flatten_matches
-from matchforge.sources.raw import read_parquet_if_present
+from matchforge.sources.raw import FILE_ORDER, read_parquet_if_present, with_file_order
+
+# Partition column of the fact: the stream and the number of the batch that wrote a row.
+BATCH = "batch"
 
 
 def append_new_participants(
     batch: DataFrame, fact_dir: str, field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP,
-    *, types: Mapping[str, str] = MappingProxyType({}),
+    *, types: Mapping[str, str] = MappingProxyType({}), name: str = "0",
 ) -> None:
-    """Flatten one batch of raw records and append the rows the fact lacks."""
+    """Flatten one batch of raw records and write the rows that no other batch has, as batch ``name``.
+
+    Of copies the record that landed first counts; without file and row columns, the smallest text.
+    """
     if batch.isEmpty():
         return
-    paths = {path: name for name, path in field_map.items()}
+    paths = {path: column for column, path in field_map.items()}
     keys = [paths["__match_id__"], paths["puuid"]]
-    rows = flatten_matches(batch, field_map, types=types, first_by=("_raw_json",))
+    order = [c for c in FILE_ORDER if c in batch.columns] or ["_raw_json"]
+    rows = flatten_matches(batch, field_map, types=types, first_by=order)
     landed = read_parquet_if_present(batch.sparkSession, fact_dir)
     if landed is not None:
         # only the batch's own matches are looked for among the known ones
+        others = landed.filter(F.col(BATCH).cast("string") != name)
         ids = batch.select(F.col("match_id").alias("__id")).distinct()
-        known = landed.join(ids, landed[keys[0]].eqNullSafe(ids["__id"]), "left_semi")
+        known = others.join(ids, others[keys[0]].eqNullSafe(ids["__id"]), "left_semi")
         known = known.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
         same = [rows[k].eqNullSafe(known[f"__{k}"]) for k in keys]
         rows = rows.join(known, same, "left_anti")
-    rows.write.mode("append").parquet(fact_dir)
+    rows.write.mode("overwrite").parquet(f"{fact_dir}/{BATCH}={name}")
+
+
+def stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id Spark gave the stream of a checkpoint; a new checkpoint is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint_dir}/metadata").first()[0])["id"]
 
 
 def flatten_landed_chunks(
@@ -58,10 +74,13 @@ def flatten_landed_chunks(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(f"{raw_dir}/matches")
     )
+
+    def write(batch: DataFrame, number: int) -> None:
+        name = f"{stream_id(batch.sparkSession, checkpoint_dir)}-{number:08d}"
+        append_new_participants(batch, fact_dir, field_map, types=types, name=name)
+
     return (
-        chunks.writeStream.foreachBatch(
-            lambda batch, _: append_new_participants(batch, fact_dir, field_map, types=types)
-        )
+        with_file_order(chunks).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()

@@ -202,11 +202,23 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+def broken(document: Column) -> Column:
+    """Records that are not one JSON object, from a good one: no JSON, nothing, a list, cut off, two, single quotes."""
+    forms = (
+        F.lit("NOT_JSON{{{{"), F.lit(None).cast("string"), F.concat(F.lit("["), document, F.lit("]")),
+        F.substring(document, 1, 200), F.concat(document, document), F.translate(document, '"', "'"), F.lit(""))
+    chosen = F.lit(None).cast("string")
+    for number, form in enumerate(forms, start=1):
+        chosen = F.when(F.col("l_linenumber") == number, form).otherwise(chosen)
+    return chosen
+
+
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw match record per line item, with its supplier and its part as participants.
 
     An order with several lines is a match landed in several copies; suppliers
-    met twice in an order are the duplicates. Lines taxed at 8 % are unreadable.
+    met twice in an order are the duplicates. Lines taxed at 8 % are unreadable, in a way that
+    depends on the line's number.
     """
     lines = spread(read(spark, sf_dir, "lineitem"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = read(spark, sf_dir, "part")
@@ -243,13 +255,14 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("14.1.1").alias("gameVersion"),
         F.expr("datediff(l_shipdate, DATE '1970-01-01') * 86400000L").alias("gameEndTimestamp"),
         F.lit("CLASSIC").alias("gameMode"),
+        F.expr("CASE l_returnflag WHEN 'N' THEN 420 WHEN 'A' THEN 440 END").alias("queueId"),
         F.array(
             participant(F.expr("'S' || nullif(l_suppkey, 0)"), 100, won, quantity, F.col("l_partkey")),
             participant(F.expr("'P' || l_partkey"), 200, ~won, quantity + 1, F.lit(None).cast("bigint")),
         ).alias("participants"),
     )
     readable = F.to_json(F.struct(info.alias("info")))
-    document = F.when(F.col("l_tax") == 0.08, F.lit("NOT_JSON{{{{")).otherwise(readable)
+    document = F.when(F.col("l_tax") == 0.08, broken(readable)).otherwise(readable)
     return rows.select(
         F.expr("'M' || l_orderkey").alias("match_id"),
         document.alias("_raw_json"),
@@ -352,6 +365,19 @@ def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dictionary_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Champion and item dictionaries as pretty-printed files, a thousand entries in each."""
+    for name, documents in (("champions", champion_documents), ("items", item_documents)):
+        entries = documents(spark, sf_dir).select(
+            F.from_json("document", "_version STRING, data MAP<STRING, STRING>").alias("d")).select(
+            "d._version", F.explode("d.data").alias("key", "entry"))
+        number = F.expr("CAST(regexp_replace(key, '[^0-9]', '') AS BIGINT) DIV 1000").alias("file")
+        whole = entries.groupBy("_version", number).agg(F.map_from_entries(F.collect_list(F.struct(
+            "key", F.try_parse_json("entry").alias("entry")))).alias("data"))
+        text = F.to_json(F.struct("_version", "data"), {"pretty": "true"}).alias("value")
+        whole.select("file", text).write.partitionBy("file").text(f"{folder}/static/{name}.json")
+
+
 def flawed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact with missing values, negatives, out-of-range values and one column left out."""
     return read(spark, sf_dir, "lineitem").select(

@@ -200,6 +200,11 @@ WINDOW w AS (ORDER BY game_day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""),
 }
 
 
+# A store filled by loads holds the same marts as a full build.
+for _mart in ("player_stats", "champion_stats", "match_timeline", "item_popularity"):
+    ORACLE[f"incremental_{_mart}"] = ORACLE[f"mart_{_mart}"]
+
+
 # --- flattening and landing -----------------------------------------------------
 
 POSITION = """CASE p_type WHEN 'ECONOMY' THEN 'TOP' WHEN 'STANDARD' THEN 'JUNGLE' WHEN 'MEDIUM' THEN 'MID'
@@ -260,6 +265,19 @@ ORACLE |= {
 SELECT match_id, game_mode, puuid, CAST(l_quantity AS VARCHAR) AS kda,
        CAST(l_linenumber AS VARCHAR) AS first_streak, CAST(NULL AS VARCHAR) AS absent, team_position
 FROM records {FIRST}""",
+    "flatten_typed_fields": f"""{RECORDS}
+SELECT match_id, game_mode, puuid, l_quantity AS kda, CAST(l_linenumber AS BIGINT) AS first_streak,
+       CAST(NULL AS VARCHAR) AS absent, team_position
+FROM records {FIRST}""",
+    "recent_matches_of_queue": """
+WITH played AS (
+  SELECT 'M' || l_orderkey AS match_id, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS game_date,
+         unnest(['S' || nullif(l_suppkey, 0), 'P' || l_partkey]) AS puuid
+  FROM lineitem WHERE l_tax <> 0.08 AND l_returnflag <> 'A'
+)
+SELECT puuid, match_id, max(game_date) AS game_date,
+       CAST(row_number() OVER (PARTITION BY puuid ORDER BY max(game_date) DESC NULLS LAST, match_id) AS INTEGER) AS recency
+FROM played WHERE puuid IS NOT NULL GROUP BY puuid, match_id QUALIFY recency <= 3""",
     "corrupt_matches": """
 SELECT 'M' || l_orderkey AS match_id, count(*) AS records
 FROM lineitem WHERE l_tax = 0.08 GROUP BY l_orderkey""",
@@ -705,6 +723,22 @@ ORACLE |= {
     for name in ("player_stats", "player_champion_stats", "champion_stats", "position_stats")
 }
 
+ORACLE |= {
+    "champion_dictionary_files": ORACLE["flatten_champion_dictionary"],
+    "item_dictionary_files": ORACLE["flatten_item_dictionary"],
+    "refreshed_positions": over(POSITIONS, select="""
+SELECT team_position, total_games, true AS stamped, CAST(1 AS BIGINT) AS times FROM positions"""),
+    "balance_by_position": over(CHAMPIONS, select="""
+SELECT team_position, count(*) AS champions, overperforming,
+       CASE WHEN overperforming <= 1 THEN 'balanced' WHEN overperforming <= 3 THEN 'attention' ELSE 'unbalanced' END AS balance
+FROM (
+  SELECT team_position, count(*) FILTER (WHERE n >= 3 AND (winrate_pct - mean) / CASE WHEN std = 0 THEN 1 ELSE std END >= 1.5)
+           OVER (PARTITION BY team_position) AS overperforming
+  FROM (SELECT team_position, winrate_pct, count(*) OVER w AS n, avg(winrate_pct) OVER w AS mean, stddev_samp(winrate_pct) OVER w AS std
+        FROM champions WHERE picks >= 15 WINDOW w AS (PARTITION BY team_position)))
+GROUP BY team_position, overperforming"""),
+}
+
 # The same SQL over the varied reading, whose line-ups are the picks of the fact.
 VARIED_FACT = f"fact AS ({VARIED})"
 VARIED_PICKS = "SELECT match_id AS lineup_id, team_position AS position, champion_name FROM fact"
@@ -715,7 +749,16 @@ ORACLE |= {
 
 ORACLE |= {
     "flatten_two_loads": ORACLE["flatten_dedup"],
-    "stream_two_loads": f"{RECORDS} SELECT DISTINCT match_id, puuid, CAST(1 AS BIGINT) AS copies FROM records",
+    "stream_two_loads": ORACLE["flatten_dedup"],
+    "ledger_lookup": f"""{RECORDS},
+wanted AS (SELECT 'M' || o_orderkey AS id FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100),
+first_lines AS (
+  SELECT l_orderkey, {RAW_ORDER} FROM lineitem WHERE 'M' || l_orderkey IN (SELECT id FROM wanted)
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY {RAW_ORDER}) = 1
+)
+SELECT r.* EXCLUDE (place, l_quantity, {RAW_ORDER}) FROM records r JOIN first_lines f
+  ON r.match_id = 'M' || f.l_orderkey AND r.l_linenumber = f.l_linenumber AND r.l_partkey = f.l_partkey
+ AND r.l_suppkey = f.l_suppkey AND r.l_extendedprice = f.l_extendedprice""",
     "players_table": ORACLE["player_winrate"],
     "marts_read_back": ORACLE["vw_meta_champions"],
     "one_player": over(PLAYER_CHAMPIONS, select="""

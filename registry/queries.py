@@ -8,14 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchforge import schema
 from matchforge.functions.numeric import round_to, text_to_bigint
 from matchforge.operators import flatten, graph, incremental, quality
 from matchforge.operators.recent import recent_matches
-from matchforge.plans import champions, lineups, marts, pipeline, players, reports, timeline, views
+from matchforge.plans import champions, lineups, mart_store, marts, pipeline, players, reports, timeline, views
 from matchforge.session import stage, work_folder
-from matchforge.sources import dictionaries, raw, tables
+from matchforge.sources import dictionaries, ledger, raw, tables
 from matchforge.sources import players as players_source
-from matchforge.streaming.flatten_stream import flatten_landed_chunks
+from matchforge.streaming.flatten_stream import BATCH, flatten_landed_chunks
 from registry import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,39 @@ def marts_read_back(spark, sf_dir):
     return spark.table("vw_meta_champions")
 
 
+# The marts of a store that is filled by two loads, the second one repeated.
+
+def _mart_store(spark, sf_dir):
+    """All but the later lines of the last years first, then those: some periods are met twice."""
+    store = mart_store.MartStore(spark, work_folder(spark, "mart_store"), period="yyyy")
+    fact = b.participants(spark, sf_dir)
+    late = F.coalesce((F.year("game_date") >= 1997) & (F.col("item3") > 3), F.lit(False))
+    store.add("first", fact.filter(~late))
+    for _ in range(2):
+        store.add("second", fact.filter(late))
+    return store.marts(b.items(spark, sf_dir))
+
+
+@register
+def incremental_player_stats(spark, sf_dir):
+    return _mart_store(spark, sf_dir)["mart_player_stats"]
+
+
+@register
+def incremental_champion_stats(spark, sf_dir):
+    return _mart_store(spark, sf_dir)["mart_champion_stats"]
+
+
+@register
+def incremental_match_timeline(spark, sf_dir):
+    return _mart_store(spark, sf_dir)["mart_match_timeline"]
+
+
+@register
+def incremental_item_popularity(spark, sf_dir):
+    return _mart_store(spark, sf_dir)["mart_item_popularity"]
+
+
 # --- views over stored marts --------------------------------------------------
 
 def stored(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +190,7 @@ def flatten_matches(spark, sf_dir):
 
 @register
 def flatten_dedup(spark, sf_dir):
-    return flatten.flatten_matches(_landed(spark, sf_dir), first_by=b.RAW_ORDER)
+    return flatten.flatten_first(_landed(spark, sf_dir), first_by=b.RAW_ORDER)
 
 
 def _two_loads(spark, sf_dir):
@@ -177,19 +211,45 @@ def flatten_two_loads(spark, sf_dir):
 
 @register
 def stream_two_loads(spark, sf_dir):
-    """Keys of the fact after a stream run behind each of two appends, and a replay."""
+    """The fact after a stream run behind each of two appends, and one that finds nothing new."""
     folder = work_folder(spark, "stream")
     for load in [*_two_loads(spark, sf_dir), None]:
         if load is not None:
             raw.append_raw_matches(load, folder)
         flatten_landed_chunks(spark, folder, f"{folder}/fact", f"{folder}/state").awaitTermination()
-    fact = spark.read.parquet(f"{folder}/fact")
-    return fact.groupBy("match_id", "puuid").agg(F.count(F.lit(1)).alias("copies"))
+    return spark.read.parquet(f"{folder}/fact").drop(BATCH)
+
+
+@register
+def ledger_lookup(spark, sf_dir):
+    """Participants of the 100 dearest matches, each from the record that landed first, found by the ledger."""
+    folder = work_folder(spark, "ledger")
+    keys = ledger.Ledger(spark, f"{folder}/keys")
+    for load in _two_loads(spark, sf_dir):
+        keys.grow(raw.read_raw_matches(spark, folder, raw.append_raw_matches(load, folder)))
+    dearest = b.read(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    found = keys.first_records(raw.read_raw_matches(spark, folder), dearest.select(F.expr("'M' || o_orderkey").alias("match_id")))
+    return flatten.flatten_matches(found, deduplicate=False)
+
+
+@register
+def flatten_typed_fields(spark, sf_dir):
+    """Fields beyond the known ones, with types of their own."""
+    types = {"kda": "double", "first_streak": "bigint"}
+    return flatten.flatten_first(_landed(spark, sf_dir), NESTED_FIELDS, types=types, first_by=b.RAW_ORDER)
+
+
+@register
+def recent_matches_of_queue(spark, sf_dir):
+    """The three latest ranked matches of each player, from the documents."""
+    fields = {"match_id": "__match_id__", "puuid": "puuid", "game_date": "__game_date__", "queue_id": "__queue_id__"}
+    met = flatten.flatten_matches(_landed(spark, sf_dir), fields, deduplicate=False)
+    return recent_matches(met, 3, schema.QUEUE_IDS["RANKED_SOLO_5x5"])
 
 
 @register
 def flatten_nested_fields(spark, sf_dir):
-    return flatten.flatten_matches(_landed(spark, sf_dir), NESTED_FIELDS, first_by=b.RAW_ORDER)
+    return flatten.flatten_first(_landed(spark, sf_dir), NESTED_FIELDS, first_by=b.RAW_ORDER)
 
 
 @register
@@ -284,6 +344,33 @@ def flatten_item_dictionary(spark, sf_dir):
     return dictionaries.items(b.item_documents(spark, sf_dir))
 
 
+def _from_files(spark, sf_dir, name):
+    """A dictionary written as files and put through the pipeline's step and the reader."""
+    folder = work_folder(spark, "dictionaries")
+    b.dictionary_files(spark, sf_dir, folder)
+    pipeline.transform_dictionaries(spark, folder, f"{folder}/processed")
+    return tables.read_processed(spark, f"{folder}/processed")[name]
+
+
+@register
+def champion_dictionary_files(spark, sf_dir):
+    return _from_files(spark, sf_dir, "champions")
+
+
+@register
+def item_dictionary_files(spark, sf_dir):
+    return _from_files(spark, sf_dir, "items")
+
+
+@register
+def refreshed_positions(spark, sf_dir):
+    """The position mart with its load time, as stored: whether rows have it, and how many times there are."""
+    rows = stage(tables.with_refresh_time(mart_position_stats(spark, sf_dir)), "refreshed")
+    times = rows.agg(F.countDistinct("refreshed_at")).scalar()
+    past = F.col("refreshed_at") <= F.current_timestamp()
+    return rows.select("team_position", "total_games", past.alias("stamped"), times.alias("times"))
+
+
 @register
 def dq_report(spark, sf_dir):
     return quality.quality_checks(b.flawed_fact(spark, sf_dir), "matches")
@@ -501,6 +588,11 @@ def insights(spark, sf_dir):
     return rounded(found, "value")
 
 
+@register
+def balance_by_position(spark, sf_dir):
+    return reports.balance_by_position(_champions(spark, sf_dir))
+
+
 @register
 def balance_health(spark, sf_dir):
     health = reports.balance_health(*_marts(spark, sf_dir, "champion_stats", "player_stats", "position_stats"))
@@ -515,7 +607,7 @@ VARIED = (
     "vw_top_players", "vw_meta_champions", "vw_item_efficiency", "meta_tiers", "tier_counts",
     "wr_anomalies", "pick_quadrants", "champion_bars", "player_outliers", "avg_rank_gap", "player_flags",
     "marker_sizes", "top_champions_per_player", "player_style", "recommend_champions", "lineup_breakdown",
-    "predict_lineup_winrate", "period_delta", "item_report", "action_plan", "insights", "balance_health",
+    "predict_lineup_winrate", "period_delta", "item_report", "action_plan", "insights", "balance_health", "balance_by_position",
 )
 
 

@@ -25,10 +25,11 @@ def test_landed_ids(spark, tmp_path, caplog):
 
 
 def test_append_only_when_there_is_something(spark, tmp_path):
-    assert raw.append_raw_matches(raw_frame(spark), str(tmp_path)) is False
+    assert raw.append_raw_matches(raw_frame(spark), str(tmp_path)) is None
     assert not (tmp_path / "matches").exists()
-    assert raw.append_raw_matches(raw_frame(spark, ("A", "{}")), str(tmp_path)) is True
-    assert raw.append_raw_matches(raw_frame(spark, ("B", "{}")), str(tmp_path)) is True
+    for match in "AB":
+        assert "/matches/landed_" in raw.append_raw_matches(raw_frame(spark, (match, "{}")), str(tmp_path))
+    assert raw.append_raw_matches(raw_frame(spark), str(tmp_path)) is None
     assert raw.landed_match_ids(spark, str(tmp_path)).count() == 2
 
 
@@ -158,6 +159,35 @@ def test_stream_batch_replay_adds_nothing(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "fact")).count() == 10
 
 
+def test_stream_keeps_what_landed_first(spark, tmp_path):
+    """Of copies inside a batch and across batches the first to land stays, as in the batch path."""
+    raw_dir, fact, state = (str(tmp_path / n) for n in ("raw", "fact", "state"))
+    kills = iter((9, 1, 5, 3))
+    for _ in range(2):
+        for _ in range(2):
+            rows = raw_frame(spark, ("M", document([participant(0, kills=next(kills))])))
+            raw.append_raw_matches(rows, raw_dir)
+        flatten_landed_chunks(spark, raw_dir, fact, state).awaitTermination()
+    assert [r.kills for r in spark.read.parquet(fact).collect()] == [9]
+    batch_path = flatten_matches(raw.read_raw_matches(spark, raw_dir), first_by=raw.FILE_ORDER)
+    assert [r.kills for r in batch_path.collect()] == [9]
+
+
+def test_stream_replay_replaces_its_batch(spark, tmp_path):
+    from matchforge.streaming.flatten_stream import append_new_participants
+
+    fact = str(tmp_path / "fact")
+    first, second = raw_frame(spark, ("A", document())), raw_frame(spark, ("A", document()), ("B", document()))
+    append_new_participants(first, fact, name="q-0")
+    append_new_participants(second, fact, name="q-1")
+    # an attempt that broke off left other rows in the folder of the second batch
+    raw_frame(spark, ("X", "{}")).write.mode("append").parquet(f"{fact}/batch=q-1")
+    append_new_participants(second, fact, name="q-1")
+    rows = spark.read.parquet(fact)
+    assert {(r.batch, r.match_id, r.n) for r in rows.groupBy("batch", "match_id").agg(F.count("*").alias("n")).collect()} == {
+        ("q-0", "A", 10), ("q-1", "B", 10)}
+
+
 def test_missing_inputs_are_none(spark, tmp_path, caplog):
     assert raw.read_raw_matches(spark, str(tmp_path)) is None
     assert raw.read_parquet_if_present(spark, str(tmp_path / "x")) is None
