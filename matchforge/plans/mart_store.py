@@ -111,8 +111,8 @@ class MartStore:
     def add(self, load: str, rows: DataFrame) -> list[str]:
         """Add participants under the name of their load; returns the periods whose cells were taken again.
 
-        ``rows`` are participants as the flattening gives them, of which the store has none under
-        another load. Nothing is done for an empty load.
+        ``rows`` are participants as the flattening gives them; those another load has brought are
+        left out with ``without_known``. Nothing is done for an empty load.
         """
         period = period_of(F.col("game_date"), self.period)
         landed = stage(rows.withColumns({"period": period, "load": F.lit(load)}), "load")
@@ -122,6 +122,24 @@ class MartStore:
             self.refresh(periods)
         return periods
 
+    def without_known(self, load: str, rows: DataFrame) -> DataFrame:
+        """``rows`` without the (match, player) pairs that another load has brought.
+
+        Only matches that have a number can be there already; without any, or with nothing but
+        new ones, the fact is not looked at.
+        """
+        fact, numbers = self.read("fact"), self.read("numbers")
+        if fact is None:
+            return rows
+        met = rows.select("match_id").distinct().join(numbers, "match_id", "left")
+        met = stage(met.filter(F.col("match_no").isNotNull() | F.col("match_id").isNull()), "met_again")
+        if met.isEmpty():
+            return rows
+        others = fact.filter(F.col("load") != load).select(F.col("match_id").alias("__match"), F.col("puuid").alias("__player"))
+        known = others.join(met, F.col("__match").eqNullSafe(met["match_id"]), "left_semi").distinct()
+        same = rows["match_id"].eqNullSafe(known["__match"]) & rows["puuid"].eqNullSafe(known["__player"])
+        return rows.join(known, same, "left_anti")
+
     def touched(self, periods: Sequence[str]) -> DataFrame:
         """The fact of some periods; no file of another one is read."""
         return self.read("fact").filter(F.col("period").isin(list(periods)))

@@ -14,6 +14,7 @@ from matchforge.operators.flatten import flatten_first
 from matchforge.operators.graph import expand_players
 from matchforge.operators.quality import quality_summary
 from matchforge.plans import marts
+from matchforge.plans.mart_store import MONTH, MartStore
 from matchforge.session import stage, staged_run
 from matchforge.sources import dictionaries
 from matchforge.sources.players import player_dimension
@@ -159,6 +160,24 @@ def build_marts(tables: Mapping[str, DataFrame], marts_dir: str) -> list[str]:
     return list(built)
 
 
+def add_load(
+    spark: SparkSession, raw_dir: str, chunks: str, store_dir: str, items: DataFrame | None = None,
+    *, field_map: Mapping[str, str] = schema.DEFAULT_FIELD_MAP, types: Mapping[str, str] = MappingProxyType({}),
+    period: str = MONTH,
+) -> dict[str, DataFrame]:
+    """Bring one append of raw chunks into a mart store and return the marts of all loads so far.
+
+    Only the chunks of the append are parsed, and only the periods it touches are aggregated.
+    ``chunks`` is the path that the append returned; the same path again replaces its own rows.
+    """
+    store, load = MartStore(spark, store_dir, period), chunks.rstrip("/").rpartition("/")[2]
+    raw = read_raw_matches(spark, raw_dir, chunks)
+    if raw is not None:
+        rows = stage(flatten_first(raw, field_map, types=types, first_by=FILE_ORDER), "loaded")
+        store.add(load, store.without_known(load, rows))
+    return store.marts(items)
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,

@@ -724,6 +724,12 @@ ORACLE |= {
 }
 
 ORACLE |= {
+    "catalog_top_players": ORACLE["vw_top_players"],
+    "catalog_names": over(PLAYERS, TIMELINE, select="""
+SELECT unnest(['mart_player_stats', 'vw_top_players', 'mart_match_timeline', 'vw_timeline_trends']) AS name,
+       unnest([(SELECT count(*) FROM players), (SELECT count(*) FROM players WHERE games_played >= 5),
+               (SELECT count(*) FROM timeline), (SELECT count(*) FROM timeline)]) AS n"""),
+    "loaded_player_stats": f"{RECORDS}, fact AS (SELECT * FROM records {FIRST}), {PLAYERS} SELECT * FROM players",
     "champion_dictionary_files": ORACLE["flatten_champion_dictionary"],
     "item_dictionary_files": ORACLE["flatten_item_dictionary"],
     "refreshed_positions": over(POSITIONS, select="""

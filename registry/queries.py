@@ -14,7 +14,7 @@ from matchforge.operators import flatten, graph, incremental, quality
 from matchforge.operators.recent import recent_matches
 from matchforge.plans import champions, lineups, mart_store, marts, pipeline, players, reports, timeline, views
 from matchforge.session import stage, work_folder
-from matchforge.sources import dictionaries, ledger, raw, tables
+from matchforge.sources import catalog, dictionaries, ledger, raw, tables
 from matchforge.sources import players as players_source
 from matchforge.streaming.flatten_stream import BATCH, flatten_landed_chunks
 from registry import bindings as b
@@ -130,6 +130,44 @@ def incremental_item_popularity(spark, sf_dir):
     return _mart_store(spark, sf_dir)["mart_item_popularity"]
 
 
+def _loaded_marts(spark, sf_dir):
+    """Marts over two appends of raw records, the second one repeated, put through the pipeline's load step."""
+    folder = work_folder(spark, "loaded")
+    for load in _two_loads(spark, sf_dir):
+        chunks = raw.append_raw_matches(load, folder)
+        marts_ = pipeline.add_load(spark, folder, chunks, f"{folder}/store", period="yyyy")
+    return pipeline.add_load(spark, folder, chunks, f"{folder}/store", period="yyyy") or marts_
+
+
+@register
+def loaded_player_stats(spark, sf_dir):
+    return _loaded_marts(spark, sf_dir)["mart_player_stats"]
+
+
+# Marts and views in a database of the catalog, published twice.
+
+def _catalog(spark, sf_dir):
+    folder = work_folder(spark, "catalog")
+    found = catalog.Catalog(spark, f"marts_{folder[-32:]}", folder)
+    marts_ = {"mart_player_stats": mart_player_stats(spark, sf_dir), "mart_match_timeline": mart_match_timeline(spark, sf_dir)}
+    for _ in range(2):
+        found.publish_marts(marts_)
+    return found
+
+
+@register
+def catalog_names(spark, sf_dir):
+    """What a probe of the catalog finds, with the rows behind each name."""
+    found = _catalog(spark, sf_dir)
+    counted = [found.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in found.found("%")]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@register
+def catalog_top_players(spark, sf_dir):
+    return _catalog(spark, sf_dir).read("vw_top_players")
+
+
 # --- views over stored marts --------------------------------------------------
 
 def stored(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
