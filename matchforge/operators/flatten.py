@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +16,7 @@ from matchforge.session import stage
 BLANKS = " \t\r\n"
 
 
-def _paths(field_map: Mapping[str, str], types: Mapping[str, str]) -> tuple[dict, dict]:
+def required_paths(field_map: Mapping[str, str], types: Mapping[str, str]) -> tuple[dict, dict]:
     """Columns read at match level and, as a tree, the participant fields they need.
 
     A tree leaf is the SQL type of the columns read from it.
@@ -62,12 +62,12 @@ def _struct_type(tree: Mapping, *, as_text: bool) -> str:
     return f"STRUCT<{', '.join(fields)}>"
 
 
-def _typed_struct(value: Column, tree: Mapping) -> Column:
+def typed_struct(value: Column, tree: Mapping) -> Column:
     """Cast the text leaves of ``value`` to the types in ``tree``; unusable ones become null."""
     fields = []
     for name, node in tree.items():
         if isinstance(node, dict):
-            field = F.when(value[name].isNotNull(), _typed_struct(value[name], node))
+            field = F.when(value[name].isNotNull(), typed_struct(value[name], node))
         elif node == "bigint":
             field = text_to_bigint(value[name])
         else:
@@ -101,7 +101,7 @@ def parse_documents(
     say) is parsed again with all leaves as text and cast value by value, so
     one odd value does not cost the others.
     """
-    match_level, tree = _paths(field_map, types)
+    match_level, tree = required_paths(field_map, types)
 
     def ddl(*, as_text: bool) -> str:
         info = _struct_type(match_level, as_text=as_text)[len("STRUCT<"):-1]
@@ -114,7 +114,7 @@ def parse_documents(
     odd = F.col("doc._odd").isNotNull()
 
     def retyped(participant: Column) -> Column:
-        return F.when(participant.isNotNull(), _typed_struct(participant, tree))
+        return F.when(participant.isNotNull(), typed_struct(participant, tree))
 
     # Each document is a column of its own before it is used, so it is parsed once.
     return (
@@ -124,7 +124,7 @@ def parse_documents(
         .select(
             "match_id",
             *carry,
-            F.when(odd, _typed_struct(F.col("text"), match_level)).otherwise(
+            F.when(odd, typed_struct(F.col("text"), match_level)).otherwise(
                 F.struct(*[F.col(f"doc.info.{name}") for name in match_level])
             ).alias("info"),
             F.when(odd, F.transform("text.participants", retyped))
@@ -172,6 +172,7 @@ def flatten_matches(
     deduplicate: bool = True,
     first_by: Sequence[str] = (),
     keep: Sequence[str] = (),
+    parse: Callable[..., DataFrame] = parse_documents,
 ) -> DataFrame:
     """One typed row per participant of each match document.
 
@@ -180,14 +181,15 @@ def flatten_matches(
     that are not objects and documents without participants give no rows. With
     ``deduplicate`` the first row per (match, player) is kept, first meaning
     the order of ``first_by`` and then the place in the document. ``keep`` names
-    columns of ``raw``, which come as ``__by_`` columns, or keys to carry along.
+    columns of ``raw``, which come as ``__by_`` columns, or keys to carry along. ``parse`` takes
+    the documents apart; another one reads them from another form than text.
     """
     if not field_map:
         raise ValueError("the field map selects no columns")
     own = ("__match", "__player", "__place")
     carried = list(dict.fromkeys([*first_by, *(c for c in keep if c not in own)]))
     rows = (
-        parse_documents(raw, field_map, types, *carried)
+        parse(raw, field_map, types, *carried)
         .select(
             "match_id", *carried, "info",
             F.posexplode_outer("participants").alias("__place", "participant"),
@@ -231,6 +233,7 @@ def flatten_first(
     *,
     types: Mapping[str, str] = MappingProxyType({}),
     first_by: Sequence[str],
+    parse: Callable[..., DataFrame] = parse_documents,
 ) -> DataFrame:
     """What ``flatten_matches`` gives, deduplicated without shuffling whole rows.
 
@@ -241,7 +244,7 @@ def flatten_first(
     rows by a join that Spark broadcasts when their size allows.
     """
     keys, order = ("__match", "__player"), [*[f"__by_{name}" for name in first_by], "__place"]
-    flat = flatten_matches(raw, field_map, types=types, deduplicate=False, keep=(*keys, "__place", *first_by))
+    flat = flatten_matches(raw, field_map, types=types, deduplicate=False, keep=(*keys, "__place", *first_by), parse=parse)
     rows = stage(flat.withColumn("__row", F.monotonically_increasing_id()), "flat_rows")
 
     def of_keys(some: DataFrame, how: str, others: DataFrame, *columns: str) -> DataFrame:

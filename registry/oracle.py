@@ -724,6 +724,8 @@ ORACLE |= {
 }
 
 ORACLE |= {
+    "variant_matches": ORACLE["flatten_dedup"],
+    "variant_typed_fields": ORACLE["flatten_typed_fields"],
     "catalog_top_players": ORACLE["vw_top_players"],
     "catalog_names": over(PLAYERS, TIMELINE, select="""
 SELECT unnest(['mart_player_stats', 'vw_top_players', 'mart_match_timeline', 'vw_timeline_trends']) AS name,

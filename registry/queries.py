@@ -14,7 +14,7 @@ from matchforge.operators import flatten, graph, incremental, quality
 from matchforge.operators.recent import recent_matches
 from matchforge.plans import champions, lineups, mart_store, marts, pipeline, players, reports, timeline, views
 from matchforge.session import stage, work_folder
-from matchforge.sources import catalog, dictionaries, ledger, raw, tables
+from matchforge.sources import catalog, dictionaries, documents, ledger, raw, tables
 from matchforge.sources import players as players_source
 from matchforge.streaming.flatten_stream import BATCH, flatten_landed_chunks
 from registry import bindings as b
@@ -277,6 +277,24 @@ def flatten_typed_fields(spark, sf_dir):
     return flatten.flatten_first(_landed(spark, sf_dir), NESTED_FIELDS, types=types, first_by=b.RAW_ORDER)
 
 
+def _documents(spark, sf_dir):
+    """The raw records parsed once and stored as VARIANT."""
+    return stage(documents.parsed(b.raw_matches(spark, sf_dir), *b.RAW_ORDER), "documents")
+
+
+@register
+def variant_matches(spark, sf_dir):
+    return flatten.flatten_first(_documents(spark, sf_dir), first_by=b.RAW_ORDER, parse=documents.read_documents)
+
+
+@register
+def variant_typed_fields(spark, sf_dir):
+    """Another field map read from the same stored form."""
+    types = {"kda": "double", "first_streak": "bigint"}
+    return flatten.flatten_first(
+        _documents(spark, sf_dir), NESTED_FIELDS, types=types, first_by=b.RAW_ORDER, parse=documents.read_documents)
+
+
 @register
 def recent_matches_of_queue(spark, sf_dir):
     """The three latest ranked matches of each player, from the documents."""

@@ -27,6 +27,7 @@ LABELS = [
     ("predict_lineup_winrate_varied", "favour", FAVOURS),
     ("predict_lineup_winrate_varied", "synergy_note", {"balanced", "no_support", "standard"}),
     ("item_report_varied", "favour", FAVOURS),
+    ("balance_by_position", "balance", {"balanced", "attention", "unbalanced"}),
     ("action_plan_varied", "kind", {
         "strongest_champion", "champion_to_avoid", "position_edge", "stats_without_wins", "wins_without_stats"}),
     ("insights_varied", "tag", {

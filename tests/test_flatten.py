@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from conftest import document, participant, raw_frame
 from matchforge import schema
 from matchforge.operators.flatten import (
-    corrupt_matches, flatten_matches, keep_first, normalize_position_columns,
+    corrupt_matches, flatten_first, flatten_matches, keep_first, normalize_position_columns,
 )
+from matchforge.sources import documents
 
 
 def rows(df, *columns):
@@ -138,6 +139,35 @@ def test_each_document_is_parsed_once(spark):
     assert plan.count("from_json(") <= 3  # the strict test, typed, and the fallback for odd documents
 
 
+def test_stored_documents_give_the_same_rows(spark, tmp_path):
+    """Documents kept as VARIANT against their text, under several field maps."""
+    people = [
+        participant(0, championId="222", deaths=2.0, assists="many", win="true"), None, {},
+        participant(1, kills=7.5, challenges={"kda": 4.5, "it's": {"a b": 1}}), participant(2, puuid=None, challenges=None)]
+    good = document(people)
+    bad = ["NOT_JSON{{{{", "[]", None, good[:-40], good + " x", '"info"', good + good, f"{good},{good}", good.replace('"', "'"), ""]
+    bad += [document([participant(0), 5]), document(["text"]), document([[1]])]
+    odd = [good[:-1] + ', "x": 1, "x": NaN}', f" {good}\n", '{"info": {}}', '{"info": {"participants": 3}}', '{"info": null}', "{}"]
+    raw = raw_frame(spark, *[(f"M{i}", text) for i, text in enumerate([good, document(), *bad, *odd])])
+    documents.parsed(raw).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    assert stored.filter("odd IS NOT NULL").count() == 1
+    nested = {"id": "__match_id__", "kda": "challenges.kda", "odd": "challenges.it's.a b", "mode": "__game_mode__", "no": "a.b"}
+    for fields, types in ((schema.DEFAULT_FIELD_MAP, {}), (nested, {"kda": "double", "odd": "bigint"})):
+        want = flatten_matches(raw, fields, types=types, deduplicate=False)
+        got = flatten_matches(stored, fields, types=types, deduplicate=False, parse=documents.read_documents)
+        assert got.schema == want.schema and rows(got, *fields) == rows(want, *fields)
+
+
+def test_narrow_deduplication_equals_the_wide_one(spark):
+    texts = [document([participant(i % 4, kills=k), participant(0, puuid=None, kills=k)]) for k, i in enumerate((0, 1, 0, 2, 1, 3))]
+    raw = raw_frame(spark, *[(None if k == 5 else f"M{k % 2}", t) for k, t in enumerate(texts)]).withColumn("place", -F.monotonically_increasing_id())
+    got, want = flatten_first(raw, first_by=["place"]), flatten_matches(raw, first_by=["place"])
+    assert rows(got, *got.columns) == rows(want, *want.columns) and got.count() == 8
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan
+
+
 def test_reads_like_json_dumps(spark):
     text = json.dumps({"info": {"participants": [participant(0, riotIdGameName="Ünïcode \"quoted\"")]}}, ensure_ascii=False)
     assert flatten_matches(raw_frame(spark, ("M", text))).collect()[0].summoner_name == 'Ünïcode "quoted"'
