@@ -7,9 +7,10 @@ holds the target is cut again. No list of sources ever reaches the driver.
 
 Weights become budgets of tokens. A source with a budget of several times its tokens is
 read in several epochs; every epoch has its own permutation: rows are dealt to blocks
-of about ``BLOCK_ROWS`` by hash and ordered by hash inside a block, so the running sum
-that ends the last epoch is taken per block and over the sums of blocks, never over a
-whole source in one task.
+of about ``BLOCK_ROWS`` by a hash of seed, epoch and row and ordered by it inside a block, so
+the running sum that ends the last epoch is taken per block and over the sums of
+blocks, never over a whole source in one task. Rows carry their block and their place in
+it: read by epoch, block and place, the blocks of all sources alternate at random.
 
 Cases: a null source is a source of its own; rows without tokens cost nothing and are
 taken once; an epoch ends before the row that would exceed the budget; equal rows may
@@ -80,20 +81,28 @@ def mix_sources(
     target_entropy: float | None = None, entropy_share: float | None = None, max_repeat: float | None = None,
     seed: int = 0, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Rows of ``docs`` once per epoch in which they are taken, with ``n_tokens`` and ``epoch``.
+    """Rows of ``docs`` once per epoch in which they are taken, with ``n_tokens``, ``epoch``, ``block`` and ``place``.
 
     ``budget`` is in tokens, by default those of ``docs``. ``entropy_share`` states the
     target as a share of the entropy of equal weights.
     """
-    inner = ["_key", "_block", "_order", "_last", "_rest", "_at", "_before", "_epochs", "_blocks"]
-    rows = docs.drop("epoch", "n_tokens", *inner).withColumns({
+    inner = ["_key", "_block", "_last", "_rest", "_at", "_before", "_epochs", "_blocks"]
+    rows = docs.drop("epoch", "n_tokens", "block", "place", *inner).withColumns({
         "n_tokens": F.coalesce(n_tokens, F.lit(0)).cast("long"),
         "_key": F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("null"))})
     rows = stage(rows, "mixing")
     totals = stage(source_totals(rows.withColumnRenamed("_key", "key")), "sources")
     summed = totals.agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).first()
+    named = [F.col(c).cast("string") for c in docs.columns if c in ("doc_id", "text", source)]
+
+    def permuted(some: DataFrame, blocks: Column) -> DataFrame:
+        """Rows with an epoch, dealt to blocks of their source and put in order there."""
+        place = F.xxhash64(F.lit(seed), "epoch", *named)
+        return some.withColumn("place", place).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed + 1), "place"), blocks)).withColumn(
+            "block", F.xxhash64(F.lit(seed + 2), "epoch", "_key", "_block"))
+
     if not summed.tokens:
-        return rows.drop("_key").withColumn("epoch", F.lit(0))
+        return permuted(rows.withColumn("epoch", F.lit(0)), F.lit(1).cast("long")).drop("_key", "_block")
     whole = summed.tokens
     budget = whole if budget is None else budget
     if entropy_share is not None:
@@ -108,18 +117,15 @@ def mix_sources(
         F.ceil(F.col("docs") / block_rows).cast("long").alias("_blocks"))
 
     paid = rows.where("n_tokens > 0").join(plan, "_key")
-    whole_epochs = paid.where("_last > 0").withColumn("epoch", F.explode(F.expr("sequence(0, _last - 1)")))
-    out = rows.columns
-    # the last, cut epoch of each source, in its own permutation
-    named = [F.col(c).cast("string") for c in docs.columns if c in ("doc_id", "text", source)]
-    chance = F.xxhash64(F.lit(seed), "_last", *named)
-    cut = paid.where("_rest > 0").withColumns({"_order": chance, "_block": F.pmod(F.xxhash64(F.lit(seed + 1), chance), "_blocks")})
+    whole_epochs = permuted(paid.where("_last > 0").withColumn("epoch", F.explode(F.expr("sequence(0, _last - 1)"))), F.col("_blocks"))
+    out = [*rows.columns, "epoch", "block", "place"]
+    # the last epoch of each source ends where its budget does
+    cut = permuted(paid.where("_rest > 0").withColumn("epoch", F.col("_last")), F.col("_blocks"))
     before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sums = cut.groupBy("_key", "_block").agg(F.sum("n_tokens").alias("s")).select(
         "_key", "_block", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_key", "_block").orderBy("_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_key", "_block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     narrow = cut.withColumn("_at", F.sum("n_tokens").over(inside)).join(sums, ["_key", "_block"])
-    last = narrow.where(F.col("_before") + F.col("_at") <= F.col("_rest")).withColumn("epoch", F.col("_last"))
-    free = rows.where("n_tokens = 0").withColumn("epoch", F.lit(0))
-    taken = whole_epochs.select(*out, "epoch").unionByName(last.select(*out, "epoch")).unionByName(free.select(*out, "epoch"))
-    return taken.drop("_key")
+    last = narrow.where(F.col("_before") + F.col("_at") <= F.col("_rest"))
+    free = permuted(rows.where("n_tokens = 0").withColumn("epoch", F.lit(0)), F.lit(1).cast("long"))
+    return whole_epochs.select(*out).unionByName(last.select(*out)).unionByName(free.select(*out)).drop("_key")
