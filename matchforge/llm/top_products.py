@@ -16,15 +16,22 @@ Queries are packed into blocks in the same way. Two passes:
 Bounds are only used to leave candidates out that cannot be among the k best, ties
 included, so the result is exact. Per bucket and query k rows at most go on.
 
-Cases: vectors that are null, empty, of another dimension than ``dimension`` asks, or
-with a null or non-finite component take no part; a null id takes no part; rows that
-repeat an id are candidates each; a query is not its own candidate, by id; fewer than
-k candidates are all returned; equal scores go to the smaller id; no vectors, no rows.
+Components are kept as doubles that hold whole numbers, so none is too large to be exact.
+A product is taken in doubles or longs where a bound says that they hold it, else in
+whole numbers of any size; a score beyond the longs is given as their end, and ties there.
+
+Cases: vectors that are null or hold a null or non-finite component take no part (a component
+counts as non-finite from 2^1000 on); a null id takes no part; vectors meet those of their
+own dimension only, empty ones each other with score 0; rows that repeat an id are
+candidates each; a query is not its own candidate, by id; fewer than k candidates are all
+returned; equal scores go to the smaller id; no vectors, no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +62,7 @@ def _pack(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBat
         all_ids, all_vectors = np.concatenate(ids), np.concatenate(vectors)
         own, values = all_ids[:n], all_vectors[:n]
         ids, vectors, held = [all_ids[n:]], [all_vectors[n:]], held - n
-        longest = float(np.sqrt((values.astype(float) ** 2).sum(1).max()))
+        longest = float(lengths(values).max())
         number += 1
         return pa.RecordBatch.from_arrays([
             pa.array([(part << 32) + number - 1], pa.int64()), pa.array([n], pa.int64()), pa.array([own.tobytes()]),
@@ -76,13 +83,24 @@ def _pack(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBat
 
 
 def integer_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """``id``, ``vector`` (floor(scale * x), x as double) and ``squared`` length of the rows that take part."""
-    rows = pick(vectors, id=vec_id, vector=vector).where("id is not null and vector is not null and size(vector) > 0")
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    whole = F.transform("vector", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    rows = rows.where(finite).select(F.col("id").cast("long"), whole.alias("vector"))
-    squared = F.aggregate("vector", F.lit(0).cast("long"), lambda s, x: s + x * x)
-    return rows.withColumn("squared", squared)
+    """``id``, ``vector`` (floor(scale * x), x as double) and ``length`` of the rows that take part."""
+    rows = pick(vectors, id=vec_id, vector=vector).where("id is not null and vector is not null")
+    scaled = F.transform("vector", lambda x: x.cast("double") * scale)
+    # beyond 2^52 a double is whole, and floor() would go through a long
+    whole = F.transform("scaled", lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x))
+    finite = F.forall("scaled", lambda x: F.coalesce(F.abs(x) < 2.0**1000, F.lit(False)))
+    rows = rows.select(F.col("id").cast("long"), scaled.alias("scaled")).where(finite).select("id", whole.alias("vector"))
+    largest = F.coalesce(F.array_max(F.transform("vector", lambda x: F.abs(x))), F.lit(0.0))
+    rows = rows.withColumn("largest", largest)
+    shares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))
+    return rows.withColumn("length", F.when(F.col("largest") > 0, F.col("largest") * F.sqrt(shares)).otherwise(0.0)).drop("largest")
+
+
+def lengths(values: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows, also of those whose squares no double holds."""
+    largest = np.abs(values).max(axis=1, initial=0.0)
+    unit = values / np.where(largest > 0, largest, 1.0)[:, None]
+    return largest * np.sqrt((unit ** 2).sum(axis=1))
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -96,21 +114,31 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _products(queries: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Exact integer products; floats are used where they hold all sums exactly."""
-    bound = np.sqrt((queries.astype(float) ** 2).sum(1).max() * (values.astype(float) ** 2).sum(1).max())
+    """Exact integer products, at the ends of the longs where they lie beyond.
+
+    No sum of some components' products exceeds the product of the lengths.
+    """
+    longest = lengths(queries).max(initial=0.0), lengths(values).max(initial=0.0)
+    bound = longest[0] * longest[1]
     if bound * np.sqrt(values.shape[1]) < 2**52:
-        return (queries.astype(float) @ values.astype(float).T).astype(np.int64)
-    return queries @ values.T
+        return (queries @ values.T).astype(np.int64)
+    if bound < 2**62 and max(longest) < 2**62:
+        return queries.astype(np.int64) @ values.astype(np.int64).T
+    whole = [[list(map(int, row)) for row in side.tolist()] for side in (queries, values)]
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    products = [[min(max(sum(map(mul, a, b)), low), high) for b in whole[1]] for a in whole[0]]
+    return np.array(products, np.int64).reshape(len(queries), len(values))
 
 
 def _seek(row: dict, k: int) -> tuple[list, list, list]:
     """The k best of one bucket for each query of one block that can use it."""
     q_ids, c_ids = (np.frombuffer(row[c], np.int64) for c in ("q_ids", "ids"))
-    queries = np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), -1)
-    values = np.frombuffer(row["vectors"], np.int64).reshape(len(c_ids), -1)
+    queries = np.frombuffer(row["q_vectors"]).reshape(len(q_ids), -1)
+    values = np.frombuffer(row["vectors"]).reshape(len(c_ids), -1)
+    # the bound as a double may lie a little above the score it stands for
     least = np.full(len(q_ids), -np.inf) if row["q_least"] is None else np.array(row["q_least"], float)
-    q_len = np.sqrt((queries.astype(float) ** 2).sum(1))
-    c_len = np.sqrt((values.astype(float) ** 2).sum(1))
+    least = np.where(np.abs(least) >= 2**53, least - np.abs(least) * 2.0**-50, least)
+    q_len, c_len = lengths(queries), lengths(values)
     out_q, out_c, out_s = [], [], []
 
     def put(q, places, scores):
@@ -168,22 +196,46 @@ def top_products(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the k best for every row with ``is_query``.
 
-    ``is_query`` is a condition on the column ``id``. Vectors of several dimensions are
-    refused unless ``dimension`` names the one that takes part.
+    ``is_query`` is a condition on the column ``id``. Vectors are searched dimension by
+    dimension, or in ``dimension`` alone.
     """
     rows = stage(integer_vectors(vectors, vec_id, vector, scale), "vectors")
-    if dimension is None:
-        sizes = rows.select(F.min(F.size("vector")), F.max(F.size("vector"))).first()
-        if sizes[0] is None:
-            return rows.select(
-                F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score"))
-        if sizes[0] != sizes[1]:
-            raise ValueError(f"vectors have {sizes[0]} to {sizes[1]} components; name the dimension")
-    else:
-        rows = rows.where(F.size("vector") == dimension)
+    sizes = rows.select(F.size("vector").alias("n")).distinct()
+    dimensions = sorted(r.n for r in sizes.collect() if dimension in (None, r.n))  # one number per dimension
+    if not dimensions:
+        return rows.limit(0).select(
+            F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score"))
+    found = [
+        _search_dimension(rows.where(F.size("vector") == n), is_query, k, bucket_rows, query_rows) if n else _empty(rows, is_query, k)
+        for n in dimensions]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _empty(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """Vectors without components: all products are 0, so the smallest ids are best.
+
+    Whatever the query, they are among the first k rows of the first k + 1 ids.
+    """
+    empty = rows.where(F.size("vector") == 0).select("id")
+    first = empty.distinct().orderBy("id").limit(k + 1)
+    copies = empty.join(F.broadcast(first), "id").withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("id")))
+    best = copies.where(F.col("nth") <= k).select(F.col("id").alias("vec_id"))
+    asked = empty.where(is_query).select(F.col("id").alias("query_id"))
+    pairs = asked.join(F.broadcast(best), F.col("query_id") != F.col("vec_id"))
+    return _ranked(pairs.withColumn("score", F.lit(0).cast("long")), k)
+
+
+def _search_dimension(rows: DataFrame, is_query: Column, k: int, bucket_rows: int, query_rows: int) -> DataFrame:
+    """The k best for the queries among vectors of one dimension."""
 
     def packed(some: DataFrame, n: int) -> DataFrame:
-        by_length = some.repartitionByRange(F.desc("squared"), "id").sortWithinPartitions(F.desc("squared"), "id")
+        by_length = some.repartitionByRange(F.desc("length"), "id").sortWithinPartitions(F.desc("length"), "id")
         return stage(in_tasks(by_length, lambda batches: _pack(batches, n), _BLOCK), "blocks")
 
     buckets, asked = packed(rows, bucket_rows), packed(rows.where(is_query), query_rows)
@@ -213,9 +265,7 @@ def top_products(
     full = with_blocks.join(buckets, "block").withColumnRenamed("least", "q_least")
     found = in_tasks(full.select(*tile), _search(k), _FOUND)
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return _ranked(found, k)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +273,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, ids, vectors in zip(*(column(batch, c).to_pylist() for c in ("block", "ids", "vectors"))):
             ids = np.frombuffer(ids, np.int64)
-            values = np.frombuffer(vectors, np.int64).reshape(len(ids), -1)
+            values = np.frombuffer(vectors).reshape(len(ids), -1)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(ids), block)), pa.array(np.arange(len(ids), dtype=np.int32)), pa.array(ids),
-                pa.array(np.sqrt((values.astype(float) ** 2).sum(1)))], names=["q_block", "place", "query_id", "length"])
+                pa.array(lengths(values))], names=["q_block", "place", "query_id", "length"])
