@@ -6,13 +6,12 @@ have a stated size, and the writer keeps page indexes, so a reader of some docum
 or of the metadata columns alone touches only their pages.
 
 Nulls, ties and other cases: a null text is empty and holds the end id only; rows
-without ``doc_id`` come first; rows that repeat a ``doc_id`` are kept, in order of
-their text; an empty table writes no rows; columns beyond the two named are ignored.
+without ``doc_id`` come first; rows that repeat a ``doc_id`` are kept, in order of a
+hash of their text; an empty table writes no rows; columns beyond the two named are ignored.
 """
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -22,8 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchforge.llm.common import column, in_tasks, pick, shared_folder, with_offsets
+from matchforge.llm.common import column, in_tasks, pick, with_offsets
 from matchforge.llm.tokens import encoder
+from matchforge.session import work_folder
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 DIGEST_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long"
@@ -57,8 +57,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 row, before = row + n, before + int(upto[-1])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return in_tasks(ordered, encode, FILE_SCHEMA)
+    # the hash parts the rows of one id, or without one, if they are many
+    order = ("doc_id", "_hash")
+    ordered = rows.withColumn("_hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    return in_tasks(ordered.drop("_hash"), encode, FILE_SCHEMA)
 
 
 def write_token_files(
@@ -109,5 +111,5 @@ def file_digest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, deleted with the staged tables of a run."""
+    return work_folder(spark, name)
