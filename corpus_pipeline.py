@@ -25,7 +25,7 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told: null and empty texts and those without a letter go, repeated rows stay."""
     docs = pick(docs, *COLUMNS)
     model = language.fit(docs.select("text", "lang"))
     judged = language.predict(docs, model)
@@ -34,28 +34,42 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows without an id cannot be grouped and stay."""
+    """One document of each group of near copies.
+
+    Rows that share an id are one document of several texts and stay or go together; of those
+    and of rows without an id, which cannot be grouped, each text stays once. Texts without
+    words are no copies of each other.
+    """
     docs = pick(docs, *COLUMNS)
     judged = near_duplicates.near_duplicates(docs, threshold=NEAR)
     dropped = stage(judged.where("doc_id is not null and not kept").select("doc_id").distinct(), "copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    left = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null")
+    again = stage(again.select(F.col("doc_id").alias("again")), "repeated_ids")
+    if again.isEmpty():
+        return left
+    shared = F.col("doc_id").eqNullSafe(F.col("again"))
+    return left.join(again, shared, "left_anti").unionByName(left.join(again, shared, "left_semi").dropDuplicates(["text"]))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark; null and empty texts are clean, repeated rows are judged each."""
     judged = decontamination.decontaminate(pick(docs, *COLUMNS), read(spark, sf_dir, "benchmark"))
     return judged.where(~F.col("contaminated")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them, within a budget of their own size."""
+    """Documents as often as the mixture takes them, within a budget of their own size.
+
+    Rows without words cost nothing and are taken once; a null source is a source of its own.
+    """
     rows = mixing.mix_sources(
         pick(docs, *COLUMNS), word_count(F.col("text")), entropy_share=ENTROPY_SHARE, max_repeat=MAX_REPEAT)
     return rows.select(*COLUMNS)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token files, as read back."""
+    """The token files, as read back: a row per row of ``docs``, null and empty texts with the end id only."""
     path = token_files.new_folder(spark, "corpus")
     token_files.write_token_files(docs, path, public_path(TOKENIZER), END_ID)
     return token_files.file_digest(spark, path)

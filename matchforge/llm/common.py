@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import tempfile
 import zipfile
@@ -37,6 +38,24 @@ def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return plain.select(*(F.col(f"c{i}").alias(new) for new, i in at.items()))
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers wait for their next task with what the last one left them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
+def _frugal(function: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def in_tasks(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` whose workers can import this package, wherever the driver found it."""
     context = df.sparkSession.sparkContext
@@ -50,7 +69,7 @@ def in_tasks(df: DataFrame, function: Callable, schema) -> DataFrame:
         (folder / "matchforge.zip").write_bytes(packed.getvalue())
         context.addPyFile(str(folder / "matchforge.zip"))
         context._matchforge_shipped = True
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_frugal(function), schema)
 
 
 def words(text):

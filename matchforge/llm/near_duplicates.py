@@ -17,10 +17,12 @@ Plan:
    threshold is dropped and the rest is verified on the full sets.
 4. What the links leave open are buckets whose members are in several components. There
    every member outside the bucket's largest component is compared with all members of
-   other components, on the full sets, as products of small incidence matrices: members
-   are packed in blocks of bounded size, a task meets two blocks, and only the components
-   that turn out linked are written, never the pairs. So no pair in a bucket that could
-   join two components is left out.
+   other components, on the registers: members are packed in blocks of bounded size, a
+   tile of two blocks is a row of its own, and only members of a pair whose registers agree
+   often enough and whose likelihood allows the threshold leave it, each pair in the
+   first bucket it shares. These members meet again, in the same way, on their full sets, as products of
+   small incidence matrices, and only the components that turn out linked are written, never
+   the pairs. So no pair in a bucket that could join two components is left out.
 5. Links are contracted to the smallest id by distributed hooking and jumping. Every
    step is a written table in the shared folder.
 
@@ -43,7 +45,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchforge.llm.common import byte_values, column, in_tasks, mix, pick, slices, stage, text_bytes, unit_hashes
@@ -57,7 +59,8 @@ MISSED = 2.5e-6
 BASE = 1.001
 RATE = 20.0
 TOP = 65535
-# Shingles in a block of bucket members, and members multiplied at a time.
+# Members of an open bucket in a block of sketches, shingles in a block of full sets, and members multiplied at a time.
+BLOCK_MEMBERS = 512
 BLOCK_ELEMENTS = 1 << 16
 MULTIPLIED = 256
 # Ids of documents whose sets are needed are broadcast up to this number (16 MB), else joined by shuffling.
@@ -127,18 +130,23 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "key", "sketch"])
 
 
-def _bands(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A key for each band of each row of registers."""
     weights = mix(np.arange(9001, 9001 + REGISTERS, dtype=np.uint64)) | np.uint64(1)
+    spread = mix(values[:, :bands * rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) * weights[:bands * rows]
+    return mix(spread.reshape(len(values), bands, rows).sum(axis=2, dtype=np.uint64)).view(np.int64)
+
+
+def _bands(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        values = np.frombuffer(b"".join(column(batch, "sketch").to_pylist()), "<u2").reshape(n, REGISTERS)[:, :bands * rows]
-        spread = mix(values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) * weights[:bands * rows]
-        keys = mix(spread.reshape(n, bands, rows).sum(axis=2, dtype=np.uint64))
+        values = np.frombuffer(b"".join(column(batch, "sketch").to_pylist()), "<u2").reshape(n, REGISTERS)
+        keys = band_keys(values, bands, rows)
         ids = column(batch, "id").to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, bands))], names=["bucket", "id"])
+            [pa.array(keys.ravel()), pa.array(np.repeat(ids, bands))], names=["bucket", "id"])
 
 
 def likely_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -246,13 +254,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     buckets = in_tasks(reps.select("id", "sketch"), partial(_bands, bands=bands, rows=width), "bucket long, id long")
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
     members = stage(buckets.join(shared.select("bucket", "least"), "bucket").distinct(), "buckets")
-    elements = _elements(rows, members)
 
     stars = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    likely = stage(_likely(stars, reps, percent), "likely")
-    labels = contract(_linked(likely, elements, percent))
-    rest = _rest(follow_ids(members.select("bucket", "id"), labels), elements, percent)
-    hooks = contract(rest)
+    labels = contract(_linked(stage(_likely(stars, reps, percent), "likely"), rows, percent))
+    live = stage(_live(follow_ids(members.select("bucket", "id"), labels), reps, percent), "open_members")
+    hooks = contract(_open_links(live, rows, percent))
     # nodes met before follow the new hooks, others enter with theirs
     labels = stage(follow(labels, hooks).unionByName(hooks.join(labels.select("id"), "id", "left_anti")), "labels")
 
@@ -277,52 +283,117 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return in_tasks(sized, partial(_rate, least=percent / 100 - margin(percent / 100)), "a long, b long").distinct()
 
 
-def _elements(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """``id`` and the full set of every bucket member, from the texts."""
-    needed = stage(members.select(F.col("id").alias("doc_id")).distinct(), "needed")
+def _linked(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that are linked, by their full sets."""
+    elements = _elements(rows, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))))
+    of = lambda end: elements.select(F.col("id").alias(end), F.col("elements").alias(f"e_{end}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return in_tasks(both, partial(_verify, percent=percent), "a long, b long").distinct()
+
+
+def _elements(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id`` and the full set of the documents in ``wanted`` (``doc_id``), from the texts."""
+    needed = stage(wanted.distinct(), "needed")
     if needed.count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)
     return stage(in_tasks(rows.join(needed, "doc_id", "left_semi"), _sets, "id long, elements binary"), "elements")
 
 
-def _linked(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
-    of = lambda end: elements.select(F.col("id").alias(end), F.col("elements").alias(f"e_{end}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    return in_tasks(both, partial(_verify, percent=percent), "a long, b long").distinct()
+def _tiles(held: DataFrame, weight: Column, block: int, *fields: str) -> DataFrame:
+    """Blocks of the members of a bucket that are ``out``, as ``x``, against blocks of all of them, as ``y``.
 
+    Blocks hold members of about ``block`` times ``weight`` together. A block is a row for each
+    block that it meets, and the join is on the bucket and both block numbers.
+    """
+    blocks = held.groupBy("bucket").agg(
+        F.ceil(F.sum(weight) / block).alias("y_blocks"), F.ceil(F.sum(F.when(F.col("out"), weight)) / block).alias("x_blocks"))
+    placed = held.join(blocks.where("x_blocks > 0"), "bucket")
+
+    def packed(some: DataFrame, side: str, other: str) -> DataFrame:
+        own = F.pmod(F.xxhash64("id"), F.col(f"{side}_blocks")).alias(f"{side}_block")
+        rows = some.groupBy("bucket", f"{other}_blocks", own).agg(F.collect_list(F.struct(*fields)).alias(side))
+        met = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block")
+        return rows.select("bucket", f"{side}_block", side, met)
+
+    tiles = packed(placed.where("out"), "x", "y").join(packed(placed, "y", "x"), ["bucket", "x_block", "y_block"])
+    # the work grows faster than the bytes, which tasks are cut by
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiles.repartition(parts, "bucket", "x_block", "y_block").select("bucket", "x", "y")
 
-def _rest(members: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
-    """Linked components (a, b) of buckets that hold members of several components."""
+
+def _live(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Members (``bucket``, ``id``, ``label``, ``out``) of a pair of different components that may be linked.
+
+    ``out`` says that a member is outside the largest component of its bucket.
+    """
     sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     open_ = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
     open_ = open_.where("labels > 1").select("bucket", F.col("top.label").alias("top"))
-    held = members.join(open_, "bucket").join(elements, "id").withColumn("out", F.col("label") != F.col("top"))
-    held = stage(held.select("bucket", "id", "label", "out", "elements"), "open_buckets")
-    length = F.length("elements") / 8
-    blocks = held.groupBy("bucket").agg(
-        F.ceil(F.sum(length) / BLOCK_ELEMENTS).alias("n_all"),
-        F.ceil(F.sum(F.when(F.col("out"), length)) / BLOCK_ELEMENTS).alias("n_out"))
-    placed = held.join(blocks, "bucket")
+    held = members.join(open_, "bucket").withColumn("out", F.col("label") != F.col("top")).join(reps.select("id", "n", "sketch"), "id")
+    tiles = _tiles(held, F.lit(1), BLOCK_MEMBERS, "id", "label", "out", "n", "sketch")
+    return in_tasks(tiles, partial(_compare, percent=percent), "bucket long, id long, label long, out boolean").distinct()
+
+
+def _open_links(live: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Linked components (a, b) among the members of open buckets, on full sets."""
+    held = live.join(_elements(rows, live.select(F.col("id").alias("doc_id"))), "id")
+    tiles = _tiles(held, F.length("elements") / 8, BLOCK_ELEMENTS, "label", "elements")
+    return in_tasks(tiles.select("x", "y"), partial(_multiply, percent=percent), "a long, b long").distinct()
 
-    def packed(some: DataFrame, count: str, name: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.col(count))
-        return some.withColumn("block", block).groupBy("bucket", "block").agg(
-            F.collect_list(F.struct("label", "elements")).alias(name)).drop("block")
 
-    tiles = packed(placed.where("out"), "n_out", "x").join(packed(placed, "n_all", "y"), "bucket").drop("bucket")
-    return in_tasks(tiles, partial(_multiply, percent=percent), "a long, b long").distinct()
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many registers agree, for each row of ``x`` and each of ``y``."""
+    if len(x) * len(y) < 1024:
+        return (x[:, None] == y[None]).sum(axis=2)
+    counts = np.zeros((len(x), len(y)), np.uint8)  # there are under 256 registers
+    for a, b in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)):
+        counts += a[:, None] == b[None, :]
+    return counts
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Members of a tile that may be linked, in the first bucket that a pair shares."""
+    least = percent / 100 - margin(percent / 100)
+    bands, width = banding(percent / 100)
+    for batch in batches:
+        for bucket, x, y in zip(column(batch, "bucket").to_pylist(), column(batch, "x"), column(batch, "y")):
+            (id_x, label_x, _, n_x, s_x), (id_y, label_y, out_y, n_y, s_y) = map(_members, (x.values, y.values))
+            fits = (_agreeing(s_x, s_y) >= math.floor(least * REGISTERS)) & (label_x[:, None] != label_y[None, :])
+            fits &= 100 * np.minimum(n_x[:, None], n_y[None, :]) >= percent * np.maximum(n_x[:, None], n_y[None, :])
+            at, to = np.nonzero(fits)
+            found = []
+            # by parts, so that a tile of like members stays within bounds
+            for k in range(0, len(at), 1 << 13):
+                p, q = at[k:k + (1 << 13)], to[k:k + (1 << 13)]
+                a, b = s_x[p], s_y[q]
+                shared = (a == b)[:, :bands * width].reshape(-1, bands, width).all(axis=2)
+                first = band_keys(a, bands, width)[np.arange(len(p)), shared.argmax(axis=1)] == bucket
+                p, q, a, b = p[first], q[first], a[first], b[first]
+                if len(p):
+                    likely = likely_jaccard(a, b, n_x[p].astype(float), n_y[q].astype(float)) >= least
+                    found.append((np.unique(p[likely]), np.unique(q[likely])))
+            if any(len(p) for p, _ in found):
+                p, q = (np.unique(np.concatenate(side)) for side in zip(*found))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(p) + len(q), bucket)), pa.array(np.concatenate([id_x[p], id_y[q]])),
+                    pa.array(np.concatenate([label_x[p], label_y[q]])),
+                    pa.array(np.concatenate([np.ones(len(p), bool), out_y[q]])),
+                ], names=["bucket", "id", "label", "out"])
+
+
+def _members(rows: pa.StructArray) -> tuple[np.ndarray, ...]:
+    sketches = np.frombuffer(b"".join(rows.field("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    return (*(rows.field(c).to_numpy(zero_copy_only=False) for c in ("id", "label", "out", "n")), sketches)
 
 
 def _multiply(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of labels that have linked sets in the two blocks of a tile."""
     for batch in batches:
-        x, y = column(batch, "x"), column(batch, "y")
-        for i in range(batch.num_rows):
+        for x, y in zip(column(batch, "x"), column(batch, "y")):
             sides = []
-            for rows in (x[i].values, y[i].values):
-                labels = rows.field("label").to_numpy()
+            for rows in (x.values, y.values):
                 sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows.field("elements")]
-                sides.append((labels, sets))
+                sides.append((rows.field("label").to_numpy(), sets))
             found = set()
             for a in range(0, len(sides[0][0]), MULTIPLIED):
                 for b in range(0, len(sides[1][0]), MULTIPLIED):

@@ -50,7 +50,7 @@ def op3_temperature_mixture(spark, sf_dir):
     docs = pick(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
     costed = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
     mixed = mixing.mix_sources(costed, F.col("words"), entropy_share=ENTROPY_SHARE, max_repeat=MAX_REPEAT)
-    return mixed.select("doc_id", "source", "n_tokens", "epoch")
+    return mixed.select("doc_id", "source", "n_tokens", "epoch", "block", "place")
 
 
 @register
@@ -73,7 +73,7 @@ def op6_token_counts(spark, sf_dir):
 def op7_decontamination(spark, sf_dir):
     docs = pick(read(spark, sf_dir, "documents"), "doc_id", "text")
     judged = decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    return judged.select("doc_id", "contaminated", "n_items", "first_item", "best_cover")
+    return judged.select("doc_id", "contaminated", "n_items", "first_item", "best_cover", "n_short_items")
 
 
 @register

@@ -77,6 +77,36 @@ def test_pipeline_drops_near_copies_from_080(spark):
         assert bands * width <= near_duplicates.REGISTERS and (1 - threshold**width) ** bands < 3e-6
 
 
+def test_open_buckets_lose_no_link(spark, monkeypatch):
+    """Components with near members in a shared bucket are linked, whatever the blocks, and no others."""
+    monkeypatch.setattr(near_duplicates, "BLOCK_MEMBERS", 5)
+    monkeypatch.setattr(near_duplicates, "BLOCK_ELEMENTS", 700)
+    rng = np.random.default_rng(8)
+    base = [rng.choice(WORDS, 120) for _ in range(3)]
+    said = {}
+    for i in range(45):
+        w = base[i % 3].copy()
+        w[rng.integers(0, 120, rng.integers(0, 4))] = rng.choice(WORDS)
+        said[i] = " ".join(w)
+    rows = spark.createDataFrame(list(said.items()), "doc_id LONG, text STRING")
+    raw, at = near_duplicates.text_bytes(__import__("pyarrow").array(list(said.values())))
+    sets = dict(enumerate(near_duplicates.shingle_sets(raw, at)))
+    sketches = {i: near_duplicates.registers(x) for i, x in sets.items()}
+    keys = near_duplicates.band_keys(np.stack(list(sketches.values())), *near_duplicates.banding(0.85))
+    label = {i: int(rng.integers(100, 106)) for i in sets}
+    reps = spark.createDataFrame([(i, len(x), bytearray(sketches[i].tobytes())) for i, x in sets.items()], "id LONG, n LONG, sketch BINARY")
+    members = spark.createDataFrame([(int(k), i, label[i]) for i in sets for k in set(keys[i].tolist())], "bucket LONG, id LONG, label LONG")
+    live = near_duplicates._live(members, reps, 85)
+    assert live.count() > 20
+    got = {tuple(r) for r in near_duplicates._open_links(live, rows, 85).collect()}
+    want = set()
+    for a, b in itertools.combinations(sets, 2):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if label[a] != label[b] and 100 * both >= 85 * len(np.union1d(sets[a], sets[b])):
+            want.add((max(label[a], label[b]), min(label[a], label[b])))
+    assert got == want and len(want) > 5
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 900).astype(np.uint64)
@@ -103,6 +133,31 @@ def test_top_products(spark):
     assert top_products.top_products(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def products_by_hand(rows, k=5):
+    """Scores in whole numbers of any size, at the ends of the longs beyond; vectors of one dimension meet."""
+    import math
+
+    fit = [(i, [math.floor(x * 256) if abs(x) < 2.0**44 else int(x) * 256 for x in v]) for i, v in rows
+           if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x) < 2.0**992 for x in v)]
+    out = []
+    for q, a in fit:
+        if q % 50 == 0:
+            scores = [(max(-2**63, min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i) for i, b in fit if i != q and len(b) == len(a)]
+            out += [(q, n + 1, i, s) for n, (s, i) in enumerate(sorted(scores, key=lambda t: (-t[0], t[1]))[:k])]
+    return sorted(out)
+
+
+def test_top_products_of_huge_and_mixed_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(120)]
+    rows += [(150 + i, (rng.normal(size=4) * 10.0 ** rng.integers(6, 30)).tolist()) for i in range(101)]
+    rows += [(300 + i, rng.normal(size=1 + i % 3).tolist()) for i in range(60)] + [(400, []), (401, []), (401, []), (450, [])]
+    rows += [(500, [1e308] * 4), (501, [1e250, 0.0, 0.0, -1e250]), (550, [1e8, -1e8, 0.5, 3.0]), (600, [float("inf")] * 4), (650, [1.0, None]), (None, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = top_products.top_products(df, F.col("id") % 50 == 0, bucket_rows=32, query_rows=3).collect()
+    assert sorted(map(tuple, got)) == products_by_hand(rows)
+
+
 def encoded(rows):
     from tokenizers import Tokenizer
 
@@ -184,6 +239,18 @@ def test_decontamination_by_a_long_run_of_a_long_item(spark):
     assert contaminated(spark, " ".join(w), [" ".join(p) for p in parts]) == [True, True, False]
 
 
+def test_decontamination_of_short_and_number_heavy_items(spark):
+    sums = "What is 12 * 7 + 3 - 9 / 4 + 15 - 6 ?"
+    table = "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"
+    texts = [f"as asked: {sums} and so on", sums.replace("15", "16"), sums.upper(), "", None, "3 - 9 / 4"]
+    assert contaminated(spark, sums, texts) == [True, False, True, False, False, False]
+    assert contaminated(spark, table, [f"see {table} there", table.replace(" 8 ", " 9 "), "1 2 3 4 5 6 7 8"]) == [True, False, False]
+    bench = spark.createDataFrame([(1, "photosynthesis makes oxygen"), (2, "Oxygen"), (3, "42"), (4, " ? "), (5, None)], "item_id LONG, text STRING")
+    rows = [(1, "they say Photosynthesis makes oxygen, 42 times"), (2, "photosynthesis makes no oxygen"), (None, "nothing"), (3, None)]
+    got = decontamination.decontaminate(spark.createDataFrame(rows, "doc_id LONG, text STRING"), bench).collect()
+    assert {r.doc_id: (r.contaminated, r.n_short_items) for r in got} == {1: (False, 3), 2: (False, 1), None: (False, 0), 3: (False, 0)}
+
+
 def test_decontamination_with_one_inconsistent_slot(spark):
     item = ("There are 12 red boxes on the long table near the door of the old house and every one of them holds 12 "
             "green pens that were bought in the small shop around the corner last summer")
@@ -229,6 +296,20 @@ def test_mixture_meets_budgets(spark):
     assert mixing.mix_sources(df.limit(0), F.col("n"), max_repeat=2.0).count() == 0
 
 
+def test_every_epoch_is_a_permutation_of_blocks(spark):
+    rows = [(i, "big" if i % 10 < 8 else "small", 10 + i % 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id LONG, source STRING, n LONG")
+    got = mixing.mix_sources(df, F.col("n"), max_repeat=4.0, budget=3 * sum(r[2] for r in rows), block_rows=64).collect()
+    order = sorted(got, key=lambda r: (r.epoch, r.block, r.place))
+    blocks = [k for k, _ in itertools.groupby((r.epoch, r.block) for r in order)]
+    assert len(set(blocks)) == len(blocks) and {len({r.source for r in g}) for _, g in itertools.groupby(order, key=lambda r: (r.epoch, r.block))} == {1}
+    epochs = {e: [r.doc_id for r in order if r.epoch == e and r.source == "big"] for e in (0, 1, 2, 3)}
+    assert sorted(epochs[0]) == sorted(epochs[1]) and epochs[0] != epochs[1] and len(epochs[0]) == 2400
+    assert len(epochs[2]) > 0 and len({(r.doc_id, r.epoch) for r in got}) == len(got)
+    starts = [r.source for r in order if r.epoch == 0]
+    assert sum(a != b for a, b in zip(starts, starts[1:])) > 10
+
+
 def test_quality_on_held_out_documents(spark):
     rng = np.random.default_rng(5)
     rows, labels = [], []
