@@ -13,6 +13,8 @@ from matchforge.llm import decontamination, language, mixing, near_duplicates, t
 from matchforge.llm.common import pick, read, stage
 from matchforge.llm.queries import END_ID, ENTROPY_SHARE, MAX_REPEAT, TOKENIZER, word_count
 from matchforge.llm.tokens import public_path
+from matchforge.operators.flatten import keep_first
+from matchforge.session import staged_run
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A text is rejected if it has no letter or no language gets more than this.
@@ -37,8 +39,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies.
 
     Rows that share an id are one document of several texts and stay or go together; of those
-    and of rows without an id, which cannot be grouped, each text stays once. Texts without
-    words are no copies of each other.
+    and of rows without an id, which cannot be grouped, each text stays once, with the smallest
+    id. Texts without words are no copies of each other.
     """
     docs = pick(docs, *COLUMNS)
     judged = near_duplicates.near_duplicates(docs, threshold=NEAR)
@@ -49,7 +51,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if again.isEmpty():
         return left
     shared = F.col("doc_id").eqNullSafe(F.col("again"))
-    return left.join(again, shared, "left_anti").unionByName(left.join(again, shared, "left_semi").dropDuplicates(["text"]))
+    return left.join(again, shared, "left_anti").unionByName(_each_text_once(left.join(again, shared, "left_semi")))
+
+
+def _each_text_once(rows: DataFrame) -> DataFrame:
+    return keep_first(rows, ["text"], [F.col("doc_id").asc_nulls_last()])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +76,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files, as read back: a row per row of ``docs``, null and empty texts with the end id only."""
-    path = token_files.new_folder(spark, "corpus")
+    path = token_files.new_folder(spark, "corpus", kept=True)
     token_files.write_token_files(docs, path, public_path(TOKENIZER), END_ID)
     return token_files.file_digest(spark, path)
 
@@ -85,7 +91,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages; the token files stay in the shared folder, the tables of the stages before are deleted."""
+    with staged_run(spark):
+        docs = read(spark, sf_dir, "documents")
+        for name, step in STAGES[:-1]:
+            docs = stage(step(spark, docs, sf_dir), name)
+        return STAGES[-1][1](spark, docs, sf_dir)

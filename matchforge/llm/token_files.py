@@ -12,6 +12,7 @@ hash of their text; an empty table writes no rows; columns beyond the two named
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from matchforge.llm.common import column, in_tasks, pick, with_offsets
 from matchforge.llm.tokens import encoder
-from matchforge.session import work_folder
+from matchforge.session import shared_folder, work_folder
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 DIGEST_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long"
@@ -110,6 +111,6 @@ def file_digest(spark: SparkSession, path: str) -> DataFrame:
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, deleted with the staged tables of a run."""
-    return work_folder(spark, name)
+def new_folder(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A fresh path in the shared folder, deleted with the staged tables of a run or ``kept`` behind it."""
+    return f"{shared_folder(spark).rstrip('/')}/kept/{name}-{uuid.uuid4().hex}" if kept else work_folder(spark, name)

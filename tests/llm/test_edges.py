@@ -57,13 +57,19 @@ def test_query(spark, folder, name):
     rows = QUERIES[name](spark, path).collect()
     if kind == "empty":
         assert rows == []
-    elif name in ("op2_near_duplicates", "op8_token_files", "op10_language", "op9_site_quality", "op7_decontamination"):
+    elif name in ("op2_near_duplicates", "op8_token_files", "op10_language", "op9_site_quality", "op7_decontamination",
+                  "op11_periodic_runs", "op12_license_scan", "op13_cross_tokens"):
         assert len(rows) == len(TABLES["documents"][1])
     if kind == "awkward" and name == "op2_near_duplicates":
         kept = [r.kept for r in rows if r.doc_id is None]
         assert kept == [False, False]
     if kind == "awkward" and name == "op10_language":
         assert {r.lang_pred for r in rows if r.doc_id in (0, 1, 2, 3)} == {"und"}
+    if kind == "awkward" and name in ("op11_periodic_runs", "op12_license_scan", "op13_cross_tokens"):
+        # a null and an empty text have nothing; rows that repeat an id are judged each
+        nothing = {"op11_periodic_runs": ("n_runs",), "op12_license_scan": ("n_words", "n_base", "score"), "op13_cross_tokens": ("n_a", "n_b", "n_links")}
+        assert all(r[c] == 0 for r in rows if r.doc_id == 0 for c in nothing[name])
+        assert sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id == 5 for r in rows) == 2
     if kind == "awkward" and name == "op8_token_files":
         assert sum(r.n_tokens for r in rows if r.doc_id == 0) == 1
 

@@ -77,6 +77,16 @@ def test_pipeline_drops_near_copies_from_080(spark):
         assert bands * width <= near_duplicates.REGISTERS and (1 - threshold**width) ** bands < 3e-6
 
 
+def test_pipeline_keeps_one_row_of_each_text_under_one_id_or_none(spark):
+    import corpus_pipeline
+
+    text, other = " ".join(WORDS[:40]), " ".join(WORDS[100:140])
+    rows = [(1, text), (1, text), (1, other), (None, text), (None, text), (None, None), (None, None), (2, other + " end"), (3, None), (4, ""), (5, "")]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    left = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, df, "").collect()), key=str)
+    assert left == sorted([(1, text), (1, other), (None, None), (3, None), (4, ""), (5, "")], key=str)
+
+
 def test_open_buckets_lose_no_link(spark, monkeypatch):
     """Components with near members in a shared bucket are linked, whatever the blocks, and no others."""
     monkeypatch.setattr(near_duplicates, "BLOCK_MEMBERS", 5)
