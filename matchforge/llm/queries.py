@@ -110,15 +110,18 @@ def repeated_tails(docs):
     """
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10)
-    said = docs.where(h % 10 == 0).select("doc_id", "text", words(F.col("text")).alias("w"), g.alias("g")).where("size(w) > 0")
-    cut = said.withColumn("n", F.size("w")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
-    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
-    cut = cut.withColumn("p", period)
-    tail = F.transform(
-        F.sequence(F.lit(0), F.col("n") - F.col("a") - 1), lambda i: F.col("w")[(F.col("a") + i % F.col("p")).cast("int")])
-    changed = cut.select("doc_id", F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ").alias("text"))
-    others = docs.where(F.coalesce(h % 10 != 0, F.lit(True)) | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return others.select("doc_id", "text").unionByName(changed)
+    once = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def repeated(w):
+        n = F.size(w)
+        return once(F.struct((g % n).cast("int").alias("a"), n.alias("n")), lambda at: once(
+            (1 + F.floor((at["n"] - at["a"]) / (3 + g % 8))).cast("int"), lambda p: F.array_join(F.concat(
+                F.slice(w, F.lit(1), at["a"]),
+                F.transform(F.sequence(F.lit(0), at["n"] - at["a"] - 1), lambda i: w[at["a"] + i % p])), " ")))
+
+    # texts are cut into words only where they change
+    changed = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(changed, once(words(F.col("text")), repeated)).otherwise(F.col("text")).alias("text"))
 
 
 @register
