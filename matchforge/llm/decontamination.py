@@ -194,8 +194,10 @@ def proposed(docs: DataFrame, keys: DataFrame) -> DataFrame:
         F.when(2 * amounts > LEAST_TOKENS, exact_hashes(F.col("words"))).alias("exact"))
     found = None
     for size in sorted(sizes, reverse=True) or [WINDOW]:
-        exact = F.when(F.col("exact").isNotNull(), _key("exact", size))
-        both = F.explode(F.array_distinct(F.array_compact(F.array(_key("typed", size), _key("literal", size), exact))))
+        # nothing here may take a loop over elements, which would copy the texts' arrays for every place
+        usual = _key("typed", size), _key("literal", size)
+        keys = F.when(F.col("exact").isNull(), F.array(*usual)).otherwise(F.array(*usual, _key("exact", size)))
+        both = F.explode(F.array_distinct(keys))
         part = _places(rows, size).select("doc_id", "text_key", "at", both.alias("key"))
         part = part.join(side.where(F.col("size") == size).drop("size"), "key").select(
             "doc_id", "text_key", "item", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
