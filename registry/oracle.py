@@ -725,6 +725,7 @@ ORACLE |= {
 
 ORACLE |= {
     "variant_matches": ORACLE["flatten_dedup"],
+    "flatten_dedup_narrow": ORACLE["flatten_dedup"],
     "variant_typed_fields": ORACLE["flatten_typed_fields"],
     "catalog_top_players": ORACLE["vw_top_players"],
     "catalog_names": over(PLAYERS, TIMELINE, select="""

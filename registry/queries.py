@@ -228,6 +228,12 @@ def flatten_matches(spark, sf_dir):
 
 @register
 def flatten_dedup(spark, sf_dir):
+    return flatten.flatten_matches(_landed(spark, sf_dir), first_by=b.RAW_ORDER)
+
+
+@register
+def flatten_dedup_narrow(spark, sf_dir):
+    """The same without a whole row in a shuffle, as the pipeline does it."""
     return flatten.flatten_first(_landed(spark, sf_dir), first_by=b.RAW_ORDER)
 
 
