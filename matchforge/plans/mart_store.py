@@ -4,21 +4,21 @@ A store holds the participant fact and what the marts are merged from, all by pe
 (calendar month by default) and therefore replaceable period by period:
 
     numbers/      match_id -> match_no, dense, in the order matches were first played
-    fact/         participants with their match_no, by period and load
+    fact/         participants, by period and load
     cells/        totals by player, champion and position
-    games/        the matches of a player as bitmaps over match numbers
+    games/        the matches of a player, one row per row of the fact
     days/         totals by calendar day
-    day_matches/  the matches of a day as bitmaps
+    day_matches/  the matches of a day, one row per row of the fact
     purchases/    purchases and wins by item id
 
 A load appends its rows to the fact and has the cells of the periods it touches taken again,
 from those periods of the fact only (partition filter); every other period stays as it is on
-disk. Sums and counts merge by adding, distinct matches by or-ing bitmaps, so the marts equal
-those of a full build. A load has a name: repeated after a failure it replaces its own rows.
+disk. Sums and counts merge by adding, distinct matches by counting each id once, so the marts
+equal those of a full build. A load has a name: repeated after a failure it replaces its own rows.
 
-Bitmaps are 4 KB for 32,768 neighbouring match numbers, nearly all zeros where a player has
-few of them, which compresses away on disk and in shuffles. Numbers follow the date so that
-the matches of a period share bitmaps.
+The matches of players and days are narrow copies of the fact's rows, written as they are read.
+Bitmaps over match numbers are smaller only where a key has many neighbouring matches: a player
+has few, and one bitmap of 4 KB for nearly each of them.
 """
 
 from __future__ import annotations
@@ -30,14 +30,16 @@ from pyspark.sql import functions as F
 
 from matchforge.plans import marts
 from matchforge.plans.measures import merge, totals
-from matchforge.session import hadoop_path, stage
+from matchforge.session import COMPACT, hadoop_path, stage
 from matchforge.sources.raw import read_parquet_if_present
 
 MONTH = "yyyy-MM"
 DAY = "yyyy-MM-dd"
 # The period of rows without a date.
 UNDATED = "undated"
-_DYNAMIC = {"partitionOverwriteMode": "dynamic"}
+# Up to this number of periods, each task writes its own file in every one; rows of more are dealt by period.
+FEW_PERIODS = 16
+_DYNAMIC = {"partitionOverwriteMode": "dynamic", **COMPACT}
 
 
 def period_of(game_date: Column, pattern: str) -> Column:
@@ -53,6 +55,16 @@ def match_bitmaps(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def known_matches(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The known matches of each key, copies included."""
+    return rows.filter(F.col("match_id").isNotNull()).select(*keys, "match_id")
+
+
+def count_matches(met: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """How many different matches each key has."""
+    return met.select(*keys, "match_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
 def distinct_matches(bitmaps: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """How many matches the bitmaps of each key hold together."""
     merged = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("matches").alias("matches"))
@@ -78,14 +90,14 @@ class MartStore:
         partitions = ["period STRING", "load STRING"] if table == "fact" else ["period STRING"]
         return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *partitions])
 
-    def _replace(self, df: DataFrame, table: str, *partitions: str) -> None:
-        """Write ``df`` over the partitions it has rows in."""
+    def _replace(self, df: DataFrame, table: str, *partitions: str, periods: int) -> None:
+        """Write ``df`` over the partitions it has rows in; ``periods`` is their number."""
         # whole periods per task, large ones split by the sizes that adaptive execution measures
-        spread = df.hint("rebalance", *partitions)
+        spread = df.hint("rebalance", *partitions) if periods > FEW_PERIODS else df
         spread.write.mode("overwrite").options(**_DYNAMIC).partitionBy(*partitions).parquet(f"{self.path}/{table}")
 
-    def number(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with ``match_no``; matches met for the first time get the next numbers, by date."""
+    def number(self, rows: DataFrame) -> None:
+        """Give the matches of ``rows`` that are met for the first time the next numbers, by date."""
         met = (
             rows.filter(F.col("match_id").isNotNull())
             .groupBy("match_id").agg(F.min("game_date").alias("game_date")))
@@ -105,8 +117,6 @@ class MartStore:
         numbered = placed.join(offsets, "task").select(
             "match_id", (F.lit(first) + F.col("offset") + F.col("row")).cast("long").alias("match_no"))
         numbered.write.mode("append").parquet(f"{self.path}/numbers")
-        numbers = self.read("numbers")
-        return rows.join(numbers, "match_id", "left")
 
     def add(self, load: str, rows: DataFrame) -> list[str]:
         """Add participants under the name of their load; returns the periods whose cells were taken again.
@@ -118,7 +128,8 @@ class MartStore:
         landed = stage(rows.withColumns({"period": period, "load": F.lit(load)}), "load")
         periods = sorted(r.period for r in landed.select("period").distinct().collect())  # one per period
         if periods:
-            self._replace(self.number(landed), "fact", "period", "load")
+            self.number(landed)
+            self._replace(landed, "fact", "period", "load", periods=len(periods))
             self.refresh(periods)
         return periods
 
@@ -151,20 +162,20 @@ class MartStore:
         players = rows.filter(F.col("puuid").isNotNull())
         for table, cells in {
             "cells": totals(rows, ["period", *marts.CELL], marts.PLAYER_QUANTITIES),
-            "games": match_bitmaps(players, ["period", *marts.PLAYER]),
+            "games": known_matches(players, ["period", *marts.PLAYER]),
             "days": totals(dated, ["period", "game_day"], marts.DAY_QUANTITIES),
-            "day_matches": match_bitmaps(dated, ["period", "game_day"]),
+            "day_matches": known_matches(dated, ["period", "game_day"]),
             "purchases": totals(marts.purchases(rows, "period"), ["period", "slot_item"], ["win"]),
         }.items():
-            self._replace(cells, table, "period")
+            self._replace(cells, table, "period", periods=len(periods))
 
     def marts(self, items: DataFrame | None = None) -> dict[str, DataFrame]:
         """The marts of everything loaded, merged from the cells; the fact is not read."""
         cells = self.read("cells")
         if cells is None:
             return {}
-        games = distinct_matches(self.read("games"), marts.PLAYER, "games_played")
-        matches = distinct_matches(self.read("day_matches"), ["game_day"], "total_matches")
+        games = count_matches(self.read("games"), marts.PLAYER, "games_played")
+        matches = count_matches(self.read("day_matches"), ["game_day"], "total_matches")
         built = {
             "mart_player_stats": marts.player_stats(None, cells, games),
             "mart_player_champion_stats": marts.player_champion_stats(None, cells),

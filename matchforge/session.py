@@ -23,6 +23,9 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Writer options of tables that are read again by the run or kept as landed: fewer bytes than the default codec's.
+COMPACT = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+
 
 def build_session(app_name: str = "matchforge", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators are tested under; ``conf`` wins."""
@@ -59,7 +62,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**COMPACT).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -112,6 +115,9 @@ def staged_run(spark: SparkSession) -> Iterator[None]:
         files.delete(folder, True)
 
 
-def spread(df: DataFrame, partitions: int) -> DataFrame:
-    """Rows dealt to ``partitions`` tasks, for costly per-row work on input known to come in few splits."""
-    return df.repartition(partitions)
+def spread(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """Rows dealt to ``partitions`` tasks, for costly per-row work on input known to come in few splits.
+
+    Dealt by ``keys``, a join on them that shuffles finds the rows where it wants them.
+    """
+    return df.repartition(partitions, *keys)

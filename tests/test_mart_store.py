@@ -86,3 +86,14 @@ def test_bitmaps_count_distinct_matches(spark):
     rows = spark.createDataFrame([(k, n) for k in "ab" for n in (1, 1, 32768, 32769, 10**9, None)] + [("a", 2)], "k STRING, match_no LONG")
     parts = match_bitmaps(rows.limit(6), ["k"]).unionByName(match_bitmaps(rows, ["k"]))
     assert dict(map(tuple, distinct_matches(parts, ["k"], "n").collect())) == {"a": 5, "b": 4}
+
+
+def test_a_players_matches_take_no_bitmaps(spark, fact, tmp_path):
+    """What is kept of matches is narrow and no longer than the fact, however far apart their numbers are."""
+    store = MartStore(spark, str(tmp_path / "store"))
+    store.add("all", fact)
+    for table in ("games", "day_matches"):
+        kept = store.read(table)
+        assert not [f.name for f in kept.schema if f.dataType.simpleString() == "binary"], table
+        assert 0 < kept.count() <= fact.count()
+    assert "match_no" not in store.read("fact").columns
