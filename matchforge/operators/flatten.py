@@ -14,6 +14,9 @@ from matchforge.session import stage
 
 # Characters JSON allows around a document.
 BLANKS = " \t\r\n"
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
+# The list that a text is put into to be parsed.
+_ALONE = "__alone"
 
 
 def required_paths(field_map: Mapping[str, str], types: Mapping[str, str]) -> tuple[dict, dict]:
@@ -52,10 +55,10 @@ def column_type(column: str, types: Mapping[str, str]) -> str:
     return "boolean" if column in schema.BOOLEAN_COLUMNS else "string"
 
 
-def _struct_type(tree: Mapping, *, as_text: bool) -> str:
+def struct_type(tree: Mapping, *, as_text: bool) -> str:
     fields = [
         f"`{name}`: " + (
-            _struct_type(node, as_text=as_text) if isinstance(node, dict) else "string" if as_text else node
+            struct_type(node, as_text=as_text) if isinstance(node, dict) else "string" if as_text else node
         )
         for name, node in tree.items()
     ]
@@ -76,6 +79,13 @@ def typed_struct(value: Column, tree: Mapping) -> Column:
     return F.struct(*fields)
 
 
+def looks_like_object() -> Column:
+    """Whether a record begins and ends like a JSON object; a parser's failure costs far more than this."""
+    text = F.col("_raw_json")
+    starts = text.startswith("{") | F.ltrim(text, F.lit(BLANKS)).startswith("{")
+    return starts & (text.endswith("}") | F.rtrim(text, F.lit(BLANKS)).endswith("}"))
+
+
 def is_json_object() -> Column:
     """Whether a record is one JSON object and nothing else.
 
@@ -83,12 +93,8 @@ def is_json_object() -> Column:
     more text breaks the list, and a second object makes it longer. Repeated keys and
     NaN are accepted, single quotes are not.
     """
-    text = F.col("_raw_json")
-    listed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRUCT<_none: STRING>>",
-        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"})
-    starts = text.startswith("{") | F.ltrim(text, F.lit(BLANKS)).startswith("{")
-    return F.coalesce(starts & (F.size(listed) == 1), F.lit(False))
+    listed = F.from_json(F.concat(F.lit("["), "_raw_json", F.lit("]")), "ARRAY<STRUCT<_none: STRING>>", STRICT)
+    return F.coalesce(looks_like_object() & (F.size(listed) == 1), F.lit(False))
 
 
 def parse_documents(
@@ -96,38 +102,44 @@ def parse_documents(
 ) -> DataFrame:
     """Match-level fields as struct ``info`` and participants as typed array, per document.
 
-    Only the selected paths are parsed, with the types the columns need. A
-    document in which some value has another JSON type (a number given as text,
-    say) is parsed again with all leaves as text and cast value by value, so
-    one odd value does not cost the others.
+    Only the selected paths are parsed, with the types the columns need. The parse is the
+    strict test as well: the text is the only element of a list inside an object of our own,
+    so what follows it breaks that object or makes the list longer. A document that does not
+    pass, or in which some value has another JSON type (a number given as text, say), is
+    tested by itself, parsed again with all leaves as text and cast value by value, so
+    one odd value does not cost the others. What is no JSON object has no participants.
     """
     match_level, tree = required_paths(field_map, types)
 
-    def ddl(*, as_text: bool) -> str:
-        info = _struct_type(match_level, as_text=as_text)[len("STRUCT<"):-1]
-        return f"info STRUCT<{info}, participants: ARRAY<{_struct_type(tree, as_text=as_text)}>>"
+    def fields(*, as_text: bool) -> str:
+        info = struct_type(match_level, as_text=as_text)[len("STRUCT<"):-1]
+        return f"info: STRUCT<{info}, participants: ARRAY<{struct_type(tree, as_text=as_text)}>>"
 
+    alone = F.concat(F.lit(f'{{"{_ALONE}": ['), "_raw_json", F.lit("]}"))
     parsed = F.from_json(
-        "_raw_json", ddl(as_text=False) + ", _odd STRING", {"columnNameOfCorruptRecord": "_odd"}
-    )
-    as_text = F.from_json("_raw_json", ddl(as_text=True))
-    odd = F.col("doc._odd").isNotNull()
+        alone, f"{_ALONE} ARRAY<STRUCT<{fields(as_text=False)}>>, _odd STRING",
+        {**STRICT, "columnNameOfCorruptRecord": "_odd"})
+    as_text = F.from_json("_raw_json", f"STRUCT<{fields(as_text=True)}>")
+    # a text with the name of our list could close that list and open another one
+    odd = F.col("whole._odd").isNotNull() | F.col("_raw_json").contains(f'"{_ALONE}"')
 
     def retyped(participant: Column) -> Column:
         return F.when(participant.isNotNull(), typed_struct(participant, tree))
 
     # Each document is a column of its own before it is used, so it is parsed once.
     return (
-        raw.filter(is_json_object())
-        .select("match_id", *carry, "_raw_json", parsed.alias("doc"))
-        .select("match_id", *carry, "doc", F.when(odd, as_text["info"]).alias("text"))
+        raw.select("match_id", *carry, "_raw_json", F.when(looks_like_object(), parsed).alias("whole"))
+        .select(
+            "match_id", *carry, odd.alias("odd"),
+            F.when(F.size(f"whole.{_ALONE}") == 1, F.get(f"whole.{_ALONE}", F.lit(0))).alias("doc"),
+            F.when(odd, F.when(is_json_object(), as_text["info"])).alias("text"))
         .select(
             "match_id",
             *carry,
-            F.when(odd, typed_struct(F.col("text"), match_level)).otherwise(
+            F.when(F.col("odd"), typed_struct(F.col("text"), match_level)).otherwise(
                 F.struct(*[F.col(f"doc.info.{name}") for name in match_level])
             ).alias("info"),
-            F.when(odd, F.transform("text.participants", retyped))
+            F.when(F.col("odd"), F.transform("text.participants", retyped))
             .otherwise(F.col("doc.info.participants")).alias("participants"),
         )
     )
@@ -188,15 +200,18 @@ def flatten_matches(
         raise ValueError("the field map selects no columns")
     own = ("__match", "__player", "__place")
     carried = list(dict.fromkeys([*first_by, *(c for c in keep if c not in own)]))
+    # what the match says is worked out once for all of its participants
+    of_match = {name: path for name, path in field_map.items() if path in schema.MATCH_LEVEL_PATHS}
     rows = (
         parse(raw, field_map, types, *carried)
         .select(
-            "match_id", *carried, "info",
+            "match_id", *carried, *[resolve(name, path, types).alias(f"__of_{name}") for name, path in of_match.items()],
             F.posexplode_outer("participants").alias("__place", "participant"),
         )
         .filter(F.col("participant").isNotNull())
         .select(
-            *[resolve(name, path, types).alias(name) for name, path in field_map.items()],
+            *[(F.col(f"`__of_{name}`") if name in of_match else resolve(name, path, types)).alias(name)
+              for name, path in field_map.items()],
             F.col("match_id").alias("__match"),
             F.col("participant.puuid").alias("__player"),
             *[F.col(name).alias(f"__by_{name}") for name in carried],
@@ -233,10 +248,13 @@ def flatten_first(
     *,
     types: Mapping[str, str] = MappingProxyType({}),
     first_by: Sequence[str],
+    known: DataFrame | None = None,
     parse: Callable[..., DataFrame] = parse_documents,
 ) -> DataFrame:
     """What ``flatten_matches`` gives, deduplicated without shuffling whole rows.
 
+    Without the rows of the (match, player) pairs in ``known``, if given: two columns in that order.
+
     All rows are flattened once, into a staged table in which each has a number. Which of
     them are later copies is settled on keys and order columns alone: the keys that come more
     than once (counted before the shuffle), the first place of each, and the numbers of all
@@ -256,4 +274,7 @@ def flatten_first(
     copies = of_keys(rows.select(*keys, *order, "__row"), "left_semi", repeated)
     first = copies.groupBy(*keys).agg(F.min(F.struct(*order, "__row")).alias("__first"))
     later = of_keys(copies, "inner", first, "__first").filter(F.col("__row") != F.col("__first.__row"))
-    return rows.join(stage(later.select("__row"), "later_copies"), "__row", "left_anti").select(*field_map)
+    left_out = later.select("__row")
+    if known is not None:
+        left_out = left_out.unionByName(of_keys(rows.select(*keys, "__row"), "left_semi", known.toDF(*keys)).select("__row")).distinct()
+    return rows.join(stage(left_out, "later_copies"), "__row", "left_anti").select(*field_map)

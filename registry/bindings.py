@@ -213,16 +213,24 @@ def broken(document: Column) -> Column:
     return chosen
 
 
-def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_matches(
+    spark: SparkSession, sf_dir: str, *, part: Column | None = None, ordered: bool = False
+) -> DataFrame:
     """One raw match record per line item, with its supplier and its part as participants.
 
     An order with several lines is a match landed in several copies; suppliers
     met twice in an order are the duplicates. Lines taxed at 8 % are unreadable, in a way that
-    depends on the line's number.
+    depends on the line's number. ``part`` chooses among the lines; ``ordered`` sorts them by
+    ``RAW_ORDER`` before their documents are made, which are many times as long.
     """
-    lines = spread(read(spark, sf_dir, "lineitem"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = read(spark, sf_dir, "lineitem")
+    lines = lines if part is None else lines.filter(part)
+    if not ordered:  # a sort deals the lines out itself
+        lines = spread(lines, int(spark.conf.get("spark.sql.shuffle.partitions")), "l_partkey")
     parts = read(spark, sf_dir, "part")
     rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left")
+    if ordered:
+        rows = rows.orderBy(*RAW_ORDER)
     won = F.col("l_linestatus") == "F"
     quantity = _whole("l_quantity / 5")
     challenges = F.struct(
@@ -261,8 +269,9 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             participant(F.expr("'P' || l_partkey"), 200, ~won, quantity + 1, F.lit(None).cast("bigint")),
         ).alias("participants"),
     )
-    readable = F.to_json(F.struct(info.alias("info")))
-    document = F.when(F.col("l_tax") == 0.08, broken(readable)).otherwise(readable)
+    # a column of its own, as each form of ``broken`` would hold the whole expression
+    rows = rows.select("l_orderkey", "l_tax", *RAW_ORDER, F.to_json(F.struct(info.alias("info"))).alias("readable"))
+    document = F.when(F.col("l_tax") == 0.08, broken(F.col("readable"))).otherwise(F.col("readable"))
     return rows.select(
         F.expr("'M' || l_orderkey").alias("match_id"),
         document.alias("_raw_json"),

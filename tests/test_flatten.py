@@ -171,3 +171,33 @@ def test_narrow_deduplication_equals_the_wide_one(spark):
 def test_reads_like_json_dumps(spark):
     text = json.dumps({"info": {"participants": [participant(0, riotIdGameName="Ünïcode \"quoted\"")]}}, ensure_ascii=False)
     assert flatten_matches(raw_frame(spark, ("M", text))).collect()[0].summoner_name == 'Ünïcode "quoted"'
+
+
+def test_text_behind_the_object_is_refused(spark):
+    """A bracket closes the list that a text is tested in, but not the text."""
+    good = document([participant(0)])
+    texts = [good + "]", good + "] x", f" {good} ]", good + "\n"]
+    raw = raw_frame(spark, *[(f"M{i}", text) for i, text in enumerate(texts)])
+    assert [r.match_id for r in flatten_matches(raw).collect()] == ["M3"]
+    assert corrupt_matches(raw).count() == 3
+    stored = documents.parsed(raw)
+    assert [r.match_id for r in flatten_matches(stored, parse=documents.read_documents).collect()] == ["M3"]
+
+
+def test_good_documents_are_parsed_by_one_parser(spark):
+    """The strict test by itself is only for documents that the typed parse does not settle."""
+    plan = flatten_matches(raw_frame(spark, ("M", document())))._jdf.queryExecution().optimizedPlan().toString()
+    alone = [line for line in plan.splitlines() if "_none,StringType" in line]
+    assert alone and not [line for line in alone if line.strip(" :+-").startswith("Filter")]
+
+
+def test_stored_documents_are_parsed_once(spark):
+    plan = documents.parsed(raw_frame(spark, ("M", document())))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_known_pairs_are_left_out(spark):
+    raw = raw_frame(spark, ("A", document([participant(i) for i in range(3)])), (None, document([participant(0, puuid=None)])))
+    known = spark.createDataFrame([("A", "player-1"), (None, None), ("B", "player-0")], "m STRING, p STRING")
+    got = flatten_first(raw.withColumn("place", F.lit(0)), first_by=["place"], known=known)
+    assert sorted((r.match_id, r.puuid) for r in got.collect()) == [("A", "player-0"), ("A", "player-2")]
