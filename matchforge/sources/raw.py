@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.operators.incremental import landed_keys
-from matchforge.session import hadoop_path
+from matchforge.session import COMPACT, hadoop_path
 
 log = logging.getLogger(__name__)
 
@@ -95,7 +95,7 @@ def append_raw_matches(new: DataFrame, raw_dir: str) -> str | None:
     _, landed = hadoop_path(spark, f"{folder}/{name}")
     _, parent = hadoop_path(spark, folder)
     before = files.exists(parent)
-    new.select("match_id", "_raw_json", "_region").write.parquet(hidden.toString())
+    new.select("match_id", "_raw_json", "_region").write.options(**COMPACT).parquet(hidden.toString())
     if spark.read.schema(schema.RAW_MATCH_SCHEMA).parquet(hidden.toString()).isEmpty():
         files.delete(hidden if before else parent, True)
         return None

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchforge import schema
-from matchforge.operators.flatten import flatten_matches
+from matchforge.operators.flatten import flatten_first, flatten_matches
+from matchforge.session import COMPACT, staged_run
 from matchforge.sources.raw import FILE_ORDER, read_parquet_if_present, with_file_order
 
 # Partition column of the fact: the stream and the number of the batch that wrote a row.
@@ -37,18 +38,21 @@ def append_new_participants(
         return
     paths = {path: column for column, path in field_map.items()}
     keys = [paths["__match_id__"], paths["puuid"]]
-    order = [c for c in FILE_ORDER if c in batch.columns] or ["_raw_json"]
-    rows = flatten_matches(batch, field_map, types=types, first_by=order)
-    landed = read_parquet_if_present(batch.sparkSession, fact_dir)
-    if landed is not None:
-        # only the batch's own matches are looked for among the known ones
-        others = landed.filter(F.col(BATCH).cast("string") != name)
-        ids = batch.select(F.col("match_id").alias("__id")).distinct()
-        known = others.join(ids, others[keys[0]].eqNullSafe(ids["__id"]), "left_semi")
-        known = known.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-        same = [rows[k].eqNullSafe(known[f"__{k}"]) for k in keys]
-        rows = rows.join(known, same, "left_anti")
-    rows.write.mode("overwrite").parquet(f"{fact_dir}/{BATCH}={name}")
+    with staged_run(batch.sparkSession):
+        landed, known = read_parquet_if_present(batch.sparkSession, fact_dir), None
+        if landed is not None:
+            # only the batch's own matches are looked for among the known ones
+            others = landed.filter(F.col(BATCH).cast("string") != name).select(*[F.col(k).cast("string").alias(k) for k in keys])
+            ids = batch.select(F.col("match_id").alias("__id")).distinct()
+            known = others.join(ids, others[keys[0]].eqNullSafe(ids["__id"]), "left_semi").distinct()
+        if all(c in batch.columns for c in FILE_ORDER):
+            rows = flatten_first(batch, field_map, types=types, first_by=FILE_ORDER, known=known)
+        else:
+            rows = flatten_matches(batch, field_map, types=types, first_by=["_raw_json"])
+            if known is not None:
+                same = [rows[k].eqNullSafe(known[k]) for k in keys]
+                rows = rows.join(known, same, "left_anti")
+        rows.write.mode("overwrite").options(**COMPACT).parquet(f"{fact_dir}/{BATCH}={name}")
 
 
 def stream_id(spark: SparkSession, checkpoint_dir: str) -> str:

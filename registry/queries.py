@@ -239,8 +239,8 @@ def flatten_dedup_narrow(spark, sf_dir):
 
 def _two_loads(spark, sf_dir):
     """The raw records in two loads, each in order: lines 1 to 3 of the orders, then the rest."""
-    records, early = b.raw_matches(spark, sf_dir), F.col("l_linenumber") <= 3
-    return [records.filter(part).orderBy(*b.RAW_ORDER) for part in (early, ~early)]
+    early = F.col("l_linenumber") <= 3
+    return [b.raw_matches(spark, sf_dir, part=part, ordered=True) for part in (early, ~early)]
 
 
 @register

@@ -235,3 +235,29 @@ def test_relational_read_in_ranges():
     assert read_options(database, "t")["numPartitions"] == "1"
     ranged = read_options(database, "t", ("id", 1, 100))
     assert (ranged["partitionColumn"], ranged["upperBound"], ranged["numPartitions"]) == ("id", "100", "4")
+
+
+def test_loads_are_sorted_before_their_documents_are_made(spark, tmp_path):
+    """No document goes through the shuffle of the sort."""
+    from registry import bindings, queries
+
+    for name in ("lineitem", "part"):
+        spark.createDataFrame([], bindings.TABLES[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for load in queries._two_loads(spark, str(tmp_path)):
+        plan = load._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS readable" in plan.partition("Sort [")[0] and "AS readable" not in plan.partition("Sort [")[2]
+
+
+def test_stream_shuffles_no_whole_rows(spark, tmp_path, monkeypatch):
+    """The batch is deduplicated by its keys, and its staged rows are gone afterwards."""
+    from matchforge.streaming import flatten_stream
+
+    seen = []
+    narrow = flatten_stream.flatten_first
+    monkeypatch.setattr(flatten_stream, "flatten_first", lambda *a, **k: seen.append(narrow(*a, **k)) or seen[-1])
+    raw_dir, fact, state = (str(tmp_path / n) for n in ("raw", "fact", "state"))
+    land(spark, raw_dir, "chunk_00000", ("A", document()), ("A", document()))
+    flatten_landed_chunks(spark, raw_dir, fact, state).awaitTermination()
+    assert spark.read.parquet(fact).count() == 10
+    assert "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert not [p for p in seen[0].inputFiles() if Path(p.removeprefix("file:")).exists()]
