@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.plans.measures import (
-    average, kda, mean, merge, merged_totals, row_totals, totals, winrate_pct,
+    average, kda, mean, merge, merged_totals, totals, winrate_pct,
 )
 from matchforge.functions.numeric import round_to
 
@@ -170,13 +170,17 @@ def position_stats(fact: DataFrame | None, cells: DataFrame | None = None) -> Da
 
 
 def match_timeline(fact: DataFrame) -> DataFrame:
-    """Per calendar day: distinct matches and averages."""
-    return timeline_of(
-        fact.filter(F.col("game_date").isNotNull())
-        .withColumn("game_day", F.col("game_date").cast("date"))
-        .groupBy("game_day")
-        .agg(F.countDistinct("match_id").alias("total_matches"), *row_totals(DAY_QUANTITIES))
+    """Per calendar day: distinct matches and averages.
+
+    The matches are told apart by a grouping of their own: beside the totals, each pair of day
+    and match would carry all of these through the shuffle and the memory of its task.
+    """
+    dated = fact.filter(F.col("game_date").isNotNull()).withColumn("game_day", F.col("game_date").cast("date"))
+    matches = (
+        dated.filter(F.col("match_id").isNotNull()).select("game_day", "match_id").distinct()
+        .groupBy("game_day").agg(F.count(F.lit(1)).alias("total_matches"))
     )
+    return timeline_of(totals(dated, ["game_day"], DAY_QUANTITIES).join(matches, "game_day", "left"))
 
 
 def timeline_of(days: DataFrame) -> DataFrame:

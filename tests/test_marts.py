@@ -227,3 +227,11 @@ def test_pipeline_expands_players_and_types_added_fields(spark, tmp_path):
         assert sorted(r.puuid for r in players.collect()) == ["a", "b", "c"]
     fact = spark.read.parquet(f"{processed}/matches.parquet")
     assert dict(fact.dtypes)["kda"] == "double" and {r.kda for r in fact.collect()} == {2.5}
+
+
+def test_days_carry_no_totals_per_match(fact):
+    """Days and matches are told apart on their own: no grouping by match sums anything."""
+    plan = marts.match_timeline(fact)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+    by_match = [line for line in plan.splitlines() if "Aggregate [game_day" in line and "match_id" in line]
+    assert by_match and not [line for line in by_match if "sum(" in line]
