@@ -49,10 +49,11 @@ def player_stats(
 
     With ``cells`` and ``games`` (``games_played`` by player) the fact is not read at all.
 
-    Three small row sets are stacked and merged by one last grouping: totals,
-    distinct matches, and one vote count per champion and position. A player
-    with a large share of all rows is thus split by match and by champion
-    first, and grouping keeps null names together without joins.
+    Three row sets, each with one row per player, are stacked and merged by one last
+    grouping: totals, distinct matches, and the favourites from one vote count per
+    champion and position. A player with a large share of all rows is thus split by
+    match and by champion first, and grouping keeps null names together without joins.
+    Favourites are text, which Spark groups by sorting, so only the narrow votes are.
     The favourite is the most frequent value, the smallest one on a tie.
     """
     known = F.col("puuid").isNotNull()
@@ -68,10 +69,8 @@ def player_stats(
         F.struct(F.lit("position").alias("kind"), F.col("team_position").alias("choice")),
     )
     if cells is not None:
-        votes = cells.filter(known).groupBy(*CELL).agg(F.sum("rows").alias("votes"))
-        profile = cells.filter(known).select(
-            *PLAYER, "rows", *[f"{p}_{q}" for q in PLAYER_QUANTITIES for p in ("sum", "n")]
-        )
+        votes = cells.filter(known).select(*CELL, F.col("rows").alias("votes"))
+        profile = merge(cells.filter(known), PLAYER, PLAYER_QUANTITIES)
     else:
         votes = fact.filter(known).groupBy(*CELL).agg(F.count(F.lit(1)).alias("votes"))
         profile = totals(fact.filter(known), PLAYER, PLAYER_QUANTITIES)
@@ -87,14 +86,16 @@ def player_stats(
         ours = F.col("kind") == kind
         return F.min_by(F.when(ours, F.col("choice")), F.when(ours, F.struct(-F.col("votes"), F.col("choice"))))
 
+    favourites = votes.groupBy(*PLAYER).agg(
+        favourite("champion").alias("most_played_champion"), favourite("position").alias("main_position"))
     return (
         profile.unionByName(matches, allowMissingColumns=True)
-        .unionByName(votes, allowMissingColumns=True)
+        .unionByName(favourites, allowMissingColumns=True)
         .groupBy(*PLAYER)
         .agg(
             F.coalesce(F.sum("games_played"), F.lit(0)).alias("games_played"),
-            favourite("champion").alias("most_played_champion"),
-            favourite("position").alias("main_position"),
+            F.max("most_played_champion").alias("most_played_champion"),
+            F.max("main_position").alias("main_position"),
             *merged_totals(PLAYER_QUANTITIES),
         )
         .filter(F.col("games_played") >= min_games)

@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,19 @@ def test_marts_from_cells_are_the_same(spark):
         assert direct == merged and direct
 
 
+def test_cells_are_not_regrouped_for_the_votes(spark):
+    """Cells are one row per player, champion and position already; favourites and ties come out as from the fact."""
+    names = {"summoner_name": None, "champion_name": None}
+    df = frame(spark, [row(f"M{m}", n, **(names if m == 4 else {})) for m in range(6) for n in range(3)]
+               + [row(f"N{m}", 0, champion_name="Ahri") for m in range(5)] + [row(f"O{m}", 3, champion_name=None) for m in range(4)])
+    stats = marts.player_stats(df, marts.mart_cells(df).localCheckpoint())
+    assert sorted(map(str, stats.collect())) == sorted(map(str, marts.player_stats(df).collect()))
+    favourites = {(r.puuid, r.summoner_name): r.most_played_champion for r in stats.collect()}
+    assert favourites["player-0", "Name 0"] == "Ahri" and favourites["player-3", "Name 3"] is None
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(puuid#\d+, summoner_name#\d+, champion_name#\d+", plan)
+
+
 def test_views(spark, fact, items):
     top = views.top_players(marts.player_stats(fact)).collect()
     assert sorted(r.rank_wr for r in top) == [1] * 5 + [6] * 5 and {r.rank_kda for r in top} == {1}
