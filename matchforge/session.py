@@ -24,7 +24,25 @@ _SETTINGS = {
 }
 
 # Writer options of tables that are read again by the run or kept as landed: fewer bytes than the default codec's.
-COMPACT = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+# Documents are all different, so a dictionary of them would be made only to be thrown away.
+COMPACT = {
+    "compression": "zstd", "parquet.compression.codec.zstd.level": "1",
+    "parquet.enable.dictionary#_raw_json": "false",
+}
+
+
+def sought_by(key: str, *, rows: int, block: int) -> dict[str, str]:
+    """Writer options of tables in which a few keys are sought: small row groups with a Bloom filter on the key.
+
+    ``rows`` is about what a row group of ``block`` (compressed) bytes holds; with more the filters only let more pass.
+    There is no dictionary of the keys, which a lookup would take apart anew for every key.
+    """
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        f"parquet.bloom.filter.expected.ndv#{key}": str(rows),
+        f"parquet.enable.dictionary#{key}": "false",
+        "parquet.block.size": str(block),
+    }
 
 
 def build_session(app_name: str = "matchforge", master: str | None = None, **conf: str) -> SparkSession:
@@ -115,6 +133,14 @@ def staged_run(spark: SparkSession) -> Iterator[None]:
         files.delete(folder, True)
 
 
+def spread_in_order(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """``df`` sorted by ``keys`` in ``partitions`` tasks, for costly per-row work or long rows made behind the sort.
+
+    The partitions of ``orderBy`` are merged by the bytes that were shuffled, which says nothing of either.
+    """
+    return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+
+
 def spread(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     """Rows dealt to ``partitions`` tasks, for costly per-row work on input known to come in few splits.
 

@@ -4,7 +4,7 @@ A row is a landed record: its key, its file and its row there. Every append adds
 sorted by key over small row groups with Bloom filters on the key. A lookup of a few
 keys is pushed to the Parquet reader as equalities, so row groups whose range or Bloom filter
 excludes all of them are never read, and of the chunks only the files that hold a hit are
-opened. Many keys are joined instead.
+opened and in those the row groups whose Bloom filter allows one. Many keys are joined instead.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from matchforge.operators.flatten import keep_first
 from matchforge.operators.incremental import landed_keys
-from matchforge.session import stage
+from matchforge.session import sought_by, stage
 from matchforge.sources.raw import FILE_ORDER, read_parquet_if_present
 from matchforge.sources.tables import replace_dataset
 
@@ -25,23 +25,21 @@ KEY = "match_id"
 LEDGER_SCHEMA = f"{KEY} STRING, source_file STRING, source_row BIGINT"
 # Keys up to this number are sought by equalities, more of them by a join.
 LISTED_KEYS = 256
-_LAYOUT = {
-    f"parquet.bloom.filter.enabled#{KEY}": "true",
-    f"parquet.bloom.filter.adaptive.enabled#{KEY}": "true",
-    "parquet.block.size": str(1 << 20),
-    "parquet.page.row.count.limit": "2000",
-}
+_LAYOUT = {**sought_by(KEY, rows=50_000, block=1 << 20), "parquet.page.row.count.limit": "2000"}
 
 
 def equals_any(column: Column, values: list) -> Column:
-    """``column`` equals one of the values, as a balanced tree of equalities.
+    """``column`` equals one of the values, as a balanced tree of equalities behind an ``IN``.
 
-    A long ``IN`` reaches the Parquet reader as its least and largest value only.
+    A long ``IN`` reaches the Parquet reader as its least and largest value only, so the
+    reader gets the equalities; the rows it lets through are tried by the ``IN``, one lookup each.
     """
-    terms = [column == value for value in values] or [F.lit(False)]
+    if not values:
+        return F.lit(False)
+    terms = [column == value for value in values]
     while len(terms) > 1:
         terms = [reduce(Column.__or__, terms[i:i + 2]) for i in range(0, len(terms), 2)]
-    return terms[0]
+    return column.isin(values) & terms[0]
 
 
 class Ledger:
@@ -86,11 +84,14 @@ class Ledger:
         """The raw record that landed first for each wanted key; ``raw`` is the landed chunks.
 
         Only files with such a record are read: their paths, one per key at most, are a filter
-        that Spark applies when it lists the files.
+        that Spark applies when it lists the files. The keys that were found are sought in them as in the ledger.
         """
         first = stage(keep_first(self.locate(wanted), [KEY], FILE_ORDER), "located")
         held = first.select("source_file").distinct()
         files = [r[0] for r in held.limit(LISTED_KEYS + 1).collect()]
         if len(files) <= LISTED_KEYS:
             raw = raw.filter(F.col("source_file").isin(files)) if files else raw.limit(0)
+        found = [r[0] for r in first.select(KEY).limit(LISTED_KEYS + 1).collect()]
+        if len(found) <= LISTED_KEYS:
+            raw = raw.filter(equals_any(F.col(KEY), found))
         return raw.join(first.select(*FILE_ORDER), list(FILE_ORDER), "left_semi")

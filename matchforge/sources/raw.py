@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.operators.incremental import landed_keys
-from matchforge.session import COMPACT, hadoop_path
+from matchforge.session import COMPACT, hadoop_path, sought_by
 
 log = logging.getLogger(__name__)
 
 # Columns that put raw records in file and row order.
 FILE_ORDER = ("source_file", "source_row")
 _CHUNKS = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": "true"}
+_LAYOUT = {**COMPACT, **sought_by("match_id", rows=40_000, block=2 << 20)}
 
 
 def read_parquet_if_present(
@@ -95,7 +96,7 @@ def append_raw_matches(new: DataFrame, raw_dir: str) -> str | None:
     _, landed = hadoop_path(spark, f"{folder}/{name}")
     _, parent = hadoop_path(spark, folder)
     before = files.exists(parent)
-    new.select("match_id", "_raw_json", "_region").write.options(**COMPACT).parquet(hidden.toString())
+    new.select("match_id", "_raw_json", "_region").write.options(**_LAYOUT).parquet(hidden.toString())
     if spark.read.schema(schema.RAW_MATCH_SCHEMA).parquet(hidden.toString()).isEmpty():
         files.delete(hidden if before else parent, True)
         return None

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.operators.flatten import normalize_position, normalize_position_columns
-from matchforge.session import spread
+from matchforge.session import spread, spread_in_order
 
 # Part types -> position names as the match API writes them; the sixth type has none.
 POSITION_OF_TYPE = {
@@ -223,14 +223,15 @@ def raw_matches(
     depends on the line's number. ``part`` chooses among the lines; ``ordered`` sorts them by
     ``RAW_ORDER`` before their documents are made, which are many times as long.
     """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = read(spark, sf_dir, "lineitem")
     lines = lines if part is None else lines.filter(part)
     if not ordered:  # a sort deals the lines out itself
-        lines = spread(lines, int(spark.conf.get("spark.sql.shuffle.partitions")), "l_partkey")
+        lines = spread(lines, tasks, "l_partkey")
     parts = read(spark, sf_dir, "part")
     rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left")
     if ordered:
-        rows = rows.orderBy(*RAW_ORDER)
+        rows = spread_in_order(rows, tasks, *RAW_ORDER)
     won = F.col("l_linestatus") == "F"
     quantity = _whole("l_quantity / 5")
     challenges = F.struct(

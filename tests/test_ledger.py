@@ -1,9 +1,12 @@
 """The ledger of landed matches: what a lookup finds, and how little of it is read."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from conftest import document, participant, raw_frame
 from matchforge.operators.incremental import landed_matches, new_matches
+from matchforge.session import spread_in_order
 from matchforge.sources import raw
 from matchforge.sources.ledger import LISTED_KEYS, Ledger, equals_any
 
@@ -69,3 +72,28 @@ def test_equalities(spark):
     df = spark.range(10)
     assert df.filter(equals_any(F.col("id"), [])).count() == 0
     assert df.filter(equals_any(F.col("id"), [3, 5, 7, 99, 1])).count() == 4
+
+
+def test_chunks_are_read_in_shares(spark, tmp_path):
+    """Of a chunk that holds a hit only the row groups that may have it are read."""
+    numbers = spark.range(150_000).repartition(1).select(
+        F.md5(F.col("id").cast("string")).alias("match_id"), F.sha2(F.col("id").cast("string"), 512).alias("_raw_json"),
+        F.lit("euw1").alias("_region"))
+    keys = Ledger(spark, f"{tmp_path}/keys")
+    keys.grow(raw.read_raw_matches(spark, str(tmp_path), raw.append_raw_matches(numbers, str(tmp_path))))
+    wanted = numbers.filter(F.col("match_id") == F.md5(F.lit("77777")))
+    chunks = raw.read_raw_matches(spark, str(tmp_path))
+    found = keys.first_records(chunks, wanted)
+    assert [r._raw_json for r in found.collect()] == [wanted.first()._raw_json]
+    assert re.search(r"match_id#\d+ = ", found._jdf.queryExecution().optimizedPlan().toString())
+    assert scanned_rows(chunks.filter(equals_any(F.col("match_id"), [wanted.first().match_id]))) < 150_000 / 2
+
+
+def test_order_keeps_its_tasks(spark, tmp_path):
+    """A sort before long rows are made has as many tasks as asked for, and files in order."""
+    numbers = spark.range(1000).select((F.col("id") * 7 % 500).alias("id"))
+    spread_in_order(numbers, 5, "id").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows")).select("id", F.col("_metadata.file_path").alias("f"))
+    spans = [(r.low, r.high) for r in rows.groupBy("f").agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy("f").collect()]
+    assert len(spans) == 5 and rows.count() == 1000
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
