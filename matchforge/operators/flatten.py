@@ -202,10 +202,13 @@ def flatten_matches(
     carried = list(dict.fromkeys([*first_by, *(c for c in keep if c not in own)]))
     # what the match says is worked out once for all of its participants
     of_match = {name: path for name, path in field_map.items() if path in schema.MATCH_LEVEL_PATHS}
+    # a filter on what the match says stops above this id, always true; below it, each mention would parse the text again
+    parsed_once = F.when(F.monotonically_increasing_id() >= 0, F.col("participants")).alias("participants")
     rows = (
         parse(raw, field_map, types, *carried)
+        .select("match_id", *carried, *[resolve(name, path, types).alias(f"__of_{name}") for name, path in of_match.items()], parsed_once)
         .select(
-            "match_id", *carried, *[resolve(name, path, types).alias(f"__of_{name}") for name, path in of_match.items()],
+            "match_id", *carried, *[f"__of_{name}" for name in of_match],
             F.posexplode_outer("participants").alias("__place", "participant"),
         )
         .filter(F.col("participant").isNotNull())

@@ -9,6 +9,7 @@ from matchforge import schema
 from matchforge.operators.flatten import (
     corrupt_matches, flatten_first, flatten_matches, keep_first, normalize_position_columns,
 )
+from matchforge.operators.recent import in_queue
 from matchforge.sources import documents
 
 
@@ -201,3 +202,14 @@ def test_known_pairs_are_left_out(spark):
     known = spark.createDataFrame([("A", "player-1"), (None, None), ("B", "player-0")], "m STRING, p STRING")
     got = flatten_first(raw.withColumn("place", F.lit(0)), first_by=["place"], known=known)
     assert sorted((r.match_id, r.puuid) for r in got.collect()) == [("A", "player-0"), ("A", "player-2")]
+
+
+def test_a_filter_on_the_match_parses_no_text_again(spark):
+    texts = [document([participant(i)], queueId=q) for i, q in enumerate((420, 440, None, "420"))]
+    raw = raw_frame(spark, *[(f"M{i}", text) for i, text in enumerate(texts)])
+    fields = {"puuid": "puuid", "queue_id": "__queue_id__", "mode": "__game_mode__"}
+    flat = flatten_matches(raw, fields, deduplicate=False)
+    asked = in_queue(flat, 420).filter("mode = 'CLASSIC'")
+    assert sorted(r.puuid for r in asked.collect()) == ["player-0", "player-2", "player-3"]
+    parsers = [df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") for df in (flat, asked)]
+    assert parsers[0] == parsers[1]
