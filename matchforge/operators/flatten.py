@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from matchforge import schema
 from matchforge.functions.numeric import epoch_ms_to_timestamp, text_to_bigint
-from matchforge.session import stage
+from matchforge.session import PLACE, TASK, at_places, stage, stage_with_places
 
 # Characters JSON allows around a document.
 BLANKS = " \t\r\n"
@@ -256,28 +256,35 @@ def flatten_first(
 ) -> DataFrame:
     """What ``flatten_matches`` gives, deduplicated without shuffling whole rows.
 
-    Without the rows of the (match, player) pairs in ``known``, if given: two columns in that order.
+    Without the rows of the (match, player) pairs in ``known``, if given: two columns in that order, each
+    pair once.
 
-    All rows are flattened once, into a staged table in which each has a number. Which of
-    them are later copies is settled on keys and order columns alone: the keys that come more
-    than once (counted before the shuffle), the first place of each, and the numbers of all
-    their other rows. Copies are as a rule few; those numbers are taken out of the staged
-    rows by a join that Spark broadcasts when their size allows.
+    All rows are flattened once, into a table staged with places. Rows whose keys have the same
+    hash are found by one grouping of hashes and places, their keys and order are read at those places, and
+    settle which of them are later copies. Those are left out by their places.
     """
-    keys, order = ("__match", "__player"), [*[f"__by_{name}" for name in first_by], "__place"]
-    flat = flatten_matches(raw, field_map, types=types, deduplicate=False, keep=(*keys, "__place", *first_by), parse=parse)
-    rows = stage(flat.withColumn("__row", F.monotonically_increasing_id()), "flat_rows")
-
-    def of_keys(some: DataFrame, how: str, others: DataFrame, *columns: str) -> DataFrame:
-        others = others.select(*[F.col(k).alias(f"__same{k}") for k in keys], *columns)
-        same = [some[k].eqNullSafe(others[f"__same{k}"]) for k in keys]
-        return some.join(others, same, how)
-
-    repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = of_keys(rows.select(*keys, *order, "__row"), "left_semi", repeated)
-    first = copies.groupBy(*keys).agg(F.min(F.struct(*order, "__row")).alias("__first"))
-    later = of_keys(copies, "inner", first, "__first").filter(F.col("__row") != F.col("__first.__row"))
-    left_out = later.select("__row")
+    # a key that the fact holds as it is, is not kept a second time
+    texts = {path: name for name, path in field_map.items() if column_type(name, types) == "string" and name != "team_position"}
+    keys = texts.get(schema.MATCH_ID_PATH, "__match"), texts.get("puuid", "__player")
+    order = [*[f"__by_{name}" for name in first_by], "__place"]
+    keep = [*[k for k in keys if k not in field_map], "__place", *first_by]
+    flat = flatten_matches(raw, field_map, types=types, deduplicate=False, keep=keep, parse=parse)
+    rows = stage_with_places(flat, "flat_rows")
+
+    def of_keys(some: DataFrame, others: DataFrame, *columns: str) -> DataFrame:
+        others = others.select(*[F.col(k).alias(f"__same_{k}") for k in keys], *columns)
+        return some.join(others, [some[k].eqNullSafe(others[f"__same_{k}"]) for k in keys])
+
+    hashed = rows.select(F.xxhash64(*keys).alias("__hash"), PLACE)
+    alike = stage(hashed.groupBy("__hash").agg(
+        F.count(F.lit(1)).alias("n"), F.min(PLACE).alias("least"), F.max(PLACE).alias("most")).filter("n > 1"), "alike")
+    places = alike.select(F.explode(F.array("least", "most")).alias(PLACE))
+    between = alike.filter("n > 2").select("__hash")
+    if not between.isEmpty():
+        places = places.unionByName(hashed.join(between, "__hash", "left_semi").select(PLACE))
+    copies = stage(at_places(rows.select(*keys, *order, TASK, PLACE), places), "copies")
+    first = copies.groupBy(*keys).agg(F.min(F.struct(*order, PLACE)).alias("__first"))
+    left_out = of_keys(copies, first, "__first").filter(F.col(PLACE) != F.col(f"__first.{PLACE}")).select(PLACE)
     if known is not None:
-        left_out = left_out.unionByName(of_keys(rows.select(*keys, "__row"), "left_semi", known.toDF(*keys)).select("__row")).distinct()
-    return rows.join(stage(left_out, "later_copies"), "__row", "left_anti").select(*field_map)
+        left_out = left_out.unionByName(of_keys(rows.select(*keys, PLACE), known.toDF(*keys)).select(PLACE))
+    return at_places(rows, left_out, inside=False).select(*field_map)

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Sub-folder of the staged tables of the run that is going on.
 _run: ContextVar[str] = ContextVar("run", default="unscoped")
@@ -103,6 +104,62 @@ def bucketed(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+# Columns of a table staged with places: the task that wrote a row, and a number of the row with the task in its upper bits.
+TASK, PLACE = "__task", "__row"
+_ROW_BITS = 33
+
+
+@contextmanager
+def open_files(spark: SparkSession, count: int) -> Iterator[None]:
+    """Inside, a task that writes to partitions or buckets has up to ``count`` files open before it sorts its rows by file."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, count)
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def stage_with_places(df: DataFrame, name: str) -> DataFrame:
+    """``df`` staged with the columns ``TASK`` and ``PLACE``, for ``at_places``.
+
+    The table is dealt to buckets by the task, as the rows lie anyway, so a join on the task reads
+    it without an exchange or a sort. Its name in the catalog goes at once, its files go with the run.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    placed = df.withColumns({TASK: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()})
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with open_files(spark, 2):  # a task has one bucket
+        placed.write.options(**COMPACT).bucketBy(buckets, TASK).option("path", work_folder(spark, name)).saveAsTable(table)
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def at_places(rows: DataFrame, places: DataFrame, *, inside: bool = True) -> DataFrame:
+    """The rows of a table staged with places that are at one of ``places`` (``PLACE``, repeats allowed), or all others.
+
+    The places become one list of bits per task, a word for every 64 rows up to the last place. The
+    lists are dealt to where the rows of their task lie: no row of the table is shuffled, however many places there are.
+    """
+    word = F.shiftright(F.col(PLACE).bitwiseAND((1 << _ROW_BITS) - 1), 6).cast("int")
+    bit = f"CAST({PLACE} & 63 AS INT)"
+    words = places.groupBy(F.shiftright(PLACE, _ROW_BITS).cast("int").alias(TASK), word.alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("bits"))
+    gaps = words.groupBy(TASK).agg(F.max("word").alias("last")).select(
+        TASK, F.explode(F.sequence(F.lit(0), "last")).alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    whole = words.unionByName(gaps).groupBy(TASK, "word").agg(F.bit_or("bits").alias("bits"))
+    lists = whole.groupBy(TASK).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("__bits"))
+    # the lists of a partition's tasks are looked up by hash, so that the table need not be sorted
+    joined = rows.join(stage(lists, "places").hint("shuffle_hash"), TASK, "inner" if inside else "left")
+    marked = F.coalesce(F.getbit(F.get("__bits", word), F.expr(bit)).cast("int"), F.lit(0)) == 1
+    return joined.filter(marked if inside else ~marked).select(*rows.columns)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder, deleted with the staged tables of the run."""
     return f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"

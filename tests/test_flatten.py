@@ -10,6 +10,7 @@ from matchforge.operators.flatten import (
     corrupt_matches, flatten_first, flatten_matches, keep_first, normalize_position_columns,
 )
 from matchforge.operators.recent import in_queue
+from matchforge.session import PLACE, TASK, at_places, stage_with_places
 from matchforge.sources import documents
 
 
@@ -213,3 +214,59 @@ def test_a_filter_on_the_match_parses_no_text_again(spark):
     assert sorted(r.puuid for r in asked.collect()) == ["player-0", "player-2", "player-3"]
     parsers = [df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") for df in (flat, asked)]
     assert parsers[0] == parsers[1]
+
+
+def test_copies_of_all_kinds_against_plain_python(spark):
+    """Keys with one, two and very many copies, null ones, over several tasks, against a loop over the records."""
+    records = []
+    for i in range(300):
+        match = None if i % 50 == 7 else f"M{i if i % 3 else i % 9}"
+        people = [(None if (i + k) % 11 == 0 else f"p{(i + k) % 4}", 1000 * i + k) for k in range(3)]
+        records.append((match, i * 7919 % 1009 // 2, people))
+    raw = spark.createDataFrame(
+        [(m, document([participant(0, puuid=p, kills=kills) for p, kills in people]), place) for m, place, people in records],
+        "match_id STRING, _raw_json STRING, place INT").repartition(7)
+    first = {}
+    for match, place, people in records:
+        for at, (player, kills) in enumerate(people):
+            found = first.setdefault((match, player), (place, at, {kills}))
+            if (place, at) < found[:2]:
+                first[match, player] = (place, at, {kills})
+            elif (place, at) == found[:2]:  # a tie of records: either
+                found[2].add(kills)
+    for fields in ({"m": "__match_id__", "p": "puuid", "kills": "kills"}, {"m": "__match_id__", "p": "puuid", "kills": "kills", "place": "x.y"}):
+        for flat in (flatten_first(raw, fields, first_by=["place"]), flatten_matches(raw, fields, first_by=["place"])):
+            got = flat.collect()
+            assert len(got) == len(first) and all(r.kills in first[r.m, r.p][2] for r in got)
+    # keys that the fact does not hold, or not as text
+    for fields, types in (({"kills": "kills"}, {}), ({"kills": "kills", "p": "puuid"}, {"p": "int"})):
+        assert flatten_first(raw, fields, types=types, first_by=["place"]).count() == len(first)
+
+
+def test_no_row_of_the_fact_is_shuffled_for_its_copies(spark):
+    """However many the copies are: what is dealt out are the lists of their places."""
+    raw = raw_frame(spark, ("M", document()), ("M", document()), ("N", document())).withColumn("place", F.lit(1))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for flat in (flatten_first(raw, first_by=["place"]),):
+            plan = flat._jdf.queryExecution().executedPlan().toString()
+            exchanges = [line for line in plan.splitlines() if "Exchange " in line]
+            assert len(exchanges) == 1 and "hashpartitioning(__task" in exchanges[0] and "Bucketed: true" in plan
+            assert not [word for word in ("Sort ", "SortMergeJoin", "Window") if word in plan]
+            assert flat.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_at_places(spark):
+    rows = stage_with_places(spark.range(0, 1000, numPartitions=3), "numbers")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("numbers_")]
+    for wanted in ([], [0], [999], [5, 5, 63, 64, 333, 334, 700], list(range(1000))):
+        places = rows.filter(F.col("id").isin(wanted)).select(PLACE)
+        places = places.unionByName(places)
+        inside, outside = at_places(rows, places), at_places(rows, places, inside=False)
+        assert inside.columns == ["id", TASK, PLACE]
+        assert sorted(r.id for r in inside.collect()) == sorted(set(wanted))
+        assert sorted(r.id for r in outside.collect()) == sorted(set(range(1000)) - set(wanted))
