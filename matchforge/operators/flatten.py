@@ -192,12 +192,15 @@ def flatten_matches(
     columns the schema does not know; others of those are text. Undecodable documents, documents
     that are not objects and documents without participants give no rows. With
     ``deduplicate`` the first row per (match, player) is kept, first meaning
-    the order of ``first_by`` and then the place in the document. ``keep`` names
+    the order of ``first_by`` and then the place in the document; with such an order that is
+    ``flatten_first``, which stages the rows. Without ``deduplicate``, ``keep`` names
     columns of ``raw``, which come as ``__by_`` columns, or keys to carry along. ``parse`` takes
     the documents apart; another one reads them from another form than text.
     """
     if not field_map:
         raise ValueError("the field map selects no columns")
+    if deduplicate and first_by:
+        return flatten_first(raw, field_map, types=types, first_by=first_by, parse=parse)
     own = ("__match", "__player", "__place")
     carried = list(dict.fromkeys([*first_by, *(c for c in keep if c not in own)]))
     # what the match says is worked out once for all of its participants
@@ -222,9 +225,7 @@ def flatten_matches(
         )
     )
     if deduplicate:
-        rows = keep_first(
-            rows, ["__match", "__player"], [*[f"__by_{name}" for name in first_by], "__place"]
-        )
+        rows = keep_first(rows, ["__match", "__player"], ["__place"])
     return rows.select(*field_map, *[c if c in own else f"__by_{c}" for c in keep])
 
 

@@ -249,7 +249,7 @@ def test_no_row_of_the_fact_is_shuffled_for_its_copies(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for flat in (flatten_first(raw, first_by=["place"]),):
+        for flat in (flatten_first(raw, first_by=["place"]), flatten_matches(raw, first_by=["place"])):
             plan = flat._jdf.queryExecution().executedPlan().toString()
             exchanges = [line for line in plan.splitlines() if "Exchange " in line]
             assert len(exchanges) == 1 and "hashpartitioning(__task" in exchanges[0] and "Bucketed: true" in plan
