@@ -41,10 +41,8 @@ def append_new_participants(
     with staged_run(batch.sparkSession):
         landed, known = read_parquet_if_present(batch.sparkSession, fact_dir), None
         if landed is not None:
-            # only the batch's own matches are looked for among the known ones
-            others = landed.filter(F.col(BATCH).cast("string") != name).select(*[F.col(k).cast("string").alias(k) for k in keys])
-            ids = batch.select(F.col("match_id").alias("__id")).distinct()
-            known = others.join(ids, others[keys[0]].eqNullSafe(ids["__id"]), "left_semi").distinct()
+            # each pair is in one batch only
+            known = landed.filter(F.col(BATCH).cast("string") != name).select(*[F.col(k).cast("string").alias(k) for k in keys])
         if all(c in batch.columns for c in FILE_ORDER):
             rows = flatten_first(batch, field_map, types=types, first_by=FILE_ORDER, known=known)
         else:

@@ -261,3 +261,24 @@ def test_stream_shuffles_no_whole_rows(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(fact).count() == 10
     assert "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert not [p for p in seen[0].inputFiles() if Path(p.removeprefix("file:")).exists()]
+
+
+def test_stream_reads_the_keys_of_other_batches_once(spark, tmp_path, monkeypatch):
+    """No list of matches and no distinct pairs go before: a pair is in one batch only."""
+    from matchforge.streaming import flatten_stream
+
+    seen = []
+    narrow = flatten_stream.flatten_first
+    monkeypatch.setattr(flatten_stream, "flatten_first", lambda *a, **k: seen.append(k["known"]) or narrow(*a, **k))
+    raw_dir, fact, state = (str(tmp_path / n) for n in ("raw", "fact", "state"))
+    people = [participant(0, puuid=None, kills=7), participant(1, kills=7), participant(20, kills=7)]
+    for chunk, record in enumerate([("A", document([participant(0, puuid=None), participant(1)])), ("A", document(people)), (None, document(people))]):
+        land(spark, raw_dir, f"chunk_{chunk:05d}", record, record, ("Z", "{}"))
+        flatten_landed_chunks(spark, raw_dir, fact, state).awaitTermination()
+    rows = spark.read.parquet(fact)
+    assert sorted((str(r.match_id), str(r.puuid), r.kills) for r in rows.collect()) == [
+        ("A", "None", 8), ("A", "player-1", 8), ("A", "player-20", 7),
+        ("None", "None", 7), ("None", "player-1", 7), ("None", "player-20", 7)]
+    for known in seen[1:]:
+        plan = known._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
