@@ -118,14 +118,17 @@ class MartStore:
             "match_id", (F.lit(first) + F.col("offset") + F.col("row")).cast("long").alias("match_no"))
         numbered.write.mode("append").parquet(f"{self.path}/numbers")
 
-    def add(self, load: str, rows: DataFrame) -> list[str]:
+    def add(self, load: str, rows: DataFrame, *, staged: bool = False) -> list[str]:
         """Add participants under the name of their load; returns the periods whose cells were taken again.
 
         ``rows`` are participants as the flattening gives them; those another load has brought are
-        left out with ``without_known``. Nothing is done for an empty load.
+        left out with ``without_known``, or by the flattening if told which they are (``known``). They are
+        read three times, so they are staged first unless they come from a ``staged`` table. Nothing is done for an empty load.
         """
         period = period_of(F.col("game_date"), self.period)
-        landed = stage(rows.withColumns({"period": period, "load": F.lit(load)}), "load")
+        landed = rows.withColumns({"period": period, "load": F.lit(load)})
+        if not staged:
+            landed = stage(landed, "load")
         periods = sorted(r.period for r in landed.select("period").distinct().collect())  # one per period
         if periods:
             self.number(landed)
@@ -133,21 +136,27 @@ class MartStore:
             self.refresh(periods)
         return periods
 
-    def without_known(self, load: str, rows: DataFrame) -> DataFrame:
-        """``rows`` without the (match, player) pairs that another load has brought.
+    def known(self, load: str, records: DataFrame) -> DataFrame | None:
+        """The (match, player) pairs that another load has brought, of the matches that ``records`` name; None if there are none.
 
         Only matches that have a number can be there already; without any, or with nothing but
         new ones, the fact is not looked at.
         """
         fact, numbers = self.read("fact"), self.read("numbers")
         if fact is None:
-            return rows
-        met = rows.select("match_id").distinct().join(numbers, "match_id", "left")
+            return None
+        met = records.select("match_id").distinct().join(numbers, "match_id", "left")
         met = stage(met.filter(F.col("match_no").isNotNull() | F.col("match_id").isNull()), "met_again")
         if met.isEmpty():
-            return rows
+            return None
         others = fact.filter(F.col("load") != load).select(F.col("match_id").alias("__match"), F.col("puuid").alias("__player"))
-        known = others.join(met, F.col("__match").eqNullSafe(met["match_id"]), "left_semi").distinct()
+        return others.join(met, F.col("__match").eqNullSafe(met["match_id"]), "left_semi")
+
+    def without_known(self, load: str, rows: DataFrame) -> DataFrame:
+        """``rows`` without the (match, player) pairs that another load has brought."""
+        known = self.known(load, rows)
+        if known is None:
+            return rows
         same = rows["match_id"].eqNullSafe(known["__match"]) & rows["puuid"].eqNullSafe(known["__player"])
         return rows.join(known, same, "left_anti")
 

@@ -173,8 +173,12 @@ def add_load(
     store, load = MartStore(spark, store_dir, period), chunks.rstrip("/").rpartition("/")[2]
     raw = read_raw_matches(spark, raw_dir, chunks)
     if raw is not None:
-        rows = stage(flatten_first(raw, field_map, types=types, first_by=FILE_ORDER), "loaded")
-        store.add(load, store.without_known(load, rows))
+        # where the fact's keys are those of the documents, pairs of other loads go with the later copies
+        keys = {"match_id": schema.MATCH_ID_PATH, "puuid": "puuid"}
+        alike = all(field_map.get(name) == path and name not in types for name, path in keys.items())
+        known = store.known(load, raw) if alike else None
+        rows = flatten_first(raw, field_map, types=types, first_by=FILE_ORDER, known=known)
+        store.add(load, rows if alike else store.without_known(load, rows), staged=alike)
     return store.marts(items)
 
 

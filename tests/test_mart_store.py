@@ -5,8 +5,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from matchforge.plans import marts
+from conftest import document, participant, raw_frame
+from matchforge import schema
+from matchforge.plans import mart_store, marts, pipeline
 from matchforge.plans.mart_store import DAY, UNDATED, MartStore, distinct_matches, match_bitmaps
+from matchforge.sources import raw as landing
 
 FACT = (
     "match_id STRING, puuid STRING, summoner_name STRING, champion_name STRING, team_position STRING, win BOOLEAN, "
@@ -97,3 +100,25 @@ def test_a_players_matches_take_no_bitmaps(spark, fact, tmp_path):
         assert not [f.name for f in kept.schema if f.dataType.simpleString() == "binary"], table
         assert 0 < kept.count() <= fact.count()
     assert "match_no" not in store.read("fact").columns
+
+
+@pytest.mark.parametrize("fields", [schema.DEFAULT_FIELD_MAP, {**schema.DEFAULT_FIELD_MAP, "puuid": "riotIdGameName"}])
+def test_a_load_brings_what_others_have_not(spark, tmp_path, monkeypatch, fields):
+    """Pairs of other loads go with the later copies; flattened rows are staged once, and no second time by the store."""
+    staged = []
+    for module in (pipeline, mart_store):
+        whole = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, whole=whole: staged.append((name, len(df.columns))) or whole(df, name))
+    folder, store = str(tmp_path), str(tmp_path / "store")
+    loads = [
+        [("A", document([participant(0, kills=1), participant(1, kills=1)])), ("A", document([participant(0, kills=2)]))],
+        [("A", document([participant(1, kills=3), participant(2, kills=3)])), ("B", document([participant(0, kills=3)])), (None, document([participant(0, kills=3)]))]]
+    for number, records in enumerate([*loads, None]):
+        if records:
+            chunks = landing.append_raw_matches(raw_frame(spark, *records), folder)
+        pipeline.add_load(spark, folder, chunks, store, field_map=fields, period="yyyy")
+        rows = mart_store.MartStore(spark, store, "yyyy").read("fact").collect()
+        got = sorted((str(r.match_id), r.puuid[-1], r.kills) for r in rows)
+        assert got == [("A", "0", 1), ("A", "1", 1), *([("A", "2", 3), ("B", "0", 3), ("None", "0", 3)] if number else [])]
+    if fields is schema.DEFAULT_FIELD_MAP:
+        assert staged and not [name for name, columns in staged if columns >= len(fields)]
